@@ -137,3 +137,39 @@ def hash_sql(key: str, seed: str | int) -> str:
     x = f"((({key} + 1) % 2147483647 * 1103515245 % 2147483647 + CAST({seed} AS BIGINT) * 1299709) % 2147483647)"
     squared = f"({x} * {x} % 2147483647)"
     return f"({squared} * {squared} % 2147483647 * {x} % 2147483647)"
+
+
+# --- model inputs ----------------------------------------------------------------------------------------------------
+
+MODEL_COLUMNS = {
+    "x_bias": number(1),
+    "x_price": "(o_totalprice - 250000) / 150000",
+    "x_qty": f"(coalesce(qty, {number(0)}) - 100) / 60",
+    "x_disc": f"coalesce(disc, {number(0.05)}) * 10",
+}
+MODEL_FEATURES = list(MODEL_COLUMNS)
+
+
+def f_model(spark: SparkSession, sf: str) -> DataFrame:
+    """``id, y, y01`` and four complete, scaled features per order."""
+    totals = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("qty"), F.round(F.avg("l_discount"), 6).alias("disc"))
+    orders = table(spark, sf, "orders")
+    return orders.join(totals, orders.o_orderkey == totals.l_orderkey, "left").select(
+        F.col("o_orderkey").alias("id"), F.expr(LABEL).alias("y"), F.expr(f"({LABEL} + 1) / 2").cast("double").alias("y01"),
+        *[F.expr(text).alias(name) for name, text in MODEL_COLUMNS.items()])
+
+
+def model_sql() -> str:
+    listed = ", ".join(f"{text} AS {name}" for name, text in MODEL_COLUMNS.items())
+    return (f"SELECT o_orderkey AS id, {LABEL} AS y, CAST(({LABEL} + 1) / 2 AS DOUBLE) AS y01, {listed} FROM orders "
+            "LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS qty, round(avg(l_discount), 6) AS disc FROM lineitem "
+            "GROUP BY l_orderkey) t ON o_orderkey = l_orderkey")
+
+
+def sigmoid_sql(z: str) -> str:
+    return f"(CASE WHEN {z} >= 0 THEN 1 / (1 + exp(-abs({z}))) ELSE exp(-abs({z})) / (1 + exp(-abs({z}))) END)"
+
+
+def loss_sql(z: str, y: str = "y01") -> str:
+    return f"(greatest({z}, 0) + ln(1 + exp(-abs({z}))) - {y} * ({z}))"

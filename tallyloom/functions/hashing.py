@@ -35,10 +35,14 @@ def unit_hash(id_column: Column, seed: int | Column) -> Column:
     return id_hash(id_column, seed) / F.lit(float(PRIME))
 
 
-def poisson_weight(id_column: Column, seed: int | Column) -> Column:
-    """Number of times a row is drawn into a bootstrap sample as large as the table."""
-    u = unit_hash(id_column, seed)
+def poisson_draws(unit: Column) -> Column:
+    """Draws of a row into a bootstrap sample as large as the table, from its uniform number (best a plain column)."""
     weight = F.lit(0)
     for bound in POISSON_ONE_CDF:
-        weight = weight + F.when(u >= bound, 1).otherwise(0)
+        weight = weight + F.when(unit >= bound, 1).otherwise(0)
     return weight
+
+
+def left_out(unit: Column) -> Column:
+    """True when the row is not drawn at all."""
+    return unit < POISSON_ONE_CDF[0]

@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_number, poisson_weight
+from ..functions.hashing import hash_number, left_out, poisson_draws, unit_hash
 from ..functions.scalar import col, information_gain
 from .ranks import ROWS_PER_BUCKET, bucket_cuts, running_totals
 
@@ -117,8 +117,13 @@ def feature_subset(count: int, size: int, seed: int, tree: int) -> list[int]:
     return sorted(order[:size])
 
 
-def _bootstrap_weight(key: Column, tree: Column, seed: int | None) -> Column:
-    return F.lit(1) if seed is None else poisson_weight(key, tree + seed * 1000)
+def with_draws(rows: DataFrame, seed: int | None, output: str = "w") -> DataFrame:
+    """Add how often the row's ``tree`` draws it; every tree draws each row once without a seed."""
+    if seed is None:
+        return rows.withColumn(output, F.lit(1))
+    # The uniform number is a column of its own, so that it is computed once per row and tree.
+    return (rows.withColumn("_u", unit_hash(F.col("id"), F.col("tree") + seed * 1000))
+            .withColumn(output, poisson_draws(F.col("_u"))).drop("_u"))
 
 
 def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous: Sequence[int], rows_per_bucket: int
@@ -226,9 +231,8 @@ def grow(df: DataFrame, features: Sequence[str], y01: str, subsets: dict[int, li
     base, bucketed = _base(df, features, y01, key, [i for i in sorted(used) if i not in cat], rows_per_bucket)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        weight = _bootstrap_weight(F.col("id"), F.col("tree"), bootstrap_seed)
         numbers = F.array(*[F.lit(t) for t in subsets])
-        totals = (base.select("id", "y", F.explode(numbers).alias("tree")).withColumn("w", weight)
+        totals = (with_draws(base.select("id", "y", F.explode(numbers).alias("tree")), bootstrap_seed)
                   .groupBy("tree").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("n_pos")).collect())
         nodes = [Node(r["tree"], 0, 0, r["n"], r["n_pos"]) for r in totals]
         open_nodes = {(n.tree, n.node): n for n in nodes if n.may_split(options)}
@@ -240,8 +244,8 @@ def grow(df: DataFrame, features: Sequence[str], y01: str, subsets: dict[int, li
                 F.lit(t).alias("tree"), F.lit(0).cast("bigint").alias("node"), F.lit(roots[t].n).cast("bigint").alias("size"),
                 F.lit(roots[t].n_pos).cast("bigint").alias("size_pos"), F.array(*[F.lit(f) for f in chosen]).alias("fs"))
                 for t, chosen in subsets.items() if any(k[0] == t for k in open_nodes)])
-            drawn = (base.select("*", F.explode(seeds).alias("_t")).select(*base.columns, "_t.*")
-                     .withColumn("w", weight).where(F.col("w") > 0))
+            drawn = with_draws(base.select("*", F.explode(seeds).alias("_t")).select(*base.columns, "_t.*"),
+                               bootstrap_seed).where(F.col("w") > 0)
             extra = [F.element_at("b", F.col("f") + 1).alias("b")] if bucketed else []
             spread = (_route(drawn, levels).withColumn("f", F.explode("fs"))
                       .select("tree", "node", "size", "size_pos", "f", *extra, F.element_at("x", F.col("f") + 1).alias("v"),
@@ -330,7 +334,7 @@ def class_vote(p: Column) -> Column:
 def oob_votes(df: DataFrame, model: TreeModel, y01: str, key: str = "id") -> DataFrame:
     """``id, y01, n_votes, n_pos_votes`` over the trees that did not draw the row."""
     voted = df.select(F.col(key).alias("id"), F.col(y01).alias("y01"), votes(model).alias("v"))
-    out_of_bag = [poisson_weight(F.col("id"), tree_seed(model.bootstrap_seed, t)) == 0 for t in model.trees]
+    out_of_bag = [left_out(unit_hash(F.col("id"), tree_seed(model.bootstrap_seed, t))) for t in model.trees]
     count, positive = F.lit(0), F.lit(0.0)
     for i, out in enumerate(out_of_bag):
         count = count + F.when(out, 1).otherwise(0)
