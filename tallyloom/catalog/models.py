@@ -215,7 +215,7 @@ def tree_predict(spark, sf):
        + poisson_sql("o_orderkey", "(7000 + tree)") + " AS w FROM orders, range(3) t(tree)) GROUP BY ALL")
 def bootstrap_weights(spark, sf):
     trees = F.explode(F.array(*[F.lit(t) for t in range(3)])).alias("tree")
-    drawn = tree.with_draws(f_orders(spark, sf, False).select("id", trees), 7, "weight")
+    drawn = tree.with_draws(f_orders(spark, sf, False).select("id", trees), 7, "weight", drawn_only=False)
     return (drawn.groupBy("tree", "weight")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids")))
 

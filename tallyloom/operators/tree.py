@@ -117,13 +117,16 @@ def feature_subset(count: int, size: int, seed: int, tree: int) -> list[int]:
     return sorted(order[:size])
 
 
-def with_draws(rows: DataFrame, seed: int | None, output: str = "w") -> DataFrame:
+def with_draws(rows: DataFrame, seed: int | None, output: str = "w", drawn_only: bool = True) -> DataFrame:
     """Add how often the row's ``tree`` draws it; every tree draws each row once without a seed."""
     if seed is None:
         return rows.withColumn(output, F.lit(1))
-    # The uniform number is a column of its own, so that it is computed once per row and tree.
-    return (rows.withColumn("_u", unit_hash(F.col("id"), F.col("tree") + seed * 1000))
-            .withColumn(output, poisson_draws(F.col("_u"))).drop("_u"))
+    # The uniform number is a column of its own and the filter looks at it alone: a filter on the weight would be
+    # pushed down with the whole weight expression inside it.
+    hashed = rows.withColumn("_u", unit_hash(F.col("id"), F.col("tree") + seed * 1000))
+    if drawn_only:
+        hashed = hashed.where(~left_out(F.col("_u")))
+    return hashed.withColumn(output, poisson_draws(F.col("_u"))).drop("_u")
 
 
 def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous: Sequence[int], rows_per_bucket: int
@@ -163,57 +166,65 @@ LEVEL_SCHEMA = ("tree int, node bigint, split_feature int, split_at double, spli
                 "right_open boolean, left_n bigint, left_pos bigint, right_n bigint, right_pos bigint")
 
 
-def candidate_splits(counts: DataFrame, categorical: Sequence[int], bucketed: bool = False) -> DataFrame:
-    """``tree, node, size, size_pos, f, at, is_cat, left_n, left_pos`` of every threshold to try.
+def candidate_splits(counts: DataFrame, categorical: Sequence[int], options: TreeOptions, bucketed: bool = False) -> DataFrame:
+    """``tree, node, size, size_pos, f, at, is_cat, left_n, left_pos``: thresholds to try, and each category column's best value.
 
-    ``counts`` has one row per distinct value: ``tree, node, size, size_pos, f, v, n, n_pos`` (and bucket ``b``).
+    ``counts`` has one row per distinct value: ``tree, node, size, size_pos, f, v, n, n_pos`` (and bucket ``b``). One
+    aggregate per (node, feature) picks the order statistics off the running totals, so a feature with many values is
+    never gathered in one place.
     """
     node = ["tree", "node", "size", "size_pos", "f"]
-    is_cat = F.col("f").isin(list(categorical)) if categorical else F.lit(False)
-    parts = []
-    if categorical:
-        parts.append(counts.where(is_cat).select(*node, F.col("v").alias("at"), F.lit(True).alias("is_cat"),
-                                                 F.col("n").alias("left_n"), F.col("n_pos").alias("left_pos")))
-    ordered = counts.where(~is_cat)
-    running = running_totals(ordered, "v", ["n", "n_pos"], node, bucket="b" if bucketed else None)
+    running = running_totals(counts, "v", ["n", "n_pos"], node, bucket="b" if bucketed else None)
     points = sorted({q for qs in THRESHOLD_POINTS.values() for q in qs})
+    n, first, size = F.col("n"), F.col("cum_n") - F.col("n"), F.col("size")
+    is_cat = F.col("f").isin(list(categorical)) if categorical else F.lit(False)
 
     def at_rank(rank: Column, value: Column) -> Column:
-        return F.max(F.when((F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n")), value))
+        return F.max(F.when((first <= rank) & (rank < F.col("cum_n")), value))
 
-    here = F.struct(F.col("v").alias("v"), F.col("cum_n").alias("n"), F.col("cum_n_pos").alias("n_pos"))
     picks = []
     for i, q in enumerate(points):
-        position = (F.col("size") - 1) * F.lit(q)
-        picks += [at_rank(F.floor(position), here).alias(f"lo{i}"), at_rank(F.ceil(position), F.col("v")).alias(f"hi{i}")]
+        position = (size - 1) * F.lit(q)
+        picks += [at_rank(F.floor(position), F.col(c)).alias(f"{a}{i}") for a, c in
+                  (("lo", "v"), ("ln", "cum_n"), ("lp", "cum_n_pos"))]
+        picks.append(at_rank(F.ceil(position), F.col("v")).alias(f"hi{i}"))
+    if categorical:
+        allowed = is_cat & (n >= options.min_samples_leaf) & (size - n >= options.min_samples_leaf)
+        picks.append(F.max(F.when(allowed, F.struct(
+            F.round(_gain(n, F.col("n_pos"), options), GAIN_DIGITS).alias("g"), (-F.col("v")).alias("v"), n.alias("n"),
+            F.col("n_pos").alias("n_pos")))).alias("category"))
     facts = running.groupBy(*node).agg(F.count(F.lit(1)).alias("k"), *picks)
 
     def threshold(i: int) -> Column:
-        position = (F.col("size") - 1) * F.lit(points[i])
-        low = F.col(f"lo{i}.v")
-        high = F.col(f"hi{i}")
+        position = (size - 1) * F.lit(points[i])
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
         between = low + (high - low) * (position - F.floor(position))
         at = F.when((high > low) & (between >= high), low).otherwise(between)
         # Rows up to an interpolated threshold are the rows up to the value below it.
-        return F.struct(at.alias("at"), F.col(f"lo{i}.n").alias("left_n"), F.col(f"lo{i}.n_pos").alias("left_pos"))
+        return F.struct(at.alias("at"), F.lit(False).alias("is_cat"), F.col(f"ln{i}").alias("left_n"),
+                        F.col(f"lp{i}").alias("left_pos"))
 
-    tried = None
+    tried = F.when(F.lit(False), F.array(threshold(0)))
+    if categorical:
+        best = F.struct((-F.col("category.v")).alias("at"), F.lit(True).alias("is_cat"), F.col("category.n").alias("left_n"),
+                        F.col("category.n_pos").alias("left_pos"))
+        tried = F.when(is_cat, F.when(F.col("category").isNotNull(), F.array(best)))
     for k, qs in THRESHOLD_POINTS.items():
         chosen = F.array(*[threshold(points.index(q)) for q in qs])
-        enough = F.col("k") >= 5 if k == 5 else F.col("k") == k
-        tried = F.when(enough, chosen) if tried is None else tried.when(enough, chosen)
-    exploded = facts.select(*node, F.explode(tried).alias("t"))
-    parts.append(exploded.select(*node, "t.at", F.lit(False).alias("is_cat"), "t.left_n", "t.left_pos"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        tried = tried.when(F.col("k") >= 5 if k == 5 else F.col("k") == k, chosen)
+    return facts.select(*node, F.explode(tried).alias("t")).select(*node, "t.*")
+
+
+def _gain(left_n: Column, left_pos: Column, options: TreeOptions) -> Column:
+    return information_gain(F.col("size") - F.col("size_pos"), F.col("size_pos"), left_n - left_pos, left_pos, options.criterion)
 
 
 def best_splits(candidates: DataFrame, options: TreeOptions) -> DataFrame:
     """Highest gain per node; the first feature and the lowest threshold win ties."""
-    gain = information_gain(F.col("size") - F.col("size_pos"), F.col("size_pos"),
-                            F.col("left_n") - F.col("left_pos"), F.col("left_pos"), options.criterion)
     leaf = options.min_samples_leaf
     fit = (candidates.where((F.col("left_n") >= leaf) & (F.col("size") - F.col("left_n") >= leaf))
-           .withColumn("gain", gain).withColumn("_g", F.round("gain", GAIN_DIGITS)).where(F.col("_g") > 0))
+           .withColumn("gain", _gain(F.col("left_n"), F.col("left_pos"), options))
+           .withColumn("_g", F.round("gain", GAIN_DIGITS)).where(F.col("_g") > 0))
     best = F.max_by(F.struct("f", "at", "is_cat", "gain", "left_n", "left_pos"),
                     F.struct(F.col("_g"), -F.col("f"), -F.col("at")))
     return (fit.groupBy("tree", "node", "size", "size_pos").agg(best.alias("s"))
@@ -245,14 +256,14 @@ def grow(df: DataFrame, features: Sequence[str], y01: str, subsets: dict[int, li
                 F.lit(roots[t].n_pos).cast("bigint").alias("size_pos"), F.array(*[F.lit(f) for f in chosen]).alias("fs"))
                 for t, chosen in subsets.items() if any(k[0] == t for k in open_nodes)])
             drawn = with_draws(base.select("*", F.explode(seeds).alias("_t")).select(*base.columns, "_t.*"),
-                               bootstrap_seed).where(F.col("w") > 0)
+                               bootstrap_seed)
             extra = [F.element_at("b", F.col("f") + 1).alias("b")] if bucketed else []
             spread = (_route(drawn, levels).withColumn("f", F.explode("fs"))
                       .select("tree", "node", "size", "size_pos", "f", *extra, F.element_at("x", F.col("f") + 1).alias("v"),
                               "w", "y"))
             counts = (spread.groupBy("tree", "node", "size", "size_pos", "f", *(["b"] if bucketed else []), "v")
                       .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("n_pos")))
-            found = best_splits(candidate_splits(counts, cat, bucketed), options).collect()
+            found = best_splits(candidate_splits(counts, cat, options, bucketed), options).collect()
             rows, children = [], {}
             for r in found:
                 parent = open_nodes[(r["tree"], r["node"])]
