@@ -133,14 +133,14 @@ _logistic("early_stopping_fit", "reg_logistic_weighted", 21, gamma=0.3, penalty=
        f"count(*) FILTER (y = 1) AS n1 FROM ({orders_sql(False)}) GROUP BY custkey)")
 def gini(spark, sf):
     counts = class_counts(f_orders(spark, sf, False), "custkey")
-    return rounded(counts.select("custkey", scalar.gini(F.col("n0"), F.col("n1")).alias("gini")))
+    return rounded(counts.select("custkey", scalar.gini("n0", "n1").alias("gini")))
 
 
 @query("entropy", f"SELECT custkey, {r6_sql(impurity_sql('n0', 'n1', 'entropy'))} AS entropy FROM (SELECT custkey, count(*) FILTER (y = -1) AS n0, "
        f"count(*) FILTER (y = 1) AS n1 FROM ({orders_sql(False)}) GROUP BY custkey)")
 def entropy(spark, sf):
     counts = class_counts(f_orders(spark, sf, False), "custkey")
-    return rounded(counts.select("custkey", scalar.entropy(F.col("n0"), F.col("n1")).alias("entropy")))
+    return rounded(counts.select("custkey", scalar.entropy("n0", "n1").alias("entropy")))
 
 
 def class_counts(df, *keys):
@@ -156,8 +156,8 @@ def information_gain(spark, sf):
     counts = f_orders(spark, sf, False).groupBy("order_month").agg(
         F.count_if(y == -1).alias("n0"), F.count_if(y == 1).alias("n1"),
         F.count_if(left & (y == -1)).alias("l0"), F.count_if(left & (y == 1)).alias("l1"))
-    args = [F.col(c) for c in ("n0", "n1", "l0", "l1")]
-    return rounded(counts.select("order_month", *[scalar.information_gain(*args, c).alias(c) for c in ("gini", "entropy")]))
+    gains = [scalar.information_gain("n0", "n1", "l0", "l1", c).alias(c) for c in ("gini", "entropy")]
+    return rounded(counts.select("order_month", *gains))
 
 
 TREE_FEATURES = ["totalprice", "order_month", "status_code", "survey", "n_lines", "qty"]
@@ -235,9 +235,8 @@ def feature_subsets(spark, sf):
     df, parts = f_tree(spark, sf), []
     for t in range(TREES):
         chosen = [TREE_FEATURES[i] for i in tree.feature_subset(len(TREE_FEATURES), tree.subset_size("sqrt", len(TREE_FEATURES)), SEED, t)]
-        w = F.col("w")
         parts.append(per_column(tree.with_draws(df.withColumn("tree", F.lit(t)), SEED), chosen, {
-            "drawn": lambda c: F.sum(w).cast("bigint"), "mean": lambda c: F.sum(w * c) / F.sum(w)}).withColumn("tree", F.lit(t)))
+            "drawn": "CAST(sum(w) AS BIGINT)", "mean": "sum(w * {c}) / sum(w)"}).withColumn("tree", F.lit(t)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

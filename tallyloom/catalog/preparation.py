@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import balance, encode, impute, scale, select
-from ..operators.columns import value_counts
+from ..operators.columns import MISSING, per_column, value_counts
 from ..plans import levels
 from ..sources import sinks, tables
 from .base import (
@@ -310,8 +310,7 @@ def fit_preset(spark, sf):
     part = {**{f: "continuous" for f in state.continuous}, **{f: "categorical" for f in state.categorical},
             **{f: "dropped" for f in state.dropped}}
     learned = spark.createDataFrame([(f, p, state.fill.get(f)) for f, p in part.items()], "feature string, part string, fill double")
-    from ..operators.columns import per_column
-    gaps = per_column(train, FEATURES, {"missing": lambda c: F.count_if(c.isNull())})
+    gaps = per_column(train, FEATURES, {"missing": MISSING})
     return rounded(learned.join(gaps, "feature"), 3)
 
 

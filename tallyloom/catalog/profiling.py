@@ -170,7 +170,7 @@ def survey_code_flag(spark, sf):
     from ..functions.scalar import is_survey_code
     from .base import table
     lines = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return lines.select("l_suppkey", is_survey_code(F.col("l_suppkey").cast("double")).alias("is_code"), "n")
+    return lines.select("l_suppkey", is_survey_code("l_suppkey").alias("is_code"), "n")
 
 
 CODES = """, ranked AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value DESC) AS p,

@@ -35,12 +35,9 @@ def unit_hash(id_column: Column, seed: int | Column) -> Column:
     return id_hash(id_column, seed) / F.lit(float(PRIME))
 
 
-def poisson_draws(unit: Column) -> Column:
-    """Draws of a row into a bootstrap sample as large as the table, from its uniform number (best a plain column)."""
-    weight = F.lit(0)
-    for bound in POISSON_ONE_CDF:
-        weight = weight + F.when(unit >= bound, 1).otherwise(0)
-    return weight
+def poisson_draws(unit: str) -> Column:
+    """Draws of a row into a bootstrap sample as large as the table, from the column with its uniform number."""
+    return F.expr(" + ".join(f"CASE WHEN {unit} >= {bound!r}D THEN 1 ELSE 0 END" for bound in POISSON_ONE_CDF))
 
 
 def left_out(unit: Column) -> Column:

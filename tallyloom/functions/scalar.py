@@ -1,4 +1,8 @@
-"""Row-level expressions: scores, losses, labels, impurities, survey codes."""
+"""Row-level expressions: scores, losses, labels, impurities, survey codes.
+
+Expressions that are built for many columns are written as SQL text: one text is parsed in one call, where the same
+expression made of Column objects takes a call per operator.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +17,24 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal in SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number(value: float) -> str:
+    """A double literal in SQL text."""
+    return f"{float(value)!r}D"
+
+
 def linear_score(weights: Mapping[str, float]) -> Column:
     """Dot product of the named columns with their weights; null as soon as one column is null."""
-    total = F.lit(0.0)
-    for name, weight in weights.items():
-        total = total + col(name) * F.lit(float(weight))
-    return total
+    return F.expr(" + ".join(f"CAST({quoted(c)} AS DOUBLE) * {number(w)}" for c, w in weights.items()) or "0D")
 
 
 def sigmoid(z: Column) -> Column:
@@ -48,32 +64,47 @@ def class_weight(y: Column, weights: Mapping[int, float]) -> Column:
     return out
 
 
-def gini(n0: Column, n1: Column) -> Column:
-    n = n0 + n1
-    return F.when(n > 0, 1.0 - (n0 / n) * (n0 / n) - (n1 / n) * (n1 / n)).otherwise(0.0)
+def _gini(n0: str, n1: str) -> str:
+    n = f"({n0} + {n1})"
+    return f"(CASE WHEN {n} > 0 THEN 1D - ({n0} / {n}) * ({n0} / {n}) - ({n1} / {n}) * ({n1} / {n}) ELSE 0D END)"
+
+
+def _entropy(n0: str, n1: str) -> str:
+    n = f"({n0} + {n1})"
+    terms = " + ".join(f"({k} / {n}) * log2({k} / {n} + 1e-10D)" for k in (n0, n1))
+    return f"(CASE WHEN {n} > 0 THEN -({terms}) ELSE 0D END)"
+
+
+def _impurity(criterion: str):
+    return _gini if criterion == "gini" else _entropy
+
+
+def gini(n0: str, n1: str) -> Column:
+    """Gini impurity from the class counts (column names or SQL text)."""
+    return F.expr(_gini(n0, n1))
 
 
-def entropy(n0: Column, n1: Column) -> Column:
-    n = n0 + n1
+def entropy(n0: str, n1: str) -> Column:
+    return F.expr(_entropy(n0, n1))
 
-    def term(count: Column) -> Column:
-        return (count / n) * F.log2(count / n + 1e-10)
 
-    return F.when(n > 0, -(term(n0) + term(n1))).otherwise(0.0)
+def gain_text(n0: str, n1: str, left0: str, left1: str, criterion: str = "gini") -> str:
+    """Impurity of a node minus the size-weighted impurity of its two children; anything but gini means entropy."""
+    impurity = _impurity(criterion)
+    n, left = f"({n0} + {n1})", f"({left0} + {left1})"
+    inside = f"{left} / {n} * {impurity(left0, left1)}"
+    outside = f"({n} - {left}) / {n} * {impurity(f'({n0} - {left0})', f'({n1} - {left1})')}"
+    return f"(CASE WHEN {n} > 0 THEN {impurity(n0, n1)} - ({inside} + {outside}) ELSE 0D END)"
 
 
-IMPURITIES = {"gini": gini, "entropy": entropy}
+def information_gain(n0: str, n1: str, left0: str, left1: str, criterion: str = "gini") -> Column:
+    return F.expr(gain_text(n0, n1, left0, left1, criterion))
 
 
-def information_gain(n0: Column, n1: Column, left0: Column, left1: Column, criterion: str = "gini") -> Column:
-    """Impurity of a node minus the size-weighted impurity of its two children."""
-    impurity = IMPURITIES.get(criterion, entropy)
-    n, left = n0 + n1, left0 + left1
-    right0, right1 = n0 - left0, n1 - left1
-    children = (left / n) * impurity(left0, left1) + ((n - left) / n) * impurity(right0, right1)
-    return F.when(n > 0, impurity(n0, n1) - children).otherwise(0.0)
+def survey_code_text(v: str) -> str:
+    return f"CAST(CAST(abs({v}) AS BIGINT) AS STRING) RLIKE '^([70]+|[90]+)$'"
 
 
-def is_survey_code(v: Column) -> Column:
+def is_survey_code(v: str) -> Column:
     """True when the integer part is written with 7 and 0 only, or with 9 and 0 only."""
-    return F.abs(v).cast("bigint").cast("string").rlike("^([70]+|[90]+)$")
+    return F.expr(survey_code_text(v))

@@ -10,21 +10,28 @@ Two shapes serve every profiler and every fit:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import quoted, text
 
 BATCH = 64
 
-Measure = Callable[[Column], Column]
+# Aggregates of a column, as SQL text with {c} for the column.
+ROWS = "count(1)"
+MISSING = "count_if({c} IS NULL)"
+MISSING_SHARE = "avg(CASE WHEN {c} IS NULL THEN 1D ELSE 0D END)"
+WHOLE = "bool_and({c} % 1 = 0)"
+LOW, HIGH, MEAN, STD, KNOWN = "min({c})", "max({c})", "avg({c})", "stddev_pop({c})", "count({c})"
+# A value within a ten-thousandth of the median's rank: the majority value, if the column has one.
+MEDIAN_SKETCH = "percentile_approx(CAST({c} AS DOUBLE), 0.5D, 10000)"
 
 
-def per_column(df: DataFrame, features: Sequence[str], measures: Mapping[str, Measure],
-               shared: Mapping[str, Column] | None = None, batch: int = BATCH) -> DataFrame:
+def per_column(df: DataFrame, features: Sequence[str], measures: Mapping[str, str],
+               shared: Mapping[str, str] | None = None, batch: int = BATCH) -> DataFrame:
     """One row per feature with the given aggregates: ``feature, *measures, *shared``.
 
     ``shared`` aggregates belong to the table, not to a column; they are computed once per batch.
@@ -33,12 +40,13 @@ def per_column(df: DataFrame, features: Sequence[str], measures: Mapping[str, Me
     parts = []
     for start in range(0, len(features), batch):
         chunk = features[start:start + batch]
-        facts = df.agg(*[
-            F.struct(F.lit(name).alias("feature"), *[fn(col(name)).alias(key) for key, fn in measures.items()])
-            .alias(f"c{i}")
-            for i, name in enumerate(chunk)
-        ], *[value.alias(key) for key, value in shared.items()])
-        parts.append(facts.select(F.inline(F.array(*[f"c{i}" for i in range(len(chunk))])), *shared))
+        structs = []
+        for i, name in enumerate(chunk):
+            fields = ", ".join(f"'{key}', {sql.replace('{c}', quoted(name))}" for key, sql in measures.items())
+            structs.append(f"named_struct('feature', {text(name)}, {fields}) AS c{i}")
+        facts = df.selectExpr(*structs, *[f"{sql} AS {quoted(key)}" for key, sql in shared.items()])
+        listed = ", ".join(f"c{i}" for i in range(len(chunk)))
+        parts.append(facts.selectExpr(f"inline(array({listed}))", *[quoted(k) for k in shared]))
     return reduce(DataFrame.union, parts)
 
 
@@ -47,24 +55,16 @@ def value_counts(df: DataFrame, features: Sequence[str], label: str | None = Non
 
     The long form carries a short column number, not the column name, through the shuffle.
     """
-    ids = [] if label is None else [(col(label) == 1).cast("int").alias("_pos")]
-    keyed = df.select(*ids, *[col(name).cast("double").alias(str(i)) for i, name in enumerate(features)])
-    long = keyed.unpivot(["_pos"] if ids else [], [str(i) for i in range(len(features))], "_k", "value")
-    counts = [F.count(F.lit(1)).alias("n")] + ([F.sum("_pos").alias("n_pos")] if ids else [])
-    names = F.array(*[F.lit(name) for name in features])
+    ids = [] if label is None else ["_pos"]
+    keyed = df.selectExpr(*([f"CAST({quoted(label)} = 1 AS INT) AS _pos"] if ids else []),
+                          *[f"CAST({quoted(name)} AS DOUBLE) AS `{i}`" for i, name in enumerate(features)])
+    long = keyed.unpivot(ids, [str(i) for i in range(len(features))], "_k", "value")
+    counts = [F.expr("count(1) AS n"), *([F.expr("sum(_pos) AS n_pos")] if ids else [])]
+    names = ", ".join(text(name) for name in features)
     return (long.groupBy("_k", "value").agg(*counts)
-            .select(F.element_at(names, F.col("_k").cast("int") + 1).alias("feature"), "value",
-                    *(["n", "n_pos"] if ids else ["n"])))
+            .selectExpr(f"element_at(array({names}), CAST(_k AS INT) + 1) AS feature", "value", "n", *(["n_pos"] if ids else [])))
 
 
 def distinct_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Exact number of distinct non-missing values: ``feature, distinct``."""
-    return (value_counts(df, features).groupBy("feature").agg(F.count("value").alias("distinct")))
-
-
-def is_missing_share(c: Column) -> Column:
-    return F.avg(c.isNull().cast("double"))
-
-
-def all_integer(c: Column) -> Column:
-    return F.bool_and(c % 1 == 0)
+    return value_counts(df, features).groupBy("feature").agg(F.count("value").alias("distinct"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import col, number, quoted
 from .columns import value_counts
 from .profile import short_features
 
@@ -31,7 +31,7 @@ def one_hot_all(df: DataFrame, features: Sequence[str], max_categories: int = 30
         for r in rows.where(F.size("values") <= max_categories).collect():
             values[r["feature"]] = r["values"]
     filled = {f for f in features if values[f]}
-    columns = [(col(f) == F.lit(v)).eqNullSafe(True).cast("double").alias(f"{f}={value_name(v)}")
+    columns = [F.expr(f"CAST({quoted(f)} <=> {number(v)} AS DOUBLE) AS {quoted(f'{f}={value_name(v)}')}")
                for f in features for v in values[f]]
     empty = set()
     rest = [f for f in features if f not in filled]
@@ -88,18 +88,22 @@ def collect_one_hot(spec: DataFrame) -> dict[str, OneHotSpec]:
     return out
 
 
-def one_hot_columns(feature: str, value: Column, spec: OneHotSpec) -> list[Column]:
-    """Kept values in order, then OTHER for every row that matches none of them (if the fit left values out)."""
-    out = [(value == F.lit(v)).eqNullSafe(True).cast("double").alias(f"{feature}={value_name(v)}") for v in spec.values]
+def one_hot_columns(feature: str, value: str, spec: OneHotSpec) -> list[Column]:
+    """Kept values in order, then OTHER for every row that matches none of them (if the fit left values out).
+
+    ``value`` is the SQL text of the (filled) feature.
+    """
+    out = [F.expr(f"CAST({value} <=> {number(v)} AS DOUBLE) AS {quoted(f'{feature}={value_name(v)}')}") for v in spec.values]
     if spec.other:
-        hit = value.isin(spec.values).eqNullSafe(True) if spec.values else F.lit(False)
-        out.append((~hit).cast("double").alias(f"{feature}=OTHER"))
+        kept = ", ".join(number(v) for v in spec.values)
+        hit = f"coalesce({value} IN ({kept}), false)" if spec.values else "false"
+        out.append(F.expr(f"CAST(NOT {hit} AS DOUBLE) AS {quoted(f'{feature}=OTHER')}"))
     return out
 
 
 def apply_one_hot(df: DataFrame, features: Sequence[str], specs: Mapping[str, OneHotSpec],
                   keep: Sequence[str] = ("id",)) -> DataFrame:
-    return df.select(*keep, *[c for f in features for c in one_hot_columns(f, col(f), specs[f])])
+    return df.select(*keep, *[c for f in features for c in one_hot_columns(f, quoted(f), specs[f])])
 
 
 # --- target encoding ------------------------------------------------------------------------------------------------
@@ -148,18 +152,18 @@ def collect_target_encoding(spec: DataFrame) -> dict[str, TargetSpec]:
     return out
 
 
-def target_encoded(value: Column, spec: TargetSpec, global_mean: float) -> Column:
+def target_encoded(value: str, spec: TargetSpec, global_mean: float) -> Column:
     """Encoding of a kept value, else the pooled one when the fit left values out, else the global mean."""
-    fallback = F.lit(spec.other if spec.has_other else float(global_mean))
+    fallback = number(spec.other if spec.has_other else global_mean)
     if not spec.encodings:
-        return fallback
-    table = F.create_map(*[F.lit(x) for pair in spec.encodings.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, value), fallback)
+        return F.expr(fallback)
+    table = ", ".join(f"{number(k)}, {number(v)}" for k, v in spec.encodings.items())
+    return F.expr(f"coalesce(try_element_at(map({table}), {value}), {fallback})")
 
 
 def apply_target_encoding(df: DataFrame, features: Sequence[str], specs: Mapping[str, TargetSpec], global_mean: float,
                           keep: Sequence[str] = ("id",)) -> DataFrame:
-    return df.select(*keep, *[target_encoded(col(f), specs[f], global_mean).alias(f) for f in features])
+    return df.select(*keep, *[target_encoded(quoted(f), specs[f], global_mean).alias(f) for f in features])
 
 
 def impute_counts(counts: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import number, quoted
 from .columns import per_column, value_counts
 from .quantiles import IN_TASK_ROWS, exact_quantiles
 
@@ -15,7 +15,7 @@ CONTINUOUS_STRATEGIES = ("mean", "median")
 
 
 def mean_fill(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return per_column(df, features, {"fill": lambda c: F.coalesce(F.avg(c), F.lit(0.0))})
+    return per_column(df, features, {"fill": "coalesce(avg({c}), 0D)"})
 
 
 def median_fill(df: DataFrame, features: Sequence[str], in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
@@ -48,6 +48,10 @@ def fit_fill(df: DataFrame, continuous: Sequence[str], others: Sequence[str], st
     return fill
 
 
+def filled_text(feature: str, fill: Mapping[str, float]) -> str:
+    return f"coalesce(CAST({quoted(feature)} AS DOUBLE), {number(fill.get(feature, 0.0))})"
+
+
 def apply_fill(df: DataFrame, features: Sequence[str], fill: Mapping[str, float]) -> DataFrame:
     """Replace missing cells; a feature without a fitted value gets 0."""
-    return df.withColumns({f: F.coalesce(col(f).cast("double"), F.lit(float(fill.get(f, 0.0)))) for f in features})
+    return df.withColumns({f: F.expr(filled_text(f, fill)) for f in features})

@@ -9,8 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col, linear_score, log_loss, sigmoid
-from .columns import per_column
+from ..functions.scalar import col, linear_score, log_loss, quoted, sigmoid
+from .columns import MEAN, per_column
 from .gradient import Fit, Model, add_up, fit_models, gram, pack, partitions
 from .ranks import hash_index
 
@@ -29,8 +29,8 @@ def logistic_loss(df: DataFrame, weights: dict[str, float], y01: str = "y01") ->
 
 def logistic_gradient(df: DataFrame, weights: dict[str, float], y01: str = "y01") -> DataFrame:
     """``feature, gradient`` of the mean log loss."""
-    residual = sigmoid(linear_score(weights)) - F.col(y01)
-    return per_column(df, list(weights), {"gradient": lambda c: F.avg(residual * c)})
+    scored = df.withColumn("_residual", sigmoid(linear_score(weights)) - F.col(y01))
+    return per_column(scored, list(weights), {"gradient": "avg(_residual * {c})"})
 
 
 def linear_gd(df: DataFrame, features: Sequence[str], target: str, gamma: float, max_iters: int) -> Fit:
@@ -77,9 +77,9 @@ def product_sums(df: DataFrame, features: Sequence[str], target: str) -> tuple[n
         return gram(df, features, target)
     d = len(features)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    x = [col(f).cast("double") for f in features]
-    row = df.agg(*[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in pairs],
-                 *[F.sum(x[i] * F.col(target)).alias(f"t{i}") for i in range(d)], F.count(F.lit(1)).alias("n")).first()
+    x = [f"CAST({quoted(f)} AS DOUBLE)" for f in features]
+    row = df.selectExpr(*[f"sum({x[i]} * {x[j]}) AS g{i}_{j}" for i, j in pairs],
+                        *[f"sum({x[i]} * {quoted(target)}) AS t{i}" for i in range(d)], "count(1) AS n").first()
     xtx = np.zeros((d, d))
     for i, j in pairs:
         xtx[i, j] = xtx[j, i] = row[f"g{i}_{j}"]
@@ -121,7 +121,7 @@ def fit_logistic(df: DataFrame, features: Sequence[str], y01: str, models: Seque
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
     """Pearson correlations after missing cells took their column's mean; constant columns have none (NaN)."""
-    means = {r["feature"]: r["mean"] for r in per_column(df, features, {"mean": F.avg}).collect()}
+    means = {r["feature"]: r["mean"] for r in per_column(df, features, {"mean": MEAN}).collect()}
     centers = [means[f] if means[f] is not None else 0.0 for f in features]
     if len(features) > NARROW:
         products = gram(df, features, center=centers)[0]

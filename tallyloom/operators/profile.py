@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
-from .columns import distinct_counts, is_missing_share, per_column, value_counts
+from ..functions.scalar import col, number, quoted, text
+from .columns import (
+    HIGH, LOW, MEAN, MEDIAN_SKETCH, MISSING, MISSING_SHARE, STD, distinct_counts, per_column, value_counts,
+)
 from .quantiles import IN_TASK_ROWS, exact_quantiles
 
 # Above this share a most frequent value is certain to be what a median sketch returns.
@@ -31,12 +33,9 @@ def label_counts(df: DataFrame, label: str = "y") -> DataFrame:
 def summarize(df: DataFrame, features: Sequence[str], in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
     """``feature, min, max, mean, median, std, missing, distinct`` with missing values left out of the statistics."""
     rows = df.count()
-    measures = {
-        "min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_pop,
-        "missing": lambda c: F.count_if(c.isNull()),
-    }
+    measures = {"min": LOW, "max": HIGH, "mean": MEAN, "std": STD, "missing": MISSING}
     if rows <= in_task_rows:
-        facts = per_column(df, features, {**measures, "median": lambda c: F.percentile(c, F.lit(0.5))})
+        facts = per_column(df, features, {**measures, "median": "percentile({c}, 0.5D)"})
     else:
         medians = exact_quantiles(df, features, [0.5], rows, in_task_rows)
         facts = (per_column(df, features, measures)
@@ -46,7 +45,7 @@ def summarize(df: DataFrame, features: Sequence[str], in_task_rows: int = IN_TAS
 
 
 def missing_shares(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return per_column(df, features, {"missing_share": is_missing_share})
+    return per_column(df, features, {"missing_share": MISSING_SHARE})
 
 
 def missing_overview(shares: DataFrame) -> DataFrame:
@@ -67,15 +66,10 @@ def missing_bins(shares: DataFrame, edges: Sequence[float] = MISSING_EDGES) -> D
 
 def constant_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features with a single distinct value; equal extremes say so without counting values."""
-    facts = per_column(df, features, {"low": F.min, "high": F.max})
+    facts = per_column(df, features, {"low": LOW, "high": HIGH})
     return facts.where(F.col("low") == F.col("high")).select("feature", F.col("low").alias("value"))
 
 
-def median_sketch(c: Column) -> Column:
-    """A value within a ten-thousandth of the median's rank: the majority value, if the column has one."""
-    return F.percentile_approx(c.cast("double"), 0.5, 10000)
-
-
 def top_value_shares(df: DataFrame, features: Sequence[str], threshold: float) -> DataFrame:
     """``feature, value, share`` of the features whose most frequent value reaches the threshold.
 
@@ -83,14 +77,14 @@ def top_value_shares(df: DataFrame, features: Sequence[str], threshold: float) -
     thresholds two column scans (sketch the median, count the rows equal to it) replace the count of every value.
     """
     if threshold > MAJORITY:
-        sketch = per_column(df, features, {"value": median_sketch})
+        sketch = per_column(df, features, {"value": MEDIAN_SKETCH})
         candidate = {r["feature"]: r["value"] for r in sketch.collect()}
-        hits = [F.struct(F.lit(f).alias("feature"), F.lit(v).cast("double").alias("value"),
-                         (F.count_if(col(f).cast("double") == F.lit(v)) / F.count(F.lit(1))).alias("share")).alias(f"c{i}")
-                for i, (f, v) in enumerate(candidate.items()) if v is not None]
-        if not hits:
+        known = {f: v for f, v in candidate.items() if v is not None}
+        if not known:
             return df.sparkSession.createDataFrame([], "feature string, value double, share double")
-        shares = df.agg(*hits).select(F.inline(F.array(*[f"`c{i}`" for i, v in enumerate(candidate.values()) if v is not None])))
+        hits = [f"named_struct('feature', {text(f)}, 'value', {number(v)}, 'share', "
+                f"count_if(CAST({quoted(f)} AS DOUBLE) = {number(v)}) / count(1)) AS c{i}" for i, (f, v) in enumerate(known.items())]
+        shares = df.selectExpr(*hits).selectExpr(f"inline(array({', '.join(f'c{i}' for i in range(len(hits)))}))")
     else:
         counts = value_counts(df, features)
         known = F.col("value").isNotNull()
@@ -114,7 +108,7 @@ def positive_rate_by_value(df: DataFrame, features: Sequence[str], label: str) -
 
 
 def scales(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return per_column(df, features, {"min": F.min, "max": F.max, "std": F.stddev_pop})
+    return per_column(df, features, {"min": LOW, "max": HIGH, "std": STD})
 
 
 def scale_summary(stats: DataFrame, low: float = 1e-6, high: float = 1e3) -> DataFrame:
@@ -147,8 +141,7 @@ def equal_width_histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
 def drilldown(df: DataFrame, feature: str) -> DataFrame:
     """Every value of one feature with its count, next to the feature's own facts."""
     facts = per_column(df, [feature], {
-        "missing": lambda c: F.count_if(c.isNull()), "missing_share": is_missing_share,
-        "min": F.min, "max": F.max, "mean": F.avg})
+        "missing": MISSING, "missing_share": MISSING_SHARE, "min": LOW, "max": HIGH, "mean": MEAN})
     counts = value_counts(df, [feature]).where(F.col("value").isNotNull())
     return counts.join(facts, "feature").select("feature", "value", "n", "missing", "missing_share", "min", "max", "mean")
 
@@ -168,14 +161,14 @@ def short_features(df: DataFrame, features: Sequence[str], limit: int) -> list[s
     stays near ``limit``; an estimate above four times the limit therefore rules the feature out, and only the few
     remaining features need an exact count.
     """
-    sketch = per_column(df, features, {"distinct": F.approx_count_distinct})
+    sketch = per_column(df, features, {"distinct": "approx_count_distinct({c})"})
     return [r["feature"] for r in sketch.collect() if r["distinct"] <= 4 * limit + 16]
 
 
 def outlier_report(df: DataFrame, features: Sequence[str], low: float = 0.01, high: float = 0.99,
                    in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
     """Complete features whose extremes lie outside their ``low``/``high`` quantiles."""
-    extremes = per_column(df, features, {"min": F.min, "max": F.max, "missing": lambda c: F.count_if(c.isNull())})
+    extremes = per_column(df, features, {"min": LOW, "max": HIGH, "missing": MISSING})
     bounds = exact_quantiles(df, features, [low, high], in_task_rows=in_task_rows)
     bounds = bounds.select("feature", F.col("quantiles")[0].alias("q_low"), F.col("quantiles")[1].alias("q_high"))
     return (extremes.join(bounds, "feature").where(F.col("missing") == 0)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import col, number
 from .columns import per_column, value_counts
 from .ranks import MAX_BUCKETS, bucket_cuts
 
@@ -26,8 +26,8 @@ def exact_quantiles(df: DataFrame, features: Sequence[str], fractions: Sequence[
     """
     rows = df.count() if rows is None else rows
     if rows <= in_task_rows:
-        points = F.array(*[F.lit(float(q)) for q in fractions])
-        return per_column(df, features, {"quantiles": lambda c: F.percentile(c.cast("double"), points)})
+        points = ", ".join(number(q) for q in fractions)
+        return per_column(df, features, {"quantiles": f"percentile(CAST({{c}} AS DOUBLE), array({points}))"})
     return _by_bucket(df, features, fractions, rows, rows_per_bucket or max(1, rows // MAX_BUCKETS, 100_000))
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col, is_survey_code
-from .columns import all_integer, distinct_counts, per_column, value_counts
+from ..functions.scalar import col, is_survey_code, quoted, survey_code_text
+from .columns import HIGH, KNOWN, LOW, MEAN, MISSING, ROWS, STD, WHOLE, distinct_counts, per_column, value_counts
 from .profile import short_features
 from .quantiles import exact_quantiles
 
@@ -23,8 +23,7 @@ def feature_roles(df: DataFrame, features: Sequence[str], max_categories: int =
     """``feature, role``: ignored, binary, pseudo_binary, categorical or continuous; the first rule that fits wins."""
     few = set(short_features(df, features, max(2, max_categories)))
     facts = per_column(df, features, {
-        "rows": lambda c: F.count(F.lit(1)), "missing": lambda c: F.count_if(c.isNull()),
-        "low": F.min, "high": F.max, "whole": all_integer})
+        "rows": ROWS, "missing": MISSING, "low": LOW, "high": HIGH, "whole": WHOLE})
     if few:
         facts = facts.join(distinct_counts(df, sorted(few)), "feature", "left")
     else:
@@ -55,8 +54,7 @@ def date_or_id_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     Value counts are needed only for the features that range and integrality leave open.
     """
     facts = {r["feature"]: r for r in per_column(df, features, {
-        "rows": lambda c: F.count(F.lit(1)), "low": F.min, "high": F.max,
-        "std": F.stddev_pop, "whole": all_integer}).collect()}
+        "rows": ROWS, "low": LOW, "high": HIGH, "std": STD, "whole": WHOLE}).collect()}
     year, month, ident = [], [], []
     for name, r in facts.items():
         if r["low"] is None:
@@ -92,7 +90,7 @@ def survey_codes(df: DataFrame, features: Sequence[str], gap_ratio: float = 2.0)
     The mean gap below the last two follows from the smallest and the third largest value, so three top values and
     the number of values per feature are all the rule needs. Features whose maximum is no code are never counted.
     """
-    tops = per_column(df, features, {"code": lambda c: is_survey_code(F.max(c))})
+    tops = per_column(df, features, {"code": survey_code_text(HIGH)})
     candidates = [r["feature"] for r in tops.where("code").collect()]
     if not candidates:
         return df.sparkSession.createDataFrame([], "feature string, code double")
@@ -105,9 +103,9 @@ def survey_codes(df: DataFrame, features: Sequence[str], gap_ratio: float = 2.0)
     mean_gap = (F.col("v3") - F.col("low")) / (F.col("k") - 3)
     far1 = F.col("v1") - F.col("v2") >= gap_ratio * mean_gap
     far2 = F.col("v2") - F.col("v3") >= gap_ratio * mean_gap
-    both = far1 & far2 & is_survey_code(F.col("v1")) & is_survey_code(F.col("v2"))
+    both = far1 & far2 & is_survey_code("v1") & is_survey_code("v2")
     codes = (F.when(both, F.array("v2", "v1"))
-             .when(far1 & is_survey_code(F.col("v1")), F.array("v1")))
+             .when(far1 & is_survey_code("v1"), F.array("v1")))
     return (spread.where(F.col("k") >= 4).join(top, "feature")
             .select("feature", F.explode(codes).alias("code")))
 
@@ -123,10 +121,9 @@ def clear_survey_codes(df: DataFrame, codes: DataFrame) -> DataFrame:
 def dependent_features(df: DataFrame, parent: str, candidates: Sequence[str], threshold: float = 0.95,
                        missing_is_zero: bool = True) -> DataFrame:
     """``feature, missing_share`` of candidates mostly missing where the parent is zero."""
-    zero = col(parent) == 0
-    zero = F.coalesce(zero, F.lit(True)) if missing_is_zero else zero
+    zero = f"coalesce({quoted(parent)} = 0, {'true' if missing_is_zero else 'false'})"
     facts = per_column(df, [c for c in candidates if c != parent], {
-        "known": F.count, "missing_share": lambda c: F.avg(F.when(zero, c.isNull().cast("double")))})
+        "known": KNOWN, "missing_share": f"avg(CASE WHEN {zero} THEN CAST({{c}} IS NULL AS DOUBLE) END)"})
     return (facts.where((F.col("known") > 0) & (F.col("missing_share") > threshold))
             .select("feature", "missing_share"))
 
@@ -134,10 +131,10 @@ def dependent_features(df: DataFrame, parent: str, candidates: Sequence[str], th
 def suspicious_features(df: DataFrame, features: Sequence[str], label: str, threshold: float = 0.3,
                         wide_range: float = 1e6) -> DataFrame:
     """``feature, reason, amount``: strongly tied to the label, or spanning a huge range; complete columns only."""
-    y = F.col(label).cast("double")
+    y = f"CAST({quoted(label)} AS DOUBLE)"
     facts = per_column(df, features, {
-        "missing": lambda c: F.count_if(c.isNull()), "low": F.min, "high": F.max,
-        "r": lambda c: F.try_divide(F.covar_pop(c.cast("double"), y), F.stddev_pop(c) * F.stddev_pop(y))})
+        "missing": MISSING, "low": LOW, "high": HIGH,
+        "r": f"try_divide(covar_pop(CAST({{c}} AS DOUBLE), {y}), {STD} * stddev_pop({y}))"})
     span = F.col("high") - F.col("low")
     reason = (F.when(F.abs("r") > threshold, "High correlation")
               .when(span > wide_range, "Large range"))
@@ -148,5 +145,5 @@ def suspicious_features(df: DataFrame, features: Sequence[str], label: str, thre
 
 
 def suspect_report(df: DataFrame, suspects: Sequence[str]) -> DataFrame:
-    facts = per_column(df, suspects, {"mean": F.avg, "min": F.min, "max": F.max})
+    facts = per_column(df, suspects, {"mean": MEAN, "min": LOW, "max": HIGH})
     return facts.join(distinct_counts(df, suspects), "feature")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import col, quoted
 from .columns import per_column
 from .profile import constant_features, missing_shares, top_value_shares
 
@@ -35,9 +35,9 @@ def low_variance_features(df: DataFrame, features: Sequence[str], threshold: flo
     return [f for f in features if f in found]
 
 
-def column_print(c: Column, key: str = "id") -> Column:
-    """Order-independent fingerprint of a column's (key, value) pairs."""
-    return F.bit_xor(F.xxhash64(col(key), c.cast("double")))
+def column_print(key: str = "id") -> str:
+    """Order-independent fingerprint of a column's (key, value) pairs, as an aggregate of ``{c}``."""
+    return f"bit_xor(xxhash64({quoted(key)}, CAST({{c}} AS DOUBLE)))"
 
 
 def equal_prints(prints: Mapping[str, int]) -> list[tuple[str, str]]:
@@ -48,8 +48,9 @@ def equal_prints(prints: Mapping[str, int]) -> list[tuple[str, str]]:
     return [pair for g in groups.values() for pair in combinations(g, 2)]
 
 
-def unequal_rows(a: str, b: str) -> Column:
-    return F.count_if(~col(a).cast("double").eqNullSafe(col(b).cast("double")))
+def unequal_rows(a: str, b: str) -> str:
+    """Number of rows in which two columns differ, missing being equal to missing."""
+    return f"count_if(NOT (CAST({quoted(a)} AS DOUBLE) <=> CAST({quoted(b)} AS DOUBLE)))"
 
 
 def first_of_equals(pairs: Sequence[tuple[str, str]], unequal: Sequence[int]) -> dict[str, str]:
@@ -67,12 +68,12 @@ def duplicate_features(df: DataFrame, features: Sequence[str], key: str = "id")
     """
     if len(features) < 2:
         return {}
-    prints = per_column(df, features, {"print": lambda c: column_print(c, key)})
+    prints = per_column(df, features, {"print": column_print(key)})
     found = {r["feature"]: r["print"] for r in prints.collect()}
     pairs = equal_prints({f: found[f] for f in features})
     if not pairs:
         return {}
-    unequal = df.agg(*[unequal_rows(a, b).alias(str(i)) for i, (a, b) in enumerate(pairs)]).first()
+    unequal = df.selectExpr(*[f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)]).first()
     return first_of_equals(pairs, list(unequal))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_number, left_out, poisson_draws, unit_hash
-from ..functions.scalar import col, information_gain
+from ..functions.scalar import col, gain_text, number
 from .ranks import ROWS_PER_BUCKET, bucket_cuts, running_totals
 
 # A node with more rows than this, deeper than this, becomes a leaf.
@@ -126,7 +126,7 @@ def with_draws(rows: DataFrame, seed: int | None, output: str = "w", drawn_only:
     hashed = rows.withColumn("_u", unit_hash(F.col("id"), F.col("tree") + seed * 1000))
     if drawn_only:
         hashed = hashed.where(~left_out(F.col("_u")))
-    return hashed.withColumn(output, poisson_draws(F.col("_u"))).drop("_u")
+    return hashed.withColumn(output, poisson_draws("_u")).drop("_u")
 
 
 def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous: Sequence[int], rows_per_bucket: int
@@ -150,15 +150,15 @@ def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous
 
 def _route(rows: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
     """Send rows down the splits; rows that end in a closed node are dropped."""
+    kept = [c for c in rows.columns if c not in ("node", "size", "size_pos")]
     for splits in levels:
-        value = F.element_at("x", F.col("split_feature") + 1)
-        left = F.when(F.col("split_category"), value == F.col("split_at")).otherwise(value <= F.col("split_at"))
-        rows = (rows.join(F.broadcast(splits), ["tree", "node"]).withColumn("_left", left)
-                .where(F.when(F.col("_left"), F.col("left_open")).otherwise(F.col("right_open")))
-                .select(*[c for c in rows.columns if c not in ("node", "size", "size_pos")],
-                        (2 * F.col("node") + F.when(F.col("_left"), 1).otherwise(2)).alias("node"),
-                        F.when(F.col("_left"), F.col("left_n")).otherwise(F.col("right_n")).alias("size"),
-                        F.when(F.col("_left"), F.col("left_pos")).otherwise(F.col("right_pos")).alias("size_pos")))
+        value = "element_at(x, split_feature + 1)"
+        rows = (rows.join(F.broadcast(splits), ["tree", "node"])
+                .selectExpr("*", f"CASE WHEN split_category THEN {value} = split_at ELSE {value} <= split_at END AS _left")
+                .where("CASE WHEN _left THEN left_open ELSE right_open END")
+                .selectExpr(*kept, "2 * node + CASE WHEN _left THEN 1 ELSE 2 END AS node",
+                            "CASE WHEN _left THEN left_n ELSE right_n END AS size",
+                            "CASE WHEN _left THEN left_pos ELSE right_pos END AS size_pos"))
     return rows
 
 
@@ -176,58 +176,53 @@ def candidate_splits(counts: DataFrame, categorical: Sequence[int], options: Tre
     node = ["tree", "node", "size", "size_pos", "f"]
     running = running_totals(counts, "v", ["n", "n_pos"], node, bucket="b" if bucketed else None)
     points = sorted({q for qs in THRESHOLD_POINTS.values() for q in qs})
-    n, first, size = F.col("n"), F.col("cum_n") - F.col("n"), F.col("size")
-    is_cat = F.col("f").isin(list(categorical)) if categorical else F.lit(False)
-
-    def at_rank(rank: Column, value: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < F.col("cum_n")), value))
-
-    picks = []
-    for i, q in enumerate(points):
-        position = (size - 1) * F.lit(q)
-        picks += [at_rank(F.floor(position), F.col(c)).alias(f"{a}{i}") for a, c in
-                  (("lo", "v"), ("ln", "cum_n"), ("lp", "cum_n_pos"))]
-        picks.append(at_rank(F.ceil(position), F.col("v")).alias(f"hi{i}"))
+    is_cat = f"f IN ({', '.join(map(str, categorical))})" if categorical else "false"
+
+    def position(i: int) -> str:
+        return f"((size - 1) * {number(points[i])})"
+
+    def at_rank(rank: str, value: str) -> str:
+        return f"max(CASE WHEN cum_n - n <= {rank} AND {rank} < cum_n THEN {value} END)"
+
+    picks = ["count(1) AS k"]
+    for i in range(len(points)):
+        low = f"floor({position(i)})"
+        picks += [f"{at_rank(low, value)} AS {name}{i}" for name, value in (("lo", "v"), ("ln", "cum_n"), ("lp", "cum_n_pos"))]
+        picks.append(f"{at_rank(f'ceil({position(i)})', 'v')} AS hi{i}")
     if categorical:
-        allowed = is_cat & (n >= options.min_samples_leaf) & (size - n >= options.min_samples_leaf)
-        picks.append(F.max(F.when(allowed, F.struct(
-            F.round(_gain(n, F.col("n_pos"), options), GAIN_DIGITS).alias("g"), (-F.col("v")).alias("v"), n.alias("n"),
-            F.col("n_pos").alias("n_pos")))).alias("category"))
-    facts = running.groupBy(*node).agg(F.count(F.lit(1)).alias("k"), *picks)
-
-    def threshold(i: int) -> Column:
-        position = (size - 1) * F.lit(points[i])
-        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        between = low + (high - low) * (position - F.floor(position))
-        at = F.when((high > low) & (between >= high), low).otherwise(between)
+        leaf = options.min_samples_leaf
+        own = f"round({_gain('n', 'n_pos', options)}, {GAIN_DIGITS})"
+        picks.append(f"max(CASE WHEN {is_cat} AND n >= {leaf} AND size - n >= {leaf} THEN "
+                     f"named_struct('g', {own}, 'v', -v, 'n', n, 'n_pos', n_pos) END) AS category")
+    facts = running.groupBy(*node).agg(*[F.expr(p) for p in picks])
+
+    def threshold(i: int) -> str:
+        between = f"(lo{i} + (hi{i} - lo{i}) * ({position(i)} - floor({position(i)})))"
         # Rows up to an interpolated threshold are the rows up to the value below it.
-        return F.struct(at.alias("at"), F.lit(False).alias("is_cat"), F.col(f"ln{i}").alias("left_n"),
-                        F.col(f"lp{i}").alias("left_pos"))
+        return (f"named_struct('at', CASE WHEN hi{i} > lo{i} AND {between} >= hi{i} THEN lo{i} ELSE {between} END, "
+                f"'is_cat', false, 'left_n', ln{i}, 'left_pos', lp{i})")
 
-    tried = F.when(F.lit(False), F.array(threshold(0)))
+    branches = ""
     if categorical:
-        best = F.struct((-F.col("category.v")).alias("at"), F.lit(True).alias("is_cat"), F.col("category.n").alias("left_n"),
-                        F.col("category.n_pos").alias("left_pos"))
-        tried = F.when(is_cat, F.when(F.col("category").isNotNull(), F.array(best)))
+        best = "named_struct('at', -category.v, 'is_cat', true, 'left_n', category.n, 'left_pos', category.n_pos)"
+        branches = f"WHEN {is_cat} THEN CASE WHEN category IS NOT NULL THEN array({best}) END "
     for k, qs in THRESHOLD_POINTS.items():
-        chosen = F.array(*[threshold(points.index(q)) for q in qs])
-        tried = tried.when(F.col("k") >= 5 if k == 5 else F.col("k") == k, chosen)
-    return facts.select(*node, F.explode(tried).alias("t")).select(*node, "t.*")
+        chosen = ", ".join(threshold(points.index(q)) for q in qs)
+        branches += f"WHEN k {'>=' if k == 5 else '='} {k} THEN array({chosen}) "
+    return facts.selectExpr(*node, f"inline(CASE {branches}END)")
 
 
-def _gain(left_n: Column, left_pos: Column, options: TreeOptions) -> Column:
-    return information_gain(F.col("size") - F.col("size_pos"), F.col("size_pos"), left_n - left_pos, left_pos, options.criterion)
+def _gain(left_n: str, left_pos: str, options: TreeOptions) -> str:
+    return gain_text("(size - size_pos)", "size_pos", f"({left_n} - {left_pos})", left_pos, options.criterion)
 
 
 def best_splits(candidates: DataFrame, options: TreeOptions) -> DataFrame:
     """Highest gain per node; the first feature and the lowest threshold win ties."""
     leaf = options.min_samples_leaf
-    fit = (candidates.where((F.col("left_n") >= leaf) & (F.col("size") - F.col("left_n") >= leaf))
-           .withColumn("gain", _gain(F.col("left_n"), F.col("left_pos"), options))
-           .withColumn("_g", F.round("gain", GAIN_DIGITS)).where(F.col("_g") > 0))
-    best = F.max_by(F.struct("f", "at", "is_cat", "gain", "left_n", "left_pos"),
-                    F.struct(F.col("_g"), -F.col("f"), -F.col("at")))
-    return (fit.groupBy("tree", "node", "size", "size_pos").agg(best.alias("s"))
+    fit = (candidates.where(f"left_n >= {leaf} AND size - left_n >= {leaf}")
+           .selectExpr("*", f"{_gain('left_n', 'left_pos', options)} AS gain").where(f"round(gain, {GAIN_DIGITS}) > 0"))
+    best = F.expr(f"max_by(struct(f, at, is_cat, gain, left_n, left_pos), struct(round(gain, {GAIN_DIGITS}), -f, -at)) AS s")
+    return (fit.groupBy("tree", "node", "size", "size_pos").agg(best)
             .select("tree", "node", "size", "size_pos", "s.*"))
 
 
@@ -251,18 +246,16 @@ def grow(df: DataFrame, features: Sequence[str], y01: str, subsets: dict[int, li
         roots = {n.tree: n for n in nodes}
         while open_nodes:
             # One array entry per tree: its root, its size and its features.
-            seeds = F.array(*[F.struct(
-                F.lit(t).alias("tree"), F.lit(0).cast("bigint").alias("node"), F.lit(roots[t].n).cast("bigint").alias("size"),
-                F.lit(roots[t].n_pos).cast("bigint").alias("size_pos"), F.array(*[F.lit(f) for f in chosen]).alias("fs"))
-                for t, chosen in subsets.items() if any(k[0] == t for k in open_nodes)])
-            drawn = with_draws(base.select("*", F.explode(seeds).alias("_t")).select(*base.columns, "_t.*"),
-                               bootstrap_seed)
-            extra = [F.element_at("b", F.col("f") + 1).alias("b")] if bucketed else []
-            spread = (_route(drawn, levels).withColumn("f", F.explode("fs"))
-                      .select("tree", "node", "size", "size_pos", "f", *extra, F.element_at("x", F.col("f") + 1).alias("v"),
-                              "w", "y"))
+            seeds = ", ".join(
+                f"named_struct('tree', {t}, 'node', 0L, 'size', {roots[t].n}L, 'size_pos', {roots[t].n_pos}L, "
+                f"'fs', array({', '.join(map(str, chosen))}))"
+                for t, chosen in subsets.items() if any(k[0] == t for k in open_nodes))
+            drawn = with_draws(base.selectExpr("*", f"inline(array({seeds}))"), bootstrap_seed)
+            extra = ["element_at(b, f + 1) AS b"] if bucketed else []
+            spread = (_route(drawn, levels).selectExpr("*", "explode(fs) AS f")
+                      .selectExpr("tree", "node", "size", "size_pos", "f", *extra, "element_at(x, f + 1) AS v", "w", "y"))
             counts = (spread.groupBy("tree", "node", "size", "size_pos", "f", *(["b"] if bucketed else []), "v")
-                      .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("n_pos")))
+                      .agg(F.expr("sum(w) AS n"), F.expr("sum(w * y) AS n_pos")))
             found = best_splits(candidate_splits(counts, cat, options, bucketed), options).collect()
             rows, children = [], {}
             for r in found:

@@ -12,15 +12,15 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import number, quoted
 from ..operators.balance import oversample
-from ..operators.columns import per_column, value_counts
+from ..operators.columns import HIGH, KNOWN, LOW, MEAN, MEDIAN_SKETCH, ROWS, STD, per_column, value_counts
 from ..operators.encode import (
     OneHotSpec, TargetSpec, collect_one_hot, fit_one_hot, fit_target_encoding, impute_counts, one_hot_columns,
     target_encoded,
 )
-from ..operators.impute import CONTINUOUS_STRATEGIES, median_fill, mode_fill
-from ..operators.profile import MAJORITY, median_sketch
+from ..operators.impute import CONTINUOUS_STRATEGIES, filled_text, median_fill, mode_fill
+from ..operators.profile import MAJORITY
 from ..operators.roles import date_or_id_features, feature_roles, override_roles
 from ..operators.scale import FLAT
 from ..operators.select import (
@@ -127,8 +127,9 @@ class PreparedState:
 
 def _facts(df: DataFrame, features: Sequence[str], label: str, extra=None) -> dict:
     """Missing counts and moments per feature with the class counts, in one scan."""
-    facts = per_column(df, features, {"known": F.count, "mean": F.avg, "std": F.stddev_pop, **(extra or {})}, {
-        "rows": F.count(F.lit(1)), "positives": F.count_if(F.col(label) == 1), "negatives": F.count_if(F.col(label) == -1)})
+    y = quoted(label)
+    facts = per_column(df, features, {"known": KNOWN, "mean": MEAN, "std": STD, **(extra or {})}, {
+        "rows": ROWS, "positives": f"count_if({y} = 1)", "negatives": f"count_if({y} = -1)"})
     return {r["feature"]: r for r in facts.collect()}
 
 
@@ -162,9 +163,9 @@ def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset:
     if preset.deduplicate:
         pairs = equal_prints({f: facts[f]["print"] for f in features if f not in flat})
     if asked or pairs:
-        checks = ([F.count_if(col(f).cast("double") == F.lit(facts[f]["middle"])).alias(f"a{i}") for i, f in enumerate(asked)]
-                  + [unequal_rows(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-        found = list(df.agg(*checks).first())
+        checks = ([f"count_if(CAST({quoted(f)} AS DOUBLE) = {number(facts[f]['middle'])}) AS a{i}" for i, f in enumerate(asked)]
+                  + [f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)])
+        found = list(df.selectExpr(*checks).first())
         flat |= {f for f, n in zip(asked, found) if n / facts[f]["rows"] >= preset.low_variance}
         alive = [(p, n) for p, n in zip(pairs, found[len(asked):]) if not flat.intersection(p)]
         equal = first_of_equals([p for p, _ in alive], [n for _, n in alive])
@@ -183,11 +184,11 @@ def fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[s
     state = PreparedState()
     extra = {}
     if preset.low_variance is not None:
-        extra.update({"low": F.min, "high": F.max})
+        extra.update({"low": LOW, "high": HIGH})
         if preset.low_variance > MAJORITY:
-            extra["middle"] = median_sketch
+            extra["middle"] = MEDIAN_SKETCH
     if preset.deduplicate:
-        extra["print"] = lambda c: column_print(c, key)
+        extra["print"] = column_print(key)
     facts = _facts(train, features, label, extra)
     first = facts[features[0]]
     state.counts = (first["positives"], first["negatives"])
@@ -228,18 +229,15 @@ def transform(df: DataFrame, state: PreparedState, keep: Sequence[str] = ("id",)
     """Scaled continuous columns, then encoded categorical ones, in one projection."""
     out = []
 
-    def filled(name: str):
-        return F.coalesce(col(name).cast("double"), F.lit(float(state.fill.get(name, 0.0))))
-
     for f in state.continuous:
         mean, std = state.scale.get(f, (0.0, 1.0))
-        out.append(((filled(f) - F.lit(mean)) / F.lit(std)).alias(f))
-    out += [filled(f).alias(f) for f in state.passed]
+        out.append(F.expr(f"({filled_text(f, state.fill)} - {number(mean)}) / {number(std)} AS {quoted(f)}"))
+    out += [F.expr(f"{filled_text(f, state.fill)} AS {quoted(f)}") for f in state.passed]
     for f in state.categorical:
         if f in state.one_hot:
-            out += one_hot_columns(f, filled(f), state.one_hot[f])
+            out += one_hot_columns(f, filled_text(f, state.fill), state.one_hot[f])
         else:
-            out.append(target_encoded(filled(f), state.target[f], state.global_mean).alias(f))
+            out.append(target_encoded(filled_text(f, state.fill), state.target[f], state.global_mean).alias(f))
     return df.select(*keep, *out)
 
 
@@ -287,8 +285,7 @@ def fit_level5(train: DataFrame, features: Sequence[str], forced_continuous: Seq
     if include_binary:
         state.passed = having("binary", "pseudo_binary")
     if state.categorical:
-        filled = train.select(label, *[F.coalesce(col(f).cast("double"), F.lit(float(state.fill.get(f, 0.0)))).alias(f)
-                                       for f in state.categorical])
+        filled = train.selectExpr(*[f"{filled_text(f, state.fill)} AS {quoted(f)}" for f in state.categorical])
         counts = value_counts(filled, state.categorical)
         state.one_hot = collect_one_hot(fit_one_hot(counts, preset.min_count, preset.max_categories))
     return state
