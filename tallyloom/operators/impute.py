@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import number, quoted
 from .columns import per_column, value_counts
-from .quantiles import IN_TASK_ROWS, exact_quantiles
+from .quantiles import IN_TASK_VALUES, exact_quantiles
 
 CONTINUOUS_STRATEGIES = ("mean", "median")
 
@@ -18,8 +18,8 @@ def mean_fill(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return per_column(df, features, {"fill": "coalesce(avg({c}), 0D)"})
 
 
-def median_fill(df: DataFrame, features: Sequence[str], in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
-    medians = exact_quantiles(df, features, [0.5], in_task_rows=in_task_rows)
+def median_fill(df: DataFrame, features: Sequence[str], in_task_values: int = IN_TASK_VALUES) -> DataFrame:
+    medians = exact_quantiles(df, features, [0.5], in_task_values=in_task_values)
     names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return names.join(medians, "feature", "left").select(
         "feature", F.coalesce(F.col("quantiles")[0], F.lit(0.0)).alias("fill"))

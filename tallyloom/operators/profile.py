@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col, number, quoted, text
 from .columns import (
-    HIGH, LOW, MEAN, MEDIAN_SKETCH, MISSING, MISSING_SHARE, STD, distinct_counts, per_column, value_counts,
+    BATCH, HIGH, LOW, MEAN, MEDIAN_SKETCH, MISSING, MISSING_SHARE, STD, distinct_counts, per_column, value_counts,
 )
-from .quantiles import IN_TASK_ROWS, exact_quantiles
+from .quantiles import IN_TASK_VALUES, exact_quantiles
 
 # Above this share a most frequent value is certain to be what a median sketch returns.
 MAJORITY = 0.51
@@ -30,14 +30,14 @@ def label_counts(df: DataFrame, label: str = "y") -> DataFrame:
     return df.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def summarize(df: DataFrame, features: Sequence[str], in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
+def summarize(df: DataFrame, features: Sequence[str], in_task_values: int = IN_TASK_VALUES) -> DataFrame:
     """``feature, min, max, mean, median, std, missing, distinct`` with missing values left out of the statistics."""
     rows = df.count()
     measures = {"min": LOW, "max": HIGH, "mean": MEAN, "std": STD, "missing": MISSING}
-    if rows <= in_task_rows:
+    if rows * min(len(features), BATCH) <= in_task_values:
         facts = per_column(df, features, {**measures, "median": "percentile({c}, 0.5D)"})
     else:
-        medians = exact_quantiles(df, features, [0.5], rows, in_task_rows)
+        medians = exact_quantiles(df, features, [0.5], rows, in_task_values)
         facts = (per_column(df, features, measures)
                  .join(medians.select("feature", F.col("quantiles")[0].alias("median")), "feature", "left"))
     return (facts.join(distinct_counts(df, features), "feature")
@@ -154,22 +154,30 @@ def discrete_features(df: DataFrame, features: Sequence[str], below: int = 10) -
     return distinct_counts(df, short).where(F.col("distinct") < below)
 
 
-def short_features(df: DataFrame, features: Sequence[str], limit: int) -> list[str]:
-    """Features that may have at most ``limit`` distinct values.
+DISTINCT_SKETCH = "approx_count_distinct({c})"
+
+
+def may_be_short(estimate: int, limit: int) -> bool:
+    """False only if the column has more than ``limit`` distinct values.
 
     A sketch of 512 registers that saw ``limit`` values has at most that many registers set, and its estimate then
-    stays near ``limit``; an estimate above four times the limit therefore rules the feature out, and only the few
-    remaining features need an exact count.
+    stays near ``limit``; an estimate above four times the limit therefore rules the column out, and only the few
+    remaining columns need an exact count.
     """
-    sketch = per_column(df, features, {"distinct": "approx_count_distinct({c})"})
-    return [r["feature"] for r in sketch.collect() if r["distinct"] <= 4 * limit + 16]
+    return estimate <= 4 * limit + 16
+
+
+def short_features(df: DataFrame, features: Sequence[str], limit: int) -> list[str]:
+    """Features that may have at most ``limit`` distinct values."""
+    sketch = per_column(df, features, {"distinct": DISTINCT_SKETCH})
+    return [r["feature"] for r in sketch.collect() if may_be_short(r["distinct"], limit)]
 
 
 def outlier_report(df: DataFrame, features: Sequence[str], low: float = 0.01, high: float = 0.99,
-                   in_task_rows: int = IN_TASK_ROWS) -> DataFrame:
+                   in_task_values: int = IN_TASK_VALUES) -> DataFrame:
     """Complete features whose extremes lie outside their ``low``/``high`` quantiles."""
     extremes = per_column(df, features, {"min": LOW, "max": HIGH, "missing": MISSING})
-    bounds = exact_quantiles(df, features, [low, high], in_task_rows=in_task_rows)
+    bounds = exact_quantiles(df, features, [low, high], in_task_values=in_task_values)
     bounds = bounds.select("feature", F.col("quantiles")[0].alias("q_low"), F.col("quantiles")[1].alias("q_high"))
     return (extremes.join(bounds, "feature").where(F.col("missing") == 0)
             .where((F.col("min") < F.col("q_low")) | (F.col("max") > F.col("q_high")))

@@ -10,24 +10,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col, number
-from .columns import per_column, value_counts
+from .columns import BATCH, per_column, value_counts
 from .ranks import MAX_BUCKETS, bucket_cuts
 
-# The built-in exact percentile keeps one column's distinct values in one task: fine up to this many rows.
-IN_TASK_ROWS = 2_000_000
+# The built-in exact percentile keeps a column's distinct values in one task: fine up to this many values per task.
+IN_TASK_VALUES = 4_000_000
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], fractions: Sequence[float], rows: int | None = None,
-                    in_task_rows: int = IN_TASK_ROWS, rows_per_bucket: int | None = None) -> DataFrame:
+                    in_task_values: int = IN_TASK_VALUES, rows_per_bucket: int | None = None) -> DataFrame:
     """``feature, quantiles`` (array in the order of ``fractions``), missing values left out.
 
-    Short tables use the built-in percentile. Long ones count rows per sampled range bucket, which tells the bucket
-    of every wanted order statistic, and then sort only the values of those buckets.
+    Short tables use the built-in percentile, in batches of columns that fit one task. Long ones count rows per sampled
+    range bucket, which tells the bucket of every wanted order statistic, and then sort only those buckets' values.
     """
     rows = df.count() if rows is None else rows
-    if rows <= in_task_rows:
+    if rows <= in_task_values:
         points = ", ".join(number(q) for q in fractions)
-        return per_column(df, features, {"quantiles": f"percentile(CAST({{c}} AS DOUBLE), array({points}))"})
+        measure = {"quantiles": f"percentile(CAST({{c}} AS DOUBLE), array({points}))"}
+        return per_column(df, features, measure, batch=max(1, min(BATCH, in_task_values // max(1, rows))))
     return _by_bucket(df, features, fractions, rows, rows_per_bucket or max(1, rows // MAX_BUCKETS, 100_000))
 
 
@@ -43,24 +44,24 @@ def _by_bucket(df: DataFrame, features: Sequence[str], fractions: Sequence[float
     cut = Bucketizer(splitsArray=edges, inputCols=values, outputCols=names, handleInvalid="keep").transform(wide)
     cut = cut.select(*[F.when(F.col(v).isNotNull(), F.col(b)).alias(b) for v, b in zip(values, names)], *values)
 
-    # At most one count per feature and bucket comes back to the driver.
-    found: dict[str, list[tuple[float, int]]] = {}
-    for row in value_counts(cut, names).where(F.col("value").isNotNull()).collect():
-        found.setdefault(row["feature"], []).append((row["value"], row["n"]))
-
-    targets, wanted = [], {}
-    for i, name in enumerate(names):
-        total = sum(n for _, n in found.get(name, []))
+    # Ranks before each bucket; only the buckets that hold a wanted rank come back to the driver.
+    whole = Window.partitionBy("feature")
+    before = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (value_counts(cut, names).where(F.col("value").isNotNull())
+              .select("feature", "value", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+                      F.sum("n").over(whole).alias("total")))
+    wanted_ranks = " OR ".join(f"(before <= {end}((total - 1) * {number(q)}) AND {end}((total - 1) * {number(q)}) < before + n)"
+                               for q in fractions for end in ("floor", "ceil"))
+    wanted, totals = {}, {}
+    for row in placed.where(wanted_ranks).collect():
+        i = int(row["feature"][2:])
+        wanted[(i, row["value"])] = row["before"]
+        totals[i] = row["total"]
+    targets = []
+    for i, total in totals.items():
         for k, q in enumerate(fractions):
             position = (total - 1) * q
-            if total:
-                targets.append((i, k, math.floor(position), math.ceil(position), position - math.floor(position)))
-        needed = {r for t in targets if t[0] == i for r in t[2:4]}
-        before = 0
-        for bucket, n in sorted(found.get(name, [])):
-            if any(before <= r < before + n for r in needed):
-                wanted[(i, bucket)] = before
-            before += n
+            targets.append((i, k, math.floor(position), math.ceil(position), position - math.floor(position)))
 
     pairs = []
     for i, (value, name) in enumerate(zip(values, names)):

@@ -105,19 +105,31 @@ def hash_index(df: DataFrame, key: str, seed: int, group: Sequence[str] = (), ou
             .select(*df.columns, output))
 
 
-def hash_sample(df: DataFrame, key: str, size: int, seed: int, slices: int = 4096) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, size: int, seed: int, slices: int = 4096, sort_rows: int = ROWS_PER_BUCKET
+                ) -> DataFrame:
     """Exactly ``size`` rows drawn uniformly without replacement (all rows when there are fewer).
 
-    Slice counts tell how far into the hash range the sample reaches; only that range is sorted.
+    Counts per slice of the hash range tell how far the sample reaches; the slice it ends in is cut again until few
+    enough rows are left to sort. Rows below that slice are taken as they are.
     """
     h = id_hash(col(key), seed)
-    width = PRIME // slices + 1
-    counts = (df.select(F.floor(h / width).alias("s")).groupBy("s").count().orderBy("s").collect())
-    taken, last = 0, slices
-    for row in counts:
-        taken += row["count"]
-        if taken >= size:
-            last = int(row["s"])
+    low, high, missing = 0, PRIME, size
+    while True:
+        width = max(1, -(-(high - low) // slices))
+        inside = df.select(h.alias("h")).where((F.col("h") >= low) & (F.col("h") < high))
+        counts = inside.groupBy(F.floor((F.col("h") - low) / width).alias("s")).count().orderBy("s").collect()
+        ending = None
+        for row in counts:
+            if row["count"] >= missing:
+                ending = row
+                break
+            missing -= row["count"]
+        if ending is None:
+            return df
+        low = low + int(ending["s"]) * width
+        high = low + width
+        if width == 1 or ending["count"] <= sort_rows:
             break
-    return (df.withColumn("_hash", h).where(F.col("_hash") < (last + 1) * width)
-            .orderBy("_hash", key).limit(size).drop("_hash"))
+    hashed = df.withColumn("_hash", h)
+    rest = hashed.where((F.col("_hash") >= low) & (F.col("_hash") < high)).orderBy("_hash", key).limit(missing)
+    return hashed.where(F.col("_hash") < low).unionByName(rest).drop("_hash")

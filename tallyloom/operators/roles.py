@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col, is_survey_code, quoted, survey_code_text
 from .columns import HIGH, KNOWN, LOW, MEAN, MISSING, ROWS, STD, WHOLE, distinct_counts, per_column, value_counts
-from .profile import short_features
+from .profile import DISTINCT_SKETCH, may_be_short
 from .quantiles import exact_quantiles
 
 # Limits of the type rules.
@@ -21,13 +21,15 @@ MAX_MISSING_SHARE = 0.95
 def feature_roles(df: DataFrame, features: Sequence[str], max_categories: int = MAX_CATEGORIES,
                   max_missing: float = MAX_MISSING_SHARE) -> DataFrame:
     """``feature, role``: ignored, binary, pseudo_binary, categorical or continuous; the first rule that fits wins."""
-    few = set(short_features(df, features, max(2, max_categories)))
+    limit = max(2, max_categories)
     facts = per_column(df, features, {
-        "rows": ROWS, "missing": MISSING, "low": LOW, "high": HIGH, "whole": WHOLE})
-    if few:
-        facts = facts.join(distinct_counts(df, sorted(few)), "feature", "left")
-    else:
-        facts = facts.withColumn("distinct", F.lit(None).cast("bigint"))
+        "rows": ROWS, "missing": MISSING, "low": LOW, "high": HIGH, "whole": WHOLE, "sketch": DISTINCT_SKETCH}).collect()
+    few = [r["feature"] for r in facts if may_be_short(r["sketch"], limit)]
+    distinct = {r["feature"]: r["distinct"] for r in distinct_counts(df, few).collect()} if few else {}
+    facts = df.sparkSession.createDataFrame(
+        [(r["feature"], r["rows"], r["missing"], _double(r["low"]), _double(r["high"]), r["whole"], distinct.get(r["feature"]))
+         for r in facts],
+        "feature string, rows bigint, missing bigint, low double, high double, whole boolean, distinct bigint")
     # Features without an exact count have more values than any rule asks about.
     distinct = F.coalesce("distinct", F.lit(max_categories + 1))
     share = F.col("missing") / F.col("rows")
@@ -42,6 +44,10 @@ def feature_roles(df: DataFrame, features: Sequence[str], max_categories: int =
     return facts.select("feature", role.alias("role"))
 
 
+def _double(value) -> float | None:
+    return None if value is None else float(value)
+
+
 def override_roles(roles: DataFrame, continuous: Sequence[str]) -> DataFrame:
     """Force the listed features to be continuous."""
     return roles.select("feature", F.when(F.col("feature").isin(list(continuous)), "continuous")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +39,17 @@ def column_print(key: str = "id") -> str:
     return f"bit_xor(xxhash64({quoted(key)}, CAST({{c}} AS DOUBLE)))"
 
 
-def equal_prints(prints: Mapping[str, int]) -> list[tuple[str, str]]:
-    """Pairs of columns with the same fingerprint, in column order."""
+def print_groups(prints: Mapping[str, int]) -> list[list[str]]:
+    """Columns with the same fingerprint, in column order."""
     groups: dict[int, list[str]] = {}
     for f, p in prints.items():
         groups.setdefault(p, []).append(f)
-    return [pair for g in groups.values() for pair in combinations(g, 2)]
+    return [g for g in groups.values() if len(g) > 1]
+
+
+def first_pairs(groups: Sequence[Sequence[str]]) -> list[tuple[str, str]]:
+    """Each group's first column with every other one."""
+    return [(g[0], f) for g in groups for f in g[1:]]
 
 
 def unequal_rows(a: str, b: str) -> str:
@@ -53,11 +57,25 @@ def unequal_rows(a: str, b: str) -> str:
     return f"count_if(NOT (CAST({quoted(a)} AS DOUBLE) <=> CAST({quoted(b)} AS DOUBLE)))"
 
 
-def first_of_equals(pairs: Sequence[tuple[str, str]], unequal: Sequence[int]) -> dict[str, str]:
+def settle_equals(df: DataFrame, groups: Sequence[Sequence[str]], unequal: Sequence[int] | None = None) -> dict[str, str]:
+    """Map every column of the groups that equals an earlier one to it.
+
+    Columns are compared with the first of their group only; those that differ from it despite their fingerprint form
+    the next round's group. ``unequal`` may carry the first round's counts.
+    """
     same: dict[str, str] = {}
-    for (a, b), n in zip(pairs, unequal):
-        if n == 0 and a not in same:
-            same.setdefault(b, a)
+    groups = [list(g) for g in groups]
+    while groups:
+        pairs = first_pairs(groups)
+        if unequal is None:
+            unequal = list(df.selectExpr(*[f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)]).first())
+        differ: dict[str, list[str]] = {}
+        for (a, b), n in zip(pairs, unequal):
+            if n == 0:
+                same[b] = a
+            else:
+                differ.setdefault(a, []).append(b)
+        groups, unequal = [g for g in differ.values() if len(g) > 1], None
     return same
 
 
@@ -68,13 +86,8 @@ def duplicate_features(df: DataFrame, features: Sequence[str], key: str = "id")
     """
     if len(features) < 2:
         return {}
-    prints = per_column(df, features, {"print": column_print(key)})
-    found = {r["feature"]: r["print"] for r in prints.collect()}
-    pairs = equal_prints({f: found[f] for f in features})
-    if not pairs:
-        return {}
-    unequal = df.selectExpr(*[f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)]).first()
-    return first_of_equals(pairs, list(unequal))
+    found = {r["feature"]: r["print"] for r in per_column(df, features, {"print": column_print(key)}).collect()}
+    return settle_equals(df, print_groups({f: found[f] for f in features}))
 
 
 def without(features: Sequence[str], dropped: Sequence[str]) -> list[str]:

@@ -24,7 +24,7 @@ from ..operators.profile import MAJORITY
 from ..operators.roles import date_or_id_features, feature_roles, override_roles
 from ..operators.scale import FLAT
 from ..operators.select import (
-    column_print, equal_prints, first_of_equals, low_variance_features, unequal_rows, without,
+    column_print, first_pairs, low_variance_features, print_groups, settle_equals, unequal_rows, without,
 )
 
 
@@ -152,7 +152,7 @@ def _filled_moments(fact, fill: float) -> tuple[float, float]:
 def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset: Preset) -> dict[str, str]:
     """Features to drop for low variance or as duplicates; one scan confirms what the first scan's facts suggest."""
     flat: set[str] = set()
-    asked, pairs = [], []
+    asked, groups = [], []
     if preset.low_variance is not None:
         flat = {f for f in features if facts[f]["known"] and facts[f]["low"] == facts[f]["high"]}
         if preset.low_variance > MAJORITY:
@@ -161,14 +161,16 @@ def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset:
         else:
             flat |= set(low_variance_features(df, features, preset.low_variance))
     if preset.deduplicate:
-        pairs = equal_prints({f: facts[f]["print"] for f in features if f not in flat})
-    if asked or pairs:
+        groups = print_groups({f: facts[f]["print"] for f in features if f not in flat})
+    if asked or groups:
+        pairs = first_pairs(groups)
         checks = ([f"count_if(CAST({quoted(f)} AS DOUBLE) = {number(facts[f]['middle'])}) AS a{i}" for i, f in enumerate(asked)]
                   + [f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)])
         found = list(df.selectExpr(*checks).first())
         flat |= {f for f, n in zip(asked, found) if n / facts[f]["rows"] >= preset.low_variance}
-        alive = [(p, n) for p, n in zip(pairs, found[len(asked):]) if not flat.intersection(p)]
-        equal = first_of_equals([p for p, _ in alive], [n for _, n in alive])
+        equal = settle_equals(df, groups, found[len(asked):]) if groups else {}
+        # A near-constant column leaves together with its copies, so only copies of kept columns are duplicates.
+        equal = {f: kept for f, kept in equal.items() if f not in flat}
         return {**{f: "low variance" for f in features if f in flat}, **{f: "duplicate" for f in equal}}
     return {f: "low variance" for f in features if f in flat}
 

@@ -189,7 +189,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], candidates: Sequence[
                 scored = scored.unionByName(part)
         else:
             raise ValueError("forests and linear models need separate runs")
-        result = CrossValidation(list(candidates), _evaluate(scored, candidates, fit_of, rows), k)
+        result = CrossValidation(list(candidates), _evaluate(scored, candidates, fit_of, rows * len(distinct)), k)
         for r in result.per_fold:
             r["loss"] = float(losses[(fit_of[r["candidate"]], r["fold"])])
         return result
