@@ -34,6 +34,9 @@ def oversample(df: DataFrame, target: float = 0.5, seed: int = 1, key: str = "id
         return originals
     draws = (df.sparkSession.range(extra)
              .select((F.col("id") + 1).alias("copy"), (id_hash(F.col("id"), seed) % counts[0]).alias("_at")))
-    numbered = hash_index(df.where(F.col(label) == 1), key, seed, output="_at")
-    copies = draws.join(numbered, "_at").select(*df.columns, "copy")
+    # Only keys are numbered and matched with the draws; the wide rows are shuffled once, for the last join.
+    positives = df.where(F.col(label) == 1)
+    numbered = hash_index(positives.select(key), key, seed, output="_at")
+    drawn = draws.join(numbered, "_at").select(key, "copy")
+    copies = positives.join(drawn, key).select(*df.columns, "copy")
     return originals.unionByName(copies)

@@ -5,19 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import hash_index
+from ..functions.hashing import id_hash
+from ..functions.scalar import col
+from .ranks import RANK_SLICES, hashes_at
 
 
-def assign_folds(df: DataFrame, k: int, seed: int = 1, label: str | None = "y", key: str = "id",
-                 output: str = "fold") -> DataFrame:
-    """Cut a hashed order (per class if a label is given) into k runs; the first ``n mod k`` runs are one row longer."""
+def fold_starts(rows: int, k: int) -> list[int]:
+    """First rank of folds 1 .. k-1 when ``rows`` ranks are cut into k runs, the first ``rows mod k`` one longer."""
+    small, longer = divmod(rows, k)
+    return [f * small + min(f, longer) for f in range(1, k)]
+
+
+def assign_folds(df: DataFrame, k: int, seed: int = 1, label: str | None = "y", key: str = "id", output: str = "fold",
+                 slices: int = RANK_SLICES) -> DataFrame:
+    """Cut a hashed order (per class if a label is given) into k runs of equal length, give or take one row.
+
+    The hash values at the cuts are looked up first, at most k - 1 per class; a row's fold then follows from its own
+    hash, so the assignment is a projection and the rows stay where they are.
+    """
     group = [label] if label else []
-    ranked = hash_index(df, key, seed, group, output="_rank")
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    sized = ranked.join(F.broadcast(sizes), group) if group else ranked.withColumn("_n", F.lit(sizes.first()["_n"]))
-    small = F.floor(F.col("_n") / k)
-    longer = F.col("_n") % k
-    border = longer * (small + 1)
-    fold = (F.when(F.col("_rank") < border, F.floor(F.col("_rank") / (small + 1)))
-            .otherwise(longer + F.floor((F.col("_rank") - border) / F.greatest(small, F.lit(1)))))
-    return sized.withColumn(output, fold.cast("int")).select(*df.columns, output)
+    sizes = {tuple(r[g] for g in group): r["_n"] for r in df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    # With fewer rows than folds the last folds stay empty.
+    ranks = {which: [s for s in fold_starts(n, k) if s < n] for which, n in sizes.items()}
+    cuts = hashes_at(df, key, seed, ranks, group, slices)
+    hashed = df.withColumn("_hash", id_hash(col(key), seed))
+    fold = F.lit(None).cast("int")
+    for which, starts in cuts.items():
+        passed = F.expr(" + ".join(["0", *[f"CASE WHEN _hash >= {h} THEN 1 ELSE 0 END" for h in starts]]))
+        fold = F.when(F.col(label) == which[0], passed).otherwise(fold) if label else passed
+    return hashed.withColumn(output, fold.cast("int")).select(*df.columns, output)

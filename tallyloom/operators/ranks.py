@@ -9,7 +9,7 @@ plan, so a recomputed task sees the same buckets.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +21,8 @@ from ..functions.scalar import col
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
 SAMPLE_PER_BUCKET = 200
+# At this many slices, a slice of a hundred billion rows is a few million keys.
+RANK_SLICES = 32_768
 
 
 def session_buckets(spark: SparkSession) -> int:
@@ -105,6 +107,39 @@ def hash_index(df: DataFrame, key: str, seed: int, group: Sequence[str] = (), ou
             .select(*df.columns, output))
 
 
+def hashes_at(df: DataFrame, key: str, seed: int, ranks: Mapping[tuple, Sequence[int]], group: Sequence[str] = (),
+              slices: int = RANK_SLICES) -> dict[tuple, list[int]]:
+    """The hash values found at the given zero-based ranks of the hashed order, per group (ranks must exist).
+
+    Slice counts tell which slice of the hash range holds each rank; only those slices' hashes are ranked. Nothing
+    but keys and group columns is read, and no row moves.
+    """
+    width = PRIME // slices + 1
+    hashed = df.select(*group, id_hash(col(key), seed).alias("_h")).withColumn("_s", F.floor(F.col("_h") / width))
+    counts: dict[tuple, list[tuple[int, int]]] = {}
+    for r in hashed.groupBy(*group, "_s").count().collect():
+        counts.setdefault(tuple(r[g] for g in group), []).append((r["_s"], r["count"]))
+    wanted = []
+    for which, asked in ranks.items():
+        slots, before = sorted(counts[which]), 0
+        todo = sorted(set(asked))
+        for s, n in slots:
+            while todo and todo[0] < before + n:
+                wanted.append((*which, s, todo[0] - before + 1, todo[0]))
+                todo.pop(0)
+            before += n
+    if not wanted:
+        return {which: [] for which in ranks}
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in hashed.schema.fields if f.name in group]
+    asked_frame = df.sparkSession.createDataFrame(wanted, ", ".join([*kinds, "_s bigint", "_rn int", "_rank bigint"]))
+    inside = Window.partitionBy(*group, "_s").orderBy("_h")
+    slots = asked_frame.select(*group, "_s").distinct()
+    found = (hashed.join(F.broadcast(slots), [*group, "_s"]).withColumn("_rn", F.row_number().over(inside))
+             .join(F.broadcast(asked_frame), [*group, "_s", "_rn"]).collect())
+    at = {(*(r[g] for g in group), r["_rank"]): r["_h"] for r in found}
+    return {which: [at[(*which, r)] for r in asked] for which, asked in ranks.items()}
+
+
 def hash_sample(df: DataFrame, key: str, size: int, seed: int, slices: int = 4096, sort_rows: int = ROWS_PER_BUCKET
                 ) -> DataFrame:
     """Exactly ``size`` rows drawn uniformly without replacement (all rows when there are fewer).

@@ -65,7 +65,7 @@ def test_fold_sizes(spark, k):
         sizes = [r["count"] for r in folded.where(F.col("y") == label).groupBy("fold").count().orderBy("fold").collect()]
         n = sum(sizes)
         assert sizes == [n // k + (1 if i < n % k else 0) for i in range(k)]
-    assert {tuple(r) for r in folded.collect()} == {tuple(r) for r in assign_folds(df.repartition(9), k, 3).collect()}
+    assert {tuple(r) for r in folded.collect()} == {tuple(r) for r in assign_folds(df.repartition(9), k, 3, slices=3).collect()}
     plain = [r["count"] for r in assign_folds(df, k, 3, None).groupBy("fold").count().orderBy("fold").collect()]
     assert plain == [233 // k + (1 if i < 233 % k else 0) for i in range(k)]
 
