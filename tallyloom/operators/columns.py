@@ -58,8 +58,10 @@ def value_counts(df: DataFrame, features: Sequence[str], label: str | None = Non
     ids = [] if label is None else ["_pos"]
     keyed = df.selectExpr(*([f"CAST({quoted(label)} = 1 AS INT) AS _pos"] if ids else []),
                           *[f"CAST({quoted(name)} AS DOUBLE) AS `{i}`" for i, name in enumerate(features)])
-    long = keyed.unpivot(ids, [str(i) for i in range(len(features))], "_k", "value")
-    counts = [F.expr("count(1) AS n"), *([F.expr("sum(_pos) AS n_pos")] if ids else [])]
+    # The id column takes a new name on the way: an id passed on unchanged makes two uses of the counts in one query
+    # look different to the planner, which would then count twice instead of sharing one exchange.
+    long = keyed.unpivot([F.expr("_pos AS _p")] if ids else [], [str(i) for i in range(len(features))], "_k", "value")
+    counts = [F.expr("count(1) AS n"), *([F.expr("sum(_p) AS n_pos")] if ids else [])]
     names = ", ".join(text(name) for name in features)
     return (long.groupBy("_k", "value").agg(*counts)
             .selectExpr(f"element_at(array({names}), CAST(_k AS INT) + 1) AS feature", "value", "n", *(["n_pos"] if ids else [])))
