@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from ..functions import scalar
@@ -107,11 +105,11 @@ BASE_SETTINGS = Settings("reg_logistic_weighted", gamma=0.5, lambda_=0.001, thre
 AXES = {"gamma": [0.2, 0.8], "threshold": [0.4, 0.45, 0.5], "class_weight_1": [2.0, 4.0]}
 
 
-def _cv_sql(candidates: list[Settings], select: str) -> str:
+def _cv_sql(candidates: list[Settings], select: str, source: str | None = None) -> str:
     """Fit every distinct candidate and fold step by step, score the held-out rows, and build ``per_fold``."""
     distinct = list(dict.fromkeys(c.fit_part() for c in candidates))
     models = [c.logistic(f) for c in distinct for f in range(K)]
-    data = fold_sql(model_sql(), K, 1)
+    data = fold_sql(source or model_sql(), K, 1)
     z = dot([f"b.{f}" for f in MODEL_FEATURES], [f"s.w{i}" for i in range(len(MODEL_FEATURES))])
     tried = ", ".join(f"({i}, {distinct.index(c.fit_part())}, CAST({c.threshold} AS DOUBLE))" for i, c in enumerate(candidates))
     return ("WITH " + descent_sql(data, MODEL_FEATURES, "y01", models, STEPS, "fold") + ", "
@@ -202,11 +200,26 @@ def final_predictions(spark, sf):
     return rounded(model.predict(df.where("id % 5 = 0")))
 
 
-@query("searched_predictions")
+SEARCH_AXES = {"gamma": [0.2, 0.8]}
+
+
+def _searched_sql() -> str:
+    """The search on the training rows, the winner's refit over twelve steps, and its scores of the test rows."""
+    train = f"SELECT * FROM ({model_sql()}) WHERE id % 5 <> 0"
+    candidates = training.param_grid(BASE_SETTINGS, SEARCH_AXES)
+    best = _cv_sql(candidates, "SELECT candidate, avg(f1) AS f1 FROM per_fold GROUP BY candidate ORDER BY f1 DESC, candidate LIMIT 1", train)
+    z = dot([f"b.{f}" for f in MODEL_FEATURES], [f"s.w{i}" for i in range(len(MODEL_FEATURES))])
+    return ("WITH " + descent_sql(train, MODEL_FEATURES, "y01", [c.logistic() for c in candidates], 12)
+            + f", best AS (SELECT candidate FROM ({best})), test AS (SELECT id, {sigmoid_sql(z)} AS score FROM ({model_sql()}) b, s12 s "
+            "JOIN best ON s.m = best.candidate WHERE id % 5 = 0) SELECT id, round(score, 6) AS score, "
+            f"CASE WHEN score >= {BASE_SETTINGS.threshold} THEN 1 ELSE -1 END AS y_hat FROM test")
+
+
+@query("searched_predictions", _searched_sql())
 def searched_predictions(spark, sf):
     df = f_model(spark, sf)
-    model, _ = training.search_and_train(df.where("id % 5 <> 0"), MODEL_FEATURES, replace(BASE_SETTINGS, threshold=0.45),
-                                         {"gamma": [0.2, 0.8]}, k=K, final_max_iters=12)
+    model, _ = training.search_and_train(df.where("id % 5 <> 0"), MODEL_FEATURES, BASE_SETTINGS, SEARCH_AXES, k=K,
+                                         final_max_iters=12)
     return rounded(model.predict(df.where("id % 5 = 0")))
 
 
