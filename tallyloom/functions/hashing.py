@@ -16,13 +16,14 @@ POISSON_ONE_CDF = (
 )
 
 
-def id_hash(id_column: Column, seed: int | Column) -> Column:
-    """Hash in [0, PRIME); a permutation of the ids below PRIME - 1 for every seed below one million."""
-    prime = F.lit(PRIME).cast("bigint")
-    shift = F.lit(seed).cast("bigint") if isinstance(seed, int) else seed.cast("bigint")
-    x = (F.pmod(id_column.cast("bigint") + 1, prime) * MULTIPLIER % prime + shift * SEED_STEP) % prime
-    squared = x * x % prime
-    return squared * squared % prime * x % prime
+def id_hash(key: str, seed: int | str) -> Column:
+    """Hash in [0, PRIME) of an integer key; key and seed are SQL text.
+
+    A permutation of the keys below PRIME - 1 for every seed below one million.
+    """
+    start = f"((pmod(CAST({key} AS BIGINT) + 1, {PRIME}L) * {MULTIPLIER}L % {PRIME}L + CAST({seed} AS BIGINT) * {SEED_STEP}L) % {PRIME}L)"
+    square = f"({start} * {start} % {PRIME}L)"
+    return F.expr(f"{square} * {square} % {PRIME}L * {start} % {PRIME}L")
 
 
 def hash_number(number: int, seed: int) -> int:
@@ -31,8 +32,8 @@ def hash_number(number: int, seed: int) -> int:
     return pow(x, 5, PRIME)
 
 
-def unit_hash(id_column: Column, seed: int | Column) -> Column:
-    return id_hash(id_column, seed) / F.lit(float(PRIME))
+def unit_hash(key: str, seed: int | str) -> Column:
+    return id_hash(key, seed) / F.lit(float(PRIME))
 
 
 def poisson_draws(unit: str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import number, quoted
 from .ranks import ROWS_PER_BUCKET, bucket_cuts, running_totals
 
 TINY = 1e-12
@@ -16,19 +17,24 @@ METRICS = ("tp", "fp", "fn", "tn", "precision", "recall", "f1", "accuracy")
 def classification_metrics(df: DataFrame, actual: str = "y", predicted: str = "y_hat", group: Sequence[str] = ()
                            ) -> DataFrame:
     """Confusion counts, precision, recall, F1 and accuracy for labels in {-1, 1}."""
-    def pairs(a: int, p: int):
-        return F.count_if((F.col(actual) == a) & (F.col(predicted) == p))
-
-    counts = df.groupBy(*group).agg(pairs(1, 1).alias("tp"), pairs(-1, 1).alias("fp"), pairs(1, -1).alias("fn"),
-                                    pairs(-1, -1).alias("tn"), F.count(F.lit(1)).alias("_n"))
-    p = F.col("tp") / (F.col("tp") + F.col("fp") + TINY)
-    r = F.col("tp") / (F.col("tp") + F.col("fn") + TINY)
-    return (counts.withColumn("precision", p).withColumn("recall", r)
-            .withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + TINY))
-            .withColumn("accuracy", (F.col("tp") + F.col("tn")) / F.greatest(F.col("_n"), F.lit(1)))
+    def pairs(a: int, p: int) -> str:
+        return f"count_if({quoted(actual)} = {a} AND {quoted(predicted)} = {p})"
+
+    counts = df.groupBy(*group).agg(F.expr(f"{pairs(1, 1)} AS tp"), F.expr(f"{pairs(-1, 1)} AS fp"), F.expr(f"{pairs(1, -1)} AS fn"),
+                                    F.expr(f"{pairs(-1, -1)} AS tn"), F.expr("count(1) AS _n"))
+    rates = counts.selectExpr("*", f"tp / (tp + fp + {number(TINY)}) AS precision", f"tp / (tp + fn + {number(TINY)}) AS recall",
+                              "(tp + tn) / greatest(_n, 1) AS accuracy")
+    return (rates.selectExpr("*", f"2 * precision * recall / (precision + recall + {number(TINY)}) AS f1")
             .select(*group, *METRICS))
 
 
+def figures(tp: int, fp: int, fn: int, tn: int) -> dict[str, float]:
+    """The same figures from counts that are already known."""
+    precision, recall = tp / (tp + fp + TINY), tp / (tp + fn + TINY)
+    return {"tp": tp, "fp": fp, "fn": fn, "tn": tn, "precision": precision, "recall": recall,
+            "f1": 2 * precision * recall / (precision + recall + TINY), "accuracy": (tp + tn) / max(1, tp + fp + fn + tn)}
+
+
 def curve_points(df: DataFrame, score: str = "score", label: str = "y", group: Sequence[str] = (),
                  rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One point per distinct score, best first: ``score, tpr, fpr, precision`` and the same of the point before it.
@@ -36,29 +42,40 @@ def curve_points(df: DataFrame, score: str = "score", label: str = "y", group: S
     Rows with equal scores form one step, so the curve does not depend on row order. The step before the first has
     tpr = fpr = 0 and the first point's precision.
     """
+    pos, neg = f"count_if({quoted(label)} = 1)", f"count_if({quoted(label)} <> 1)"
     steps = (df.groupBy(*group, F.col(score).alias("score"))
-             .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+             .agg(F.expr(f"{pos} AS pos"), F.expr(f"{neg} AS neg")))
     rows = df.count() if rows is None else rows
     cuts = bucket_cuts(df, [score], rows, rows_per_bucket)[score]
     running = running_totals(steps, "score", ["pos", "neg"], group, cuts, descending=True)
-    totals = df.groupBy(*group).agg(F.greatest(F.count_if(F.col(label) == 1), F.lit(1)).alias("_p"),
-                                    F.greatest(F.count_if(F.col(label) != 1), F.lit(1)).alias("_q"))
+    totals = df.groupBy(*group).agg(F.expr(f"greatest({pos}, 1) AS _p"), F.expr(f"greatest({neg}, 1) AS _q"))
     if group:
         running = running.join(totals, list(group))
     else:
         whole = totals.first()
-        running = running.withColumn("_p", F.lit(whole["_p"])).withColumn("_q", F.lit(whole["_q"]))
-    tp, fp = F.col("cum_pos"), F.col("cum_neg")
-    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
-    return running.select(
-        *group, "score", "pos", "neg",
-        (tp / F.col("_p")).alias("tpr"), (fp / F.col("_q")).alias("fpr"), (tp / (tp + fp)).alias("precision"),
-        (tp0 / F.col("_p")).alias("tpr_before"), (fp0 / F.col("_q")).alias("fpr_before"),
-        F.when(tp0 + fp0 > 0, tp0 / F.when(tp0 + fp0 > 0, tp0 + fp0)).otherwise(tp / (tp + fp)).alias("precision_before"))
+        running = running.selectExpr("*", f"{whole['_p']}L AS _p", f"{whole['_q']}L AS _q")
+    here = "cum_pos / (cum_pos + cum_neg)"
+    return running.selectExpr(
+        *group, "score", "pos", "neg", "cum_pos / _p AS tpr", "cum_neg / _q AS fpr", f"{here} AS precision",
+        "(cum_pos - pos) / _p AS tpr_before", "(cum_neg - neg) / _q AS fpr_before",
+        f"CASE WHEN cum_pos + cum_neg > pos + neg THEN (cum_pos - pos) / (cum_pos + cum_neg - pos - neg) ELSE {here} END AS precision_before")
+
+
+ROC_AREA = "sum((fpr - fpr_before) * (tpr + tpr_before) / 2)"
+PR_AREA = "sum((tpr - tpr_before) * (precision + precision_before) / 2)"
 
 
 def areas(points: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Trapezoid areas under both curves; each point carries its own step, so this is one plain aggregate."""
-    roc = (F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2
-    pr = (F.col("tpr") - F.col("tpr_before")) * (F.col("precision") + F.col("precision_before")) / 2
-    return points.groupBy(*group).agg(F.sum(roc).alias("roc_auc"), F.sum(pr).alias("pr_auc"))
+    return points.groupBy(*group).agg(F.expr(f"{ROC_AREA} AS roc_auc"), F.expr(f"{PR_AREA} AS pr_auc"))
+
+
+def areas_and_counts(points: DataFrame, thresholds: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
+    """Areas with the class totals and, per threshold i, the true (``tp<i>``) and false (``fp<i>``) positives.
+
+    The points know how many rows of each class share a score, so every threshold's counts come from the same pass.
+    """
+    counts = [f"sum(CASE WHEN score >= {number(t)} THEN {source} ELSE 0 END) AS {name}{i}"
+              for i, t in enumerate(thresholds) for name, source in (("tp", "pos"), ("fp", "neg"))]
+    return points.groupBy(*group).agg(*[F.expr(e) for e in (
+        f"{ROC_AREA} AS roc_auc", f"{PR_AREA} AS pr_auc", "sum(pos) AS pos", "sum(neg) AS neg", *counts)])

@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import PRIME, id_hash
-from ..functions.scalar import col
+from ..functions.scalar import col, quoted
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
 SAMPLE_PER_BUCKET = 200
-# At this many slices, a slice of a hundred billion rows is a few million keys.
-RANK_SLICES = 32_768
+# Slices of the hash range: a hundred billion rows leave under two million keys to rank in each.
+KEYS_PER_SLICE = 20_000
+MAX_SLICES = 65_536
 
 
 def session_buckets(spark: SparkSession) -> int:
@@ -95,7 +96,7 @@ def hash_index(df: DataFrame, key: str, seed: int, group: Sequence[str] = (), ou
     The hash is uniform, so equal-width hash ranges are balanced buckets and no sample is needed.
     """
     buckets = buckets or session_buckets(df.sparkSession)
-    keyed = (df.withColumn("_hash", id_hash(col(key), seed))
+    keyed = (df.withColumn("_hash", id_hash(quoted(key), seed))
              .withColumn("_bucket", F.floor(F.col("_hash") * buckets / F.lit(float(PRIME))).cast("int")))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -108,14 +109,17 @@ def hash_index(df: DataFrame, key: str, seed: int, group: Sequence[str] = (), ou
 
 
 def hashes_at(df: DataFrame, key: str, seed: int, ranks: Mapping[tuple, Sequence[int]], group: Sequence[str] = (),
-              slices: int = RANK_SLICES) -> dict[tuple, list[int]]:
+              slices: int | None = None) -> dict[tuple, list[int]]:
     """The hash values found at the given zero-based ranks of the hashed order, per group (ranks must exist).
 
     Slice counts tell which slice of the hash range holds each rank; only those slices' hashes are ranked. Nothing
     but keys and group columns is read, and no row moves.
     """
+    if slices is None:
+        last = max((r for asked in ranks.values() for r in asked), default=0)
+        slices = min(MAX_SLICES, max(64, last // KEYS_PER_SLICE))
     width = PRIME // slices + 1
-    hashed = df.select(*group, id_hash(col(key), seed).alias("_h")).withColumn("_s", F.floor(F.col("_h") / width))
+    hashed = df.select(*group, id_hash(quoted(key), seed).alias("_h")).withColumn("_s", F.floor(F.col("_h") / width))
     counts: dict[tuple, list[tuple[int, int]]] = {}
     for r in hashed.groupBy(*group, "_s").count().collect():
         counts.setdefault(tuple(r[g] for g in group), []).append((r["_s"], r["count"]))
@@ -147,7 +151,7 @@ def hash_sample(df: DataFrame, key: str, size: int, seed: int, slices: int = 409
     Counts per slice of the hash range tell how far the sample reaches; the slice it ends in is cut again until few
     enough rows are left to sort. Rows below that slice are taken as they are.
     """
-    h = id_hash(col(key), seed)
+    h = id_hash(quoted(key), seed)
     low, high, missing = 0, PRIME, size
     while True:
         width = max(1, -(-(high - low) // slices))

@@ -123,7 +123,7 @@ def with_draws(rows: DataFrame, seed: int | None, output: str = "w", drawn_only:
         return rows.withColumn(output, F.lit(1))
     # The uniform number is a column of its own and the filter looks at it alone: a filter on the weight would be
     # pushed down with the whole weight expression inside it.
-    hashed = rows.withColumn("_u", unit_hash(F.col("id"), F.col("tree") + seed * 1000))
+    hashed = rows.withColumn("_u", unit_hash("id", f"(tree + {seed * 1000})"))
     if drawn_only:
         hashed = hashed.where(~left_out(F.col("_u")))
     return hashed.withColumn(output, poisson_draws("_u")).drop("_u")
@@ -338,7 +338,7 @@ def class_vote(p: Column) -> Column:
 def oob_votes(df: DataFrame, model: TreeModel, y01: str, key: str = "id") -> DataFrame:
     """``id, y01, n_votes, n_pos_votes`` over the trees that did not draw the row."""
     voted = df.select(F.col(key).alias("id"), F.col(y01).alias("y01"), votes(model).alias("v"))
-    out_of_bag = [left_out(unit_hash(F.col("id"), tree_seed(model.bootstrap_seed, t))) for t in model.trees]
+    out_of_bag = [left_out(unit_hash("id", tree_seed(model.bootstrap_seed, t))) for t in model.trees]
     count, positive = F.lit(0), F.lit(0.0)
     for i, out in enumerate(out_of_bag):
         count = count + F.when(out, 1).otherwise(0)

@@ -15,11 +15,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col, label_01, linear_score, sigmoid, signed_label
+from ..functions.scalar import col, label_01, linear_score, quoted, sigmoid, signed_label
 from ..operators.folds import assign_folds
 from ..operators.gradient import Fit, fit_models
 from ..operators.linear import logistic_family
-from ..operators.metrics import METRICS, areas, classification_metrics, curve_points
+from ..operators.metrics import METRICS, areas, areas_and_counts, curve_points, figures
 from ..operators.tree import TreeModel, TreeOptions, class_vote, fit_forest, probability
 
 FOREST = "random_forest"
@@ -120,28 +120,23 @@ def _fold_scores(folded: DataFrame, features: Sequence[str], weights: list[tuple
     The weight table has one row per fit and fold, so it is broadcast.
     """
     table = folded.sparkSession.createDataFrame(weights, "fit int, fold int, w array<double>")
-    z = F.lit(0.0)
-    for i, f in enumerate(features):
-        z = z + col(f) * F.col("w")[i]
+    z = F.expr(" + ".join(f"{quoted(f)} * w[{i}]" for i, f in enumerate(features)))
     return folded.join(F.broadcast(table), "fold").select("fit", "fold", "y", sigmoid(z).alias("score"))
 
 
 def _evaluate(scored: DataFrame, candidates: Sequence[Settings], fit_of: Sequence[int], rows: int) -> list[dict]:
-    """Metrics per candidate and fold: areas once per fit, confusion counts once per threshold."""
-    group = ["fit", "fold"]
-    area = {(r["fit"], r["fold"]): r for r in areas(curve_points(scored, group=group, rows=rows), group).collect()}
+    """Figures per candidate and fold; one pass over the scores gives every fit's areas and every threshold's counts."""
     thresholds = sorted({c.threshold for c in candidates})
-    by_threshold = scored.select(*group, "y", F.inline(F.array(*[
-        F.struct(F.lit(t).alias("threshold"), signed_label(F.col("score"), t).alias("y_hat")) for t in thresholds])))
-    counts = {(r["fit"], r["fold"], r["threshold"]): r
-              for r in classification_metrics(by_threshold, group=[*group, "threshold"]).collect()}
+    points = curve_points(scored, group=["fit", "fold"], rows=rows)
+    found = sorted(areas_and_counts(points, thresholds, ["fit", "fold"]).collect(), key=lambda r: (r["fit"], r["fold"]))
     out = []
     for c, settings in enumerate(candidates):
-        for (fit, fold), a in sorted(area.items()):
-            if fit == fit_of[c]:
-                m = counts[(fit, fold, settings.threshold)]
-                out.append({"candidate": c, "fold": fold, **{n: m[n] for n in METRICS},
-                            "roc_auc": a["roc_auc"], "pr_auc": a["pr_auc"]})
+        t = thresholds.index(settings.threshold)
+        for r in found:
+            if r["fit"] == fit_of[c]:
+                tp, fp = r[f"tp{t}"], r[f"fp{t}"]
+                out.append({"candidate": c, "fold": r["fold"], **figures(tp, fp, r["pos"] - tp, r["neg"] - fp),
+                            "roc_auc": r["roc_auc"], "pr_auc": r["pr_auc"]})
     return out
 
 
