@@ -10,7 +10,7 @@ from ..operators.folds import assign_folds
 from ..operators.gradient import Model
 from ..plans import training
 from ..plans.training import Settings
-from .base import MODEL_FEATURES, f_model, f_orders, model_sql, orders_sql, query, r6_sql, rounded, sigmoid_sql
+from .base import MODEL_FEATURES, f_model, f_orders, model_sql, orders_sql, query, rounded, sigmoid_sql
 from .models import TREE_CATEGORIES, TREE_FEATURES, TREE_SOURCE, WEIGHTS, Z, f_tree
 from .sqlgen import curve_sql, descent_sql, dot, fold_sql, forest_sql, metrics_sql
 

@@ -317,8 +317,10 @@ def fit_preset(spark, sf):
 # --- level 5 ---------------------------------------------------------------------------------------------------------
 
 L5_CONTINUOUS = ["totalprice", "custkey", "order_year", "price_gap", "price_copy", "price_near", "survey", "date_like",
-                 "year_like", "sum_qty", "mean_disc"]
-L5_VALUES = {"order_month": range(1, 13), "status_code": range(3), "child": range(10), "n_lines": range(10)}
+                 "year_like", "n_lines", "sum_qty", "mean_disc"]
+L5_VALUES = {"order_month": range(1, 13), "status_code": range(3), "child": range(10)}
+# Line counts have more values on larger tables; forcing the role keeps the columns the same at every scale.
+L5_FORCED = ["n_lines", "survey"]
 
 
 def level5_sql(split: str) -> str:
@@ -328,8 +330,8 @@ def level5_sql(split: str) -> str:
     scaled = ", ".join(r6_sql(f"({f} - m_{f}) / s_{f}") + f" AS {f}" for f in L5_CONTINUOUS)
     # const_one has one value and counts as a categorical column of its own.
     hot = ", ".join(f'CAST({f} = {v} AS DOUBLE) AS "{f}={v}"' for f, vs in L5_VALUES.items() for v in vs)
-    hot += ', CAST(1 AS DOUBLE) AS "const_one=1", CAST(n_lines > 9 AS DOUBLE) AS "n_lines=OTHER"'
-    names = [*L5_CONTINUOUS, *[f'"{f}={v}"' for f, vs in L5_VALUES.items() for v in vs], '"const_one=1"', '"n_lines=OTHER"']
+    hot += ', CAST(1 AS DOUBLE) AS "const_one=1"'
+    names = [*L5_CONTINUOUS, *[f'"{f}={v}"' for f, vs in L5_VALUES.items() for v in vs], '"const_one=1"']
     head = (f"WITH base AS ({orders_sql()}), train AS (SELECT * FROM base WHERE {TRAIN}), means AS (SELECT {means} FROM train), "
             f"moments AS (SELECT {moments} FROM (SELECT {filled} FROM train b, means)), "
             f"ready AS (SELECT id, y, {scaled}, {hot} FROM (SELECT id, y, {filled} FROM base b, means "
@@ -342,14 +344,14 @@ def level5_sql(split: str) -> str:
 @query("level5", level5_sql("train"))
 def level5(spark, sf):
     df = f_orders(spark, sf)
-    train, _, _ = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level5")
+    train, _, _ = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level5", forced_continuous=L5_FORCED)
     return rounded(train)
 
 
 @query("level5_test_split", level5_sql("test"))
 def level5_test_split(spark, sf):
     df = f_orders(spark, sf)
-    _, test, _ = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level5", balanced=False)
+    _, test, _ = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level5", balanced=False, forced_continuous=L5_FORCED)
     return rounded(test)
 
 

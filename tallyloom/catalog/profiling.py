@@ -8,7 +8,7 @@ from ..operators import linear, profile, roles, scale
 from ..operators.encode import one_hot_all
 from ..operators.ranks import hash_sample
 from .base import (
-    FEATURES, LINEITEM_FEATURES, ORDER_FEATURES, f_lineitem, f_orders, hash_sql, lineitem_sql, orders_sql, query, r6,
+    FEATURES, LINEITEM_FEATURES, ORDER_FEATURES, f_lineitem, f_orders, hash_sql, lineitem_sql, orders_sql, query,
     r6_sql, rounded, unpivot_sql,
 )
 
