@@ -110,23 +110,24 @@ class Fit:
     steps: int
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    small = np.exp(-np.abs(z))
-    return np.where(z >= 0, 1.0, small) / (1.0 + small)
-
-
 def _partial(w: np.ndarray, models: Sequence[Model]):
     """Gradient sums (d x m), loss sums, weighted loss sums and row counts of one block for the given models."""
     logistic = np.array([m.family == "logistic" for m in models])
     weight0, weight1 = (np.array([m.weights[i] for m in models]) for i in (0, 1))
     held_out = np.array([m.held_out for m in models])
 
+    # Functions that run on executors refer to NumPy and their own arguments only, so that they travel by value and
+    # executors need not have this package.
+    def sigmoid(z: np.ndarray) -> np.ndarray:
+        small = np.exp(-np.abs(z))
+        return np.where(z >= 0, 1.0, small) / (1.0 + small)
+
     def compute(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
         seen = (fold[:, None] != held_out) | (held_out < 0)
         z, target = x @ w, y[:, None]
         cost = np.where(target == 1, weight1, weight0)
         row_loss = np.where(logistic, np.logaddexp(0.0, z) - target * z, 0.5 * (target - z) ** 2) * seen
-        residual = np.where(logistic, _sigmoid(z), z) - target
+        residual = np.where(logistic, sigmoid(z), z) - target
         gradient = x.T @ (residual * np.where(logistic, cost, 1.0) * seen)
         weighted = (row_loss * cost).sum(axis=0)
         return np.concatenate([gradient.ravel(), row_loss.sum(axis=0), weighted, seen.sum(axis=0).astype(float)])

@@ -309,3 +309,16 @@ def test_bootstrap_weights_are_close_to_poisson(spark):
 def test_a_half_vote_is_negative_for_the_class_and_positive_for_the_sign(spark):
     r = frame(spark, {"p": [0.5]}).select(tree.class_vote(F.col("p")).alias("c"), scalar.signed_label(F.col("p"), 0.5).alias("s")).first()
     assert (r["c"], r["s"]) == (0, 1)
+
+
+def test_executor_functions_do_not_need_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    compute = gradient._partial(np.zeros((2, 1)), [gradient.Model()])
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps(compute))
+    code = ("import pickle, numpy as np; f = pickle.load(open('f.bin', 'rb')); "
+            "print(f(np.ones((4, 2)), np.ones(4), np.zeros(4))[-1])")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "4.0", done.stderr
