@@ -208,7 +208,7 @@ def write(path, text):
 
 def test_csv_sources(spark, tmp_path):
     write(tmp_path / "x_train.csv", "Id,a,b\n" + "".join(f"{i},{i / 2},{'' if i % 2 else i}\n" for i in range(1, 121)))
-    write(tmp_path / "y_train.csv", "Id,_MICHD\n" + "".join(f"{i},{1 if i % 3 else -1}\n" for i in range(1, 121)))
+    write(tmp_path / "y_train.csv", "Id,label\n" + "".join(f"{i},{1 if i % 3 else -1}\n" for i in range(1, 121)))
     write(tmp_path / "x_test.csv", "Id,a,b\n500,nan,2\n")
     train, test = tables.read_dataset(spark, str(tmp_path))
     assert train.columns == ["id", "y", "a", "b"] and train.count() == 120
