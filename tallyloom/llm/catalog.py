@@ -1,6 +1,6 @@
 """Imports the modules that register the corpus queries."""
 
-from . import mixing  # noqa: F401
+from . import jaccard, mixing  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -178,3 +178,36 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def grouped(batches, keys: list[str]):
+    """(key values, table) of each run of equal keys in Arrow batches that arrive sorted by ``keys``."""
+    held, held_key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        change[0] = True
+        for c in columns:
+            values = c.to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+        cuts = [*np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            now = tuple(c[a].as_py() for c in columns)
+            if held and now != held_key:
+                yield held_key, pa.Table.from_batches(held)
+                held = []
+            held_key = now
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held_key, pa.Table.from_batches(held)
+
+
+SMALL_ROWS = 1_000_000
+
+
+def joined_small(large: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a stored table of few narrow columns, broadcast when a count shows it below ``SMALL_ROWS`` rows."""
+    few = small.count() <= SMALL_ROWS
+    return large.join(F.broadcast(small) if few else small, on, how)
