@@ -211,3 +211,16 @@ def joined_small(large: DataFrame, small: DataFrame, on, how: str = "inner") ->
     """Join with a stored table of few narrow columns, broadcast when a count shows it below ``SMALL_ROWS`` rows."""
     few = small.count() <= SMALL_ROWS
     return large.join(F.broadcast(small) if few else small, on, how)
+
+
+def block_pairs(df: DataFrame, group: str, item: str) -> DataFrame:
+    """Rows dealt to the block pairs (i, j), i <= j, of their group, grouped and sorted for ``mapInArrow``.
+
+    ``chunks`` says into how many blocks the group is cut by a hash of ``item``; ``side`` is the row's own block. Any two
+    rows of a group meet in exactly one block pair.
+    """
+    rest = [c for c in df.columns if c not in (group, "chunks")]
+    placed = df.withColumn("_own", F.expr(f"CAST(pmod(xxhash64({item}), chunks) AS INT)")).withColumn(
+        "_other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
+        group, F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side"), *rest)
+    return placed.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", item)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, grouped, joined_small, mixed, read_table, shingle_hashes, stored, text_slices, word_hashes
+from .common import block_pairs, components, forest, grouped, joined_small, mixed, read_table, shingle_hashes, stored, text_slices, word_hashes
 from .registry import query
 
 BLOCK = 512      # documents of one side of a verified block
@@ -156,12 +156,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
         F.col("node").alias("id"), "copies", "component", "chunks"))
     sets = joined_small(docs, candidates, "id").select("id", "copies", "component", "chunks", "text").mapInArrow(
         _shingler(width), "id bigint, copies bigint, component bigint, chunks int, shingles array<bigint>")
-    # Block pair (i, j) gets the chunks i and j.
-    placed = sets.withColumn("own", F.expr("CAST(pmod(xxhash64(id), chunks) AS INT)")).withColumn(
-        "other", F.explode(F.expr("sequence(0, chunks - 1)"))).selectExpr(
-        "id", "copies", "component", "least(own, other) AS i", "greatest(own, other) AS j", "own AS side", "shingles")
-    links = stored(placed.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "id").mapInArrow(
-        _verifier(threshold), "id bigint, root bigint, links bigint"))
+    links = stored(block_pairs(sets, "component", "id").mapInArrow(_verifier(threshold), "id bigint, root bigint, links bigint"))
     classes = components(links.selectExpr("id AS src", "root AS dst"))
     found = stored(links.groupBy("id").agg(F.sum("links").alias("links")).join(
         classes.withColumnRenamed("node", "id"), "id", "left").selectExpr("id AS rep", "links", "coalesce(component, id) AS component"))
