@@ -1,6 +1,6 @@
 """Imports the modules that register the corpus queries."""
 
-from . import jaccard, language, lines, mixing  # noqa: F401
+from . import jaccard, language, leaks, lines, mixing  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
