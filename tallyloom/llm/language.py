@@ -256,7 +256,7 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     other columns are ignored. Memory grows with the longest single text, not with the table.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).withColumn(
+    docs = df.select(F.col(key).alias("id"), F.lower(F.col(text).cast("string")).alias("text"), F.col(lang).cast("string").alias("lang")).withColumn(
         "held_out", F.expr("coalesce(crc32(CAST(CAST(id AS STRING) AS BINARY)) % 4 = 2, false)"))
     pieces = sample_pieces(docs.where("NOT held_out").select("id", "text", "lang"))
     field = train(pieces) if pieces else Field([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0, np.uint64),
