@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import _LOWER, hashed_spans, mixed, read_table, spans_of, stored, text_slices
 from .registry import query
@@ -211,7 +212,7 @@ def _predictor(shared):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(names, pa.string()),
                      pa.array(np.clip(score, 0, 1)), pa.array(counts.astype(np.int64)), pa.array(switches)],
-                    names=["id", "held_out", "lang_pred", "score", "n_words", "n_switches"])
+                    names=["row", "held_out", "lang_pred", "score", "n_words", "n_switches"])
     return predict
 
 
@@ -239,8 +240,8 @@ def sample_pieces(df: DataFrame) -> list[tuple[str, str]]:
     return sorted((r.lang, r.piece) for r in pieces.select("lang", "piece").collect())
 
 
-def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``key, held_out, lang_pred, score, n_words, n_switches`` for every row.
+def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", keep: Sequence[str] | None = None) -> DataFrame:
+    """``key, held_out, lang_pred, score, n_words, n_switches`` for every row; ``keep`` names columns to carry in place of ``key``.
 
     A linear-chain conditional random field labels every word of the whole text: potentials of prefixes, suffixes,
     character n-grams and a lexicon, and learned transitions between languages; forward-backward gives the words'
@@ -256,16 +257,17 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     other columns are ignored. Memory grows with the longest single text, not with the table.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(key).alias("id"), F.lower(F.col(text).cast("string")).alias("text"), F.col(lang).cast("string").alias("lang")).withColumn(
+    row = F.struct(*[F.col(f"`{c}`") for c in keep or [key]])
+    docs = df.select(row.alias("row"), F.col(key).alias("id"), F.lower(F.col(text).cast("string")).alias("text"),
+                     F.col(lang).cast("string").alias("lang")).withColumn(
         "held_out", F.expr("coalesce(crc32(CAST(CAST(id AS STRING) AS BINARY)) % 4 = 2, false)"))
     pieces = sample_pieces(docs.where("NOT held_out").select("id", "text", "lang"))
     field = train(pieces) if pieces else Field([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0, np.uint64),
                                                np.zeros((0, 0), bool))
     shared = spark.sparkContext.broadcast(field)
-    kind = dict(df.select(key).dtypes)[key]
-    rows = docs.select("id", "text", "held_out").mapInArrow(
-        _predictor(shared), f"id {kind}, held_out boolean, lang_pred string, score double, n_words bigint, n_switches bigint")
-    return rows.withColumnRenamed("id", key)
+    kind = StructType([docs.schema["row"], *StructType.fromDDL("held_out boolean, lang_pred string, score double, n_words bigint, n_switches bigint")])
+    return docs.select("row", "text", "held_out").mapInArrow(_predictor(shared), kind).select(
+        "row.*", "held_out", "lang_pred", "score", "n_words", "n_switches")
 
 
 @query("op2_language_id")
