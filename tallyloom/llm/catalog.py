@@ -1,6 +1,6 @@
 """Imports the modules that register the corpus queries."""
 
-from . import jaccard, language, leaks, licences, lines, mixing, pii, vectors  # noqa: F401
+from . import jaccard, language, leaks, licences, lines, mixing, pages, pii, vectors  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
