@@ -179,6 +179,8 @@ def predict_rows(field: Field, data: np.ndarray, rows: np.ndarray):
     """Per row: number of words, summed marginals by language, and how often the likeliest label changes."""
     low, starts, ends, firsts = words_of(data, rows)
     hashes = hashed_spans(low, starts, ends)
+    if not field.languages:
+        return np.diff(firsts), np.zeros((len(firsts) - 1, 0)), np.zeros(len(firsts) - 1, np.int64)
     _, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     f, at = features(low, starts[one], ends[one], hashes[one], field.lexicon, field.members)
     scores = np.add.reduceat(field.weights[f], at[:-1]) if len(one) else np.zeros((0, len(field.languages)), np.float32)
