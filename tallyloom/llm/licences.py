@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import joined_small, read_table, stored
 from .registry import query
 
-THRESHOLD = 0.9
+THRESHOLD = 0.92
 
 # Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
