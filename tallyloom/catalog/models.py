@@ -193,6 +193,23 @@ def _fit_single(spark, sf):
 SINGLE = "WITH " + forest_sql(TREE_SOURCE, TREE_FEATURES, ONE, single(4), TREE_CATEGORIES) + " "
 
 
+DEEP, CUT = tree.TreeOptions(6, 20, 10), tree.TreeOptions(6, 20, 10, max_rows_in_deep_node=150)
+
+
+def _grown(spark, sf, options):
+    return rounded(tree.fit_tree(f_tree(spark, sf), TREE_FEATURES, "y01", options, TREE_CATEGORIES).to_frame(spark))
+
+
+@query("decision_tree_deep", "WITH " + forest_sql(TREE_SOURCE, TREE_FEATURES, ONE, DEEP, TREE_CATEGORIES) + " " + NODES)
+def decision_tree_deep(spark, sf):
+    return _grown(spark, sf, DEEP)
+
+
+@query("decision_tree_deep_cut", "WITH " + forest_sql(TREE_SOURCE, TREE_FEATURES, ONE, CUT, TREE_CATEGORIES) + " " + NODES)
+def decision_tree_deep_cut(spark, sf):
+    return _grown(spark, sf, CUT)
+
+
 @query("decision_tree", SINGLE + NODES)
 def decision_tree(spark, sf):
     return rounded(_fit_single(spark, sf).to_frame(spark))

@@ -147,16 +147,17 @@ def fit_one_hot(spark, sf):
     return encode.fit_one_hot(value_counts(df, CATEGORICAL), 50, 8)
 
 
-@query("one_hot", PLAIN + """, top AS (SELECT order_month FROM base GROUP BY order_month ORDER BY count(*) DESC, order_month DESC LIMIT 12)
-SELECT id, """ + ", ".join(f'CAST(status_code = {v} AS DOUBLE) AS "status_code={v}"' for v in range(3)) + ", "
-    + ", ".join(f'CAST(survey = {v} AS DOUBLE) AS "survey={v}"' for v in (1, 2, 3, 4, 5, 6, 7, 77)
-                if v != 77) + """, CAST(survey NOT IN (1, 2, 3, 4, 5, 6, 7) AS DOUBLE) AS "survey=OTHER" FROM base""")
+HOT = ["status_code", "survey"]
+
+
+@query("one_hot", PLAIN + "," + kept_sql(50, 2, "base", HOT) + " SELECT b.id, u.feature || '=' || CASE WHEN k.value IS NULL THEN 'OTHER' "
+       "ELSE CAST(CAST(k.value AS BIGINT) AS VARCHAR) END AS hot FROM base b, LATERAL (SELECT 'status_code' AS feature, b.status_code AS value "
+       "UNION ALL SELECT 'survey', b.survey) u LEFT JOIN kept k ON k.feature = u.feature AND k.value = u.value")
 def one_hot(spark, sf):
-    df = f_orders(spark, sf, False).select("id", "status_code", "survey")
-    kept = df.where("survey < 10")
-    specs = encode.collect_one_hot(encode.fit_one_hot(value_counts(kept, ["status_code", "survey"]), 50, 50))
-    specs["survey"].other = True
-    return encode.apply_one_hot(df, ["status_code", "survey"], specs)
+    df = f_orders(spark, sf, False).select("id", *HOT)
+    specs = encode.collect_one_hot(encode.fit_one_hot(value_counts(df, HOT), 50, 2))
+    coded = encode.apply_one_hot(df, HOT, specs)
+    return coded.unpivot(["id"], [c for c in coded.columns if c != "id"], "hot", "value").where("value = 1").select("id", "hot")
 
 
 ENCODED = """, g AS (SELECT avg(y) AS mean FROM base), enc AS (
@@ -195,7 +196,7 @@ def oversample_sql(source: str, columns: str, target: float, seed: int = 1) -> s
     return (f"pos AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('id', seed)}) - 1 AS pos_no FROM {source} WHERE y = 1), "
             f"need AS (SELECT greatest(0, CAST(ceil(CAST({target} AS DOUBLE) * count(*) FILTER (y = -1) / (1 - CAST({target} AS DOUBLE))) AS BIGINT) "
             f"- count(*) FILTER (y = 1)) AS extra, count(*) FILTER (y = 1) AS n_pos FROM {source}), "
-            f"draws AS (SELECT i + 1 AS copy, {hash_sql('i', seed)} % n_pos AS pos_no FROM need, unnest(range(extra)) r(i)) "
+            f"draws AS (SELECT i + 1 AS copy, ({hash_sql('i', seed)} * 2147483647 + {hash_sql('i', seed + 500000)}) % n_pos AS pos_no FROM need, unnest(range(extra)) r(i)) "
             f"SELECT {columns}, 0 AS copy FROM {source} UNION ALL SELECT {columns}, copy FROM draws JOIN pos USING (pos_no)")
 
 
@@ -358,25 +359,23 @@ def level5_test_split(spark, sf):
 # --- sinks -----------------------------------------------------------------------------------------------------------
 
 
-@query("save_level", BASE + f"SELECT 'train' AS part, count(*) FILTER ({TRAIN}) AS rows FROM base "
-       f"UNION ALL SELECT 'test', count(*) FILTER ({TEST}) FROM base")
-def save_level(spark, sf):
+def _written_level(spark, sf):
+    """Level 1 written to a folder of its own in the shared folder, and read back."""
     df = f_orders(spark, sf)
     train, test, state = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level1", CHOSEN)
     folder = sinks.new_folder(spark)
     sinks.save_level(train, test, state, folder)
-    parts = [spark.read.parquet(f"{folder}/{p}").agg(F.lit(p).alias("part"), F.count(F.lit(1)).alias("rows")) for p in ("train", "test")]
-    return parts[0].unionByName(parts[1])
+    return sinks.load_level(spark, folder)
+
+
+@query("save_level", level_sql(levels.LEVELS["level1"], *level_columns("level1"), levels.LEVELS["level1"].oversample))
+def save_level(spark, sf):
+    return rounded(_written_level(spark, sf)[0])
 
 
 @query("load_level", level_sql(levels.LEVELS["level1"], *level_columns("level1"), None, "test"))
 def load_level(spark, sf):
-    df = f_orders(spark, sf)
-    train, test, state = levels.prepare(df.where(TRAIN), df.where(TEST), FEATURES, "level1", CHOSEN)
-    folder = sinks.new_folder(spark)
-    sinks.save_level(train, test, state, folder)
-    _, _, again = sinks.load_level(spark, folder)
-    return rounded(levels.transform(df.where(TEST), again))
+    return rounded(_written_level(spark, sf)[1])
 
 
 @query("submission", "SELECT o_orderkey AS \"Id\", CASE WHEN o_totalprice / 500000 >= 0.5 THEN 1 ELSE -1 END AS \"Prediction\" FROM orders")

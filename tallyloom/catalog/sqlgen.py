@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from ..functions.hashing import POISSON_ONE_CDF
 from ..operators.gradient import Model
-from ..operators.tree import LARGE_NODE, LARGE_NODE_DEPTH, THRESHOLD_POINTS, TreeOptions
+from ..operators.tree import THRESHOLD_POINTS, TreeOptions
 from .base import hash_sql, loss_sql, sigmoid_sql
 
 
@@ -108,7 +108,7 @@ def forest_sql(source: str, features: Sequence[str], subsets: Mapping[int, Seque
     names = "[" + ", ".join(f"'{f}'" for f in features) + "]"
     cat = ", ".join(f"'{f}'" for f in categorical) or "''"
     chosen = ", ".join(f"({t}, '{features[f]}')" for t, fs in subsets.items() for f in fs)
-    weight = "1" if seed is None else poisson_sql("id", f"({seed * 1000} + tree)")
+    weight = "1" if seed is None else poisson_sql("id", f"({seed * 1000} + tree)")  # the seed of trees below 1000
     columns = ", ".join(features)
     ctes = [f"data AS MATERIALIZED (SELECT id, CAST(y01 AS INTEGER) AS y01, {columns} FROM ({source}))",
             f"subsets AS (SELECT * FROM (VALUES {chosen}) t(tree, f))",
@@ -120,7 +120,8 @@ def forest_sql(source: str, features: Sequence[str], subsets: Mapping[int, Seque
             ctes.append(f"best{d} AS MATERIALIZED (SELECT tree, node, n, p, CAST(NULL AS VARCHAR) AS f, CAST(NULL AS DOUBLE) AS at_v, "
                         f"false AS is_cat, CAST(NULL AS DOUBLE) AS gain FROM size{d} WHERE false)")
             continue
-        depth_rule = f"AND n <= {LARGE_NODE}" if d > LARGE_NODE_DEPTH else ""
+        limit = options.max_rows_in_deep_node
+        depth_rule = f"AND n <= {limit}" if limit is not None and d > options.deep else ""
         picks = {k: "[" + ", ".join(f"qs[{points.index(q) + 1}]" for q in qs) + "]" for k, qs in THRESHOLD_POINTS.items()}
         choose = " ".join(f"WHEN k {'>=' if k == 5 else '='} {k} THEN {v}" for k, v in picks.items())
         ctes += [

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 PRIME = 2147483647
 MULTIPLIER = 1103515245
+HIGH_MULTIPLIER = 1812433253
 SEED_STEP = 1299709
+SECOND_SEED = 500_000
 
 # Poisson(1) cumulative probabilities P(X <= k), k = 0..8.
 POISSON_ONE_CDF = (
@@ -19,16 +21,23 @@ POISSON_ONE_CDF = (
 def id_hash(key: str, seed: int | str) -> Column:
     """Hash in [0, PRIME) of an integer key; key and seed are SQL text.
 
-    A permutation of the keys below PRIME - 1 for every seed below one million.
+    A permutation of the keys below PRIME - 1 for every seed below one million. Larger keys enter with both words, so
+    keys that lie multiples of PRIME apart have unrelated hashes.
     """
-    start = f"((pmod(CAST({key} AS BIGINT) + 1, {PRIME}L) * {MULTIPLIER}L % {PRIME}L + CAST({seed} AS BIGINT) * {SEED_STEP}L) % {PRIME}L)"
+    start = (f"((pmod(CAST({key} AS BIGINT) + 1, {PRIME}L) * {MULTIPLIER}L % {PRIME}L "
+             f"+ pmod((CAST({key} AS BIGINT) + 1) DIV {PRIME}L, {PRIME}L) * {HIGH_MULTIPLIER}L % {PRIME}L + CAST({seed} AS BIGINT) * {SEED_STEP}L) % {PRIME}L)")
     square = f"({start} * {start} % {PRIME}L)"
     return F.expr(f"{square} * {square} % {PRIME}L * {start} % {PRIME}L")
 
 
+def draw_position(key: str, seed: int, size: int) -> Column:
+    """Position in [0, size) from two hashes of the key, 62 bits together, so that large tables are drawn from evenly."""
+    return (id_hash(key, seed) * F.lit(PRIME).cast("bigint") + id_hash(key, f"({seed} + {SECOND_SEED})")) % F.lit(size)
+
+
 def hash_number(number: int, seed: int) -> int:
     """The same hash of a plain number, for small facts such as column positions."""
-    x = ((number + 1) % PRIME * MULTIPLIER % PRIME + seed * SEED_STEP) % PRIME
+    x = ((number + 1) % PRIME * MULTIPLIER % PRIME + (number + 1) // PRIME % PRIME * HIGH_MULTIPLIER % PRIME + seed * SEED_STEP) % PRIME
     return pow(x, 5, PRIME)
 
 

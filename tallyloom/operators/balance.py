@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import id_hash
+from ..functions.hashing import draw_position
 from .ranks import hash_index
 
 
@@ -33,7 +33,7 @@ def oversample(df: DataFrame, target: float = 0.5, seed: int = 1, key: str = "id
     if extra == 0:
         return originals
     draws = (df.sparkSession.range(extra)
-             .select((F.col("id") + 1).alias("copy"), (id_hash("id", seed) % counts[0]).alias("_at")))
+             .select((F.col("id") + 1).alias("copy"), draw_position("id", seed, counts[0]).alias("_at")))
     # Only keys are numbered and matched with the draws; the wide rows are shuffled once, for the last join.
     positives = df.where(F.col(label) == 1)
     numbered = hash_index(positives.select(key), key, seed, output="_at")

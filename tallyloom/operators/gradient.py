@@ -39,8 +39,8 @@ def pack(df: DataFrame, features: Sequence[str], target: str, fold: str | None =
                 continue
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             x = np.ascontiguousarray(np.stack(columns[:-2], axis=1), dtype=np.float64)
-            if np.isnan(x).any():
-                raise ValueError("missing feature values: impute before training")
+            if np.isnan(x).any() or np.isnan(columns[-2].astype(np.float64)).any():
+                raise ValueError("missing feature values or labels: impute before training")
             yield pa.RecordBatch.from_pydict({
                 "n": pa.array([batch.num_rows], pa.int32()), "x": pa.array([x.tobytes()], pa.binary()),
                 "y": pa.array([columns[-2].astype(np.float64).tobytes()], pa.binary()),

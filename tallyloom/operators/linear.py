@@ -79,7 +79,11 @@ def product_sums(df: DataFrame, features: Sequence[str], target: str) -> tuple[n
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     x = [f"CAST({quoted(f)} AS DOUBLE)" for f in features]
     row = df.selectExpr(*[f"sum({x[i]} * {x[j]}) AS g{i}_{j}" for i, j in pairs],
-                        *[f"sum({x[i]} * {quoted(target)}) AS t{i}" for i in range(d)], "count(1) AS n").first()
+                        *[f"sum({x[i]} * {quoted(target)}) AS t{i}" for i in range(d)], "count(1) AS n",
+                        "count_if(" + " AND ".join(f"{v} IS NOT NULL AND NOT isnan({v})" for v in [*x, f"CAST({quoted(target)} AS DOUBLE)"])
+                        + ") AS whole").first()
+    if row["whole"] < row["n"]:
+        raise ValueError("missing feature values or labels: impute before training")
     xtx = np.zeros((d, d))
     for i, j in pairs:
         xtx[i, j] = xtx[j, i] = row[f"g{i}_{j}"]

@@ -45,14 +45,15 @@ def curve_points(df: DataFrame, score: str = "score", label: str = "y", group: S
     pos, neg = f"count_if({quoted(label)} = 1)", f"count_if({quoted(label)} <> 1)"
     steps = (df.groupBy(*group, F.col(score).alias("score"))
              .agg(F.expr(f"{pos} AS pos"), F.expr(f"{neg} AS neg")))
-    rows = df.count() if rows is None else rows
+    totals = df.groupBy(*group).agg(F.expr(f"greatest({pos}, 1) AS _p"), F.expr(f"greatest({neg}, 1) AS _q"), F.count(F.lit(1)).alias("_rows"))
+    whole = None if group else totals.first()
+    if rows is None:
+        rows = whole["_rows"] if whole else df.count()
     cuts = bucket_cuts(df, [score], rows, rows_per_bucket)[score]
     running = running_totals(steps, "score", ["pos", "neg"], group, cuts, descending=True)
-    totals = df.groupBy(*group).agg(F.expr(f"greatest({pos}, 1) AS _p"), F.expr(f"greatest({neg}, 1) AS _q"))
     if group:
-        running = running.join(totals, list(group))
+        running = running.join(totals.drop("_rows"), list(group))
     else:
-        whole = totals.first()
         running = running.selectExpr("*", f"{whole['_p']}L AS _p", f"{whole['_q']}L AS _q")
     here = "cum_pos / (cum_pos + cum_neg)"
     return running.selectExpr(

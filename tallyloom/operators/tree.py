@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -23,10 +23,6 @@ from ..functions.hashing import hash_number, left_out, poisson_draws, unit_hash
 from ..functions.scalar import col, gain_text, number
 from .ranks import ROWS_PER_BUCKET, bucket_cuts, running_totals
 
-# A node with more rows than this, deeper than this, becomes a leaf.
-LARGE_NODE = 10_000
-LARGE_NODE_DEPTH = 3
-
 # Percentiles tried as thresholds, by number of distinct values (five stands for five or more).
 THRESHOLD_POINTS = {
     2: (0.25, 0.75),
@@ -48,6 +44,12 @@ class TreeOptions:
     min_samples_split: int = 20
     min_samples_leaf: int = 10
     criterion: str = "gini"
+    #: Nodes deeper than ``deep`` with more rows than this become leaves; no such cut unless it is set.
+    max_rows_in_deep_node: int | None = None
+    deep: int = 3
+
+    def cuts_off(self, depth: int, rows: int) -> bool:
+        return self.max_rows_in_deep_node is not None and depth > self.deep and rows > self.max_rows_in_deep_node
 
 
 @dataclass
@@ -68,7 +70,7 @@ class Node:
 
     def may_split(self, o: TreeOptions) -> bool:
         return (self.depth < o.max_depth and self.n >= max(o.min_samples_split, 2 * o.min_samples_leaf)
-                and 0 < self.n_pos < self.n and not (self.n > LARGE_NODE and self.depth > LARGE_NODE_DEPTH))
+                and 0 < self.n_pos < self.n and not o.cuts_off(self.depth, self.n))
 
 
 @dataclass
@@ -96,7 +98,8 @@ class TreeModel:
 
 
 def tree_seed(seed: int, tree: int) -> int:
-    return seed * 1000 + tree
+    """A number of its own for every tree of seeds below a million, however many trees."""
+    return seed * 1000 + tree % 1000 + tree // 1000 * 1_000_000_007
 
 
 def subset_size(max_features: str | int, count: int) -> int:
@@ -123,7 +126,7 @@ def with_draws(rows: DataFrame, seed: int | None, output: str = "w", drawn_only:
         return rows.withColumn(output, F.lit(1))
     # The uniform number is a column of its own and the filter looks at it alone: a filter on the weight would be
     # pushed down with the whole weight expression inside it.
-    hashed = rows.withColumn("_u", unit_hash("id", f"(tree + {seed * 1000})"))
+    hashed = rows.withColumn("_u", unit_hash("id", f"({seed * 1000} + tree % 1000 + tree DIV 1000 * 1000000007L)"))
     if drawn_only:
         hashed = hashed.where(~left_out(F.col("_u")))
     return hashed.withColumn(output, poisson_draws("_u")).drop("_u")
@@ -136,7 +139,10 @@ def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous
     flat = df.select(F.col(key).alias("id"), F.col(y01).cast("int").alias("y"),
                      *[col(f).cast("double").alias(v) for f, v in zip(features, values)])
     x = F.array(*values).alias("x")
-    rows = flat.count()
+    known = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in values)
+    rows, whole = flat.agg(F.count(F.lit(1)), F.count_if(F.expr(f"y IS NOT NULL AND {known}"))).first()
+    if whole < rows:
+        raise ValueError("missing feature values or labels: impute before training")
     if rows <= rows_per_bucket or not continuous:
         return flat.select("id", "y", x), False
     cuts = bucket_cuts(flat, [values[i] for i in continuous], rows, rows_per_bucket)
@@ -288,12 +294,12 @@ def fit_forest(df: DataFrame, features: Sequence[str], y01: str, trees: int = 10
     """Trees on Poisson bootstrap samples and per-tree feature subsets; forests always split by Gini impurity."""
     size = subset_size(max_features, len(features))
     subsets = {t: feature_subset(len(features), size, seed, t) for t in range(trees)}
-    plain = TreeOptions(options.max_depth, options.min_samples_split, options.min_samples_leaf)
+    plain = replace(options, criterion="gini")
     return grow(df, features, y01, subsets, plain, categorical, seed, key, **grow_options)
 
 
-def votes(model: TreeModel) -> Column:
-    """Array column with every tree's 0/1 vote, in tree order."""
+def votes(model: TreeModel, share: bool = False) -> Column:
+    """Array column with every tree's 0/1 vote, in tree order; with ``share`` the share of 1 as one number."""
     tables = []
     for t in model.trees:
         mine = [n for n in model.nodes if n.tree == t]
@@ -308,7 +314,7 @@ def votes(model: TreeModel) -> Column:
             np.array([float(n.prediction) for n in mine]),
             max(n.depth for n in mine)))
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("double" if share else "array<double>")
     def vote(*columns: pd.Series) -> pd.Series:
         x = np.stack([c.to_numpy(dtype=float) for c in columns], axis=1)
         rows = np.arange(len(x))
@@ -320,14 +326,15 @@ def votes(model: TreeModel) -> Column:
                 go_left = np.where(category[at], v == threshold[at], v <= threshold[at])
                 at = np.where(go_left, left[at], right[at])
             out[:, t] = prediction[at]
-        return pd.Series(list(out))
+        # A sum of whole numbers over their count, as an average in SQL.
+        return pd.Series(out.sum(axis=1) / len(tables)) if share else pd.Series(list(out))
 
     return vote(*[col(f).cast("double") for f in model.features])
 
 
 def probability(model: TreeModel) -> Column:
     """Share of the trees that vote for the positive class (0 or 1 for a single tree)."""
-    return F.aggregate(votes(model), F.lit(0.0), lambda a, v: a + v) / F.lit(float(len(model.trees)))
+    return votes(model, share=True)
 
 
 def class_vote(p: Column) -> Column:

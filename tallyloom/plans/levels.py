@@ -6,13 +6,15 @@ one projection, so it fuses with the scan below it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import number, quoted
+from ..functions.scalar import col, number, quoted
 from ..operators.balance import oversample
 from ..operators.columns import HIGH, KNOWN, LOW, MEAN, MEDIAN_SKETCH, ROWS, STD, per_column, value_counts
 from ..operators.encode import (
@@ -175,12 +177,28 @@ def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset:
     return {f: "low variance" for f in features if f in flat}
 
 
+@contextmanager
+def held(train: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
+    """The columns of a fit, computed once for all its passes and given back at its end."""
+    narrow = train.select(*[col(c) for c in dict.fromkeys(columns)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
 def fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[str], preset: Preset,
                label: str = "y", key: str = "id") -> PreparedState:
     """Drop, impute, scale and target-encode: learn every step from the training rows.
 
     Features that are not continuous are categorical, binary ones included.
     """
+    with held(train, [key, label, *features]) as rows:
+        return _fit_preset(rows, features, continuous, preset, label, key)
+
+
+def _fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[str], preset: Preset, label: str,
+                key: str) -> PreparedState:
     if preset.strategy not in CONTINUOUS_STRATEGIES:
         raise ValueError(f"unknown strategy for continuous features: {preset.strategy!r}")
     state = PreparedState()
@@ -263,6 +281,12 @@ def fit_level5(train: DataFrame, features: Sequence[str], forced_continuous: Seq
     mean for binary, 0 for pseudo-binary and the mode for categorical columns. Binary columns are left out unless
     ``include_binary`` is set.
     """
+    with held(train, [label, *features]) as rows:
+        return _fit_level5(rows, features, forced_continuous, parity, include_binary, label, preset)
+
+
+def _fit_level5(train: DataFrame, features: Sequence[str], forced_continuous: Sequence[str], parity: str,
+                include_binary: bool, label: str, preset: Preset) -> PreparedState:
     if parity not in ("effective", "documented"):
         raise ValueError(f"unknown parity: {parity!r}")
     state = PreparedState()

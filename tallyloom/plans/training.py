@@ -236,19 +236,21 @@ def search_and_train(df: DataFrame, features: Sequence[str], base: Settings, axe
 
 
 def run_summary(df: DataFrame, model: FinalModel, cv: CrossValidation, metric: str = "f1", label: str = "y") -> DataFrame:
-    """``section, item, number``: settings, mean and per-fold figures, training loss and training areas."""
+    """``section, item, number, value``: every setting (as text, too), the search, mean and per-fold figures, training loss and areas."""
     spark, winner = df.sparkSession, cv.best(metric)
-    rows = [("settings", f.name, float(getattr(model.settings, f.name))) for f in fields(Settings)
-            if isinstance(getattr(model.settings, f.name), (int, float))]
+    chosen = {f.name: getattr(model.settings, f.name) for f in fields(Settings)}
+    rows = [("settings", n, float(v) if isinstance(v, (int, float)) else None, ",".join(v) if isinstance(v, tuple) else str(v)) for n, v in chosen.items()]
+    rows += [("search", "metric", None, metric), ("search", "candidates", float(len(cv.aggregate())), None),
+             ("search", "winner", float(winner), None), ("search", "best", float(cv.aggregate()[winner][metric]), None)]
     best = cv.aggregate()[winner]
-    rows += [("cross_validation", n, float(best[n])) for n in CV_COLUMNS]
-    rows += [(f"fold_{r['fold']}", n, float(r[n])) for r in cv.per_fold if r["candidate"] == winner
+    rows += [("cross_validation", n, float(best[n]), None) for n in CV_COLUMNS]
+    rows += [(f"fold_{r['fold']}", n, float(r[n]), None) for r in cv.per_fold if r["candidate"] == winner
              for n in (*METRICS, "loss", "roc_auc", "pr_auc")]
-    rows.append(("train", "loss", float(model.loss)))
-    facts = spark.createDataFrame(rows, "section string, item string, number double")
+    rows.append(("train", "loss", float(model.loss), None))
+    facts = spark.createDataFrame(rows, "section string, item string, number double, value string")
     scored = df.select(F.col(label).alias("y"), model.score().alias("score"))
     found = areas(curve_points(scored))
     for item in ("roc_auc", "pr_auc"):
         facts = facts.unionByName(found.select(F.lit("train").alias("section"), F.lit(item).alias("item"),
-                                               F.col(item).alias("number")))
+                                               F.col(item).alias("number"), F.lit(None).cast("string").alias("value")))
     return facts

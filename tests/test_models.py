@@ -147,11 +147,11 @@ def impurity(y, criterion):
     return 1 - np.sum(p ** 2) if criterion == "gini" else -np.sum(p * np.log2(p + 1e-10))
 
 
-def brute_tree(x, y, cat, o, node=0, depth=0, large=tree.LARGE_NODE, features=None):
+def brute_tree(x, y, cat, o, node=0, depth=0, features=None):
     """Node table of a single tree, grown recursively."""
     here = {"node": node, "n": len(y), "n_pos": int(y.sum())}
     done = (depth >= o.max_depth or len(y) < o.min_samples_split or len(np.unique(y)) < 2
-            or len(y) < 2 * o.min_samples_leaf or (len(y) > large and depth > tree.LARGE_NODE_DEPTH))
+            or len(y) < 2 * o.min_samples_leaf or o.cuts_off(depth, len(y)))
     best = (0.0, None, None)
     if not done:
         for f in features if features is not None else range(x.shape[1]):
@@ -170,8 +170,8 @@ def brute_tree(x, y, cat, o, node=0, depth=0, large=tree.LARGE_NODE, features=No
         return [{**here, "prediction": int(2 * y.sum() > len(y))}]
     g, f, t = best
     left = x[:, f] == t if f in cat else x[:, f] <= t
-    return ([{**here, "f": f, "t": t, "g": g}] + brute_tree(x[left], y[left], cat, o, 2 * node + 1, depth + 1, large, features)
-            + brute_tree(x[~left], y[~left], cat, o, 2 * node + 2, depth + 1, large, features))
+    return ([{**here, "f": f, "t": t, "g": g}] + brute_tree(x[left], y[left], cat, o, 2 * node + 1, depth + 1, features)
+            + brute_tree(x[~left], y[~left], cat, o, 2 * node + 2, depth + 1, features))
 
 
 def assert_same_tree(nodes, want):
@@ -207,14 +207,16 @@ def test_tree_matches_brute_force(spark, grown, criterion, rows_per_bucket):
     assert_same_tree(model.nodes, brute_tree(x, y, {1}, o))
 
 
-def test_large_deep_nodes_become_leaves(spark, grown, monkeypatch):
+def test_large_deep_nodes_become_leaves_on_request(spark, grown):
     x, y = grown
-    monkeypatch.setattr(tree, "LARGE_NODE", 30)
-    o = tree.TreeOptions(7, 2, 1)
+    o = tree.TreeOptions(7, 2, 1, max_rows_in_deep_node=30)
     model = tree.fit_tree(tree_frame(spark, x, y), ["f0", "f1", "f2", "f3"], "y01", o)
-    want = brute_tree(x, y, set(), o, large=30)
+    want = brute_tree(x, y, set(), o)
     assert_same_tree(model.nodes, want)
     assert any(w["n"] > 30 and "prediction" in w and 0 < w["n_pos"] < w["n"] for w in want)
+    free = tree.fit_tree(tree_frame(spark, x, y), ["f0", "f1", "f2", "f3"], "y01", tree.TreeOptions(7, 2, 1))
+    assert_same_tree(free.nodes, brute_tree(x, y, set(), tree.TreeOptions(7, 2, 1)))
+    assert len(free.nodes) > len(model.nodes)
 
 
 def test_pure_and_small_tables_are_one_leaf(spark):
@@ -322,3 +324,22 @@ def test_executor_functions_do_not_need_the_package(tmp_path):
             "print(f(np.ones((4, 2)), np.ones(4), np.zeros(4))[-1])")
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip() == "4.0", done.stderr
+
+
+@pytest.mark.parametrize("width", [2, 33])
+@pytest.mark.parametrize("gap", ["feature", "label"])
+def test_every_fit_refuses_missing_cells(spark, width, gap):
+    features = [f"x{i}" for i in range(width)]
+    columns = {"id": range(60), **{f: [float((i * 7 + k) % 13) for i in range(60)] for k, f in enumerate(features)}, "t": [float(i % 2) for i in range(60)]}
+    columns["x1" if gap == "feature" else "t"][5] = None
+    df = frame(spark, columns)
+    fits = [lambda: linear.least_squares(df, features, "t"), lambda: linear.ridge(df, features, "t", 0.1), lambda: linear.linear_gd(df, features, "t", 0.01, 2),
+            lambda: linear.fit_logistic(df, features, "t", [linear.logistic_family("logistic", max_iters=2)]), lambda: tree.fit_tree(df, features, "t")]
+    for fit in fits:
+        with pytest.raises(Exception, match="missing feature values"):
+            fit()
+
+
+def test_seeds_of_trees_do_not_meet_the_next_seed():
+    numbers = {tree.tree_seed(s, t) for s in range(5) for t in range(3000)}
+    assert len(numbers) == 15_000

@@ -84,3 +84,15 @@ def test_bucketed_median_property(spark, values):
     got = [r["quantiles"][0] for r in exact_quantiles(df, ["a"], [0.5], in_task_values=0, rows_per_bucket=3).collect()]
     known = [v for v in values if v is not None]
     assert got == ([] if not known else [pytest.approx(float(np.median(known)))])
+
+
+def test_keys_beyond_the_modulus_are_hashed_by_both_words(spark):
+    from tallyloom.functions.hashing import draw_position
+    from tallyloom.operators.folds import assign_folds
+    ids = spark.range(200).selectExpr(f"id % 40 + id DIV 40 * {PRIME}L AS id")
+    rows = ids.select("id", id_hash("id", 3).alias("h")).collect()
+    assert len({r["h"] for r in rows}) == len(rows) and all(r["h"] == hash_number(r["id"], 3) for r in rows)
+    folds = assign_folds(ids, 3, label=None).groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in folds) == [66, 67, 67]
+    far = spark.range(2000).select(draw_position("id", 1, 1 << 40).alias("p")).collect()
+    assert abs(sum(r["p"] >= 1 << 39 for r in far) - 1000) < 120
