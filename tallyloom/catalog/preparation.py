@@ -188,6 +188,24 @@ def target_encoding(spark, sf):
     return rounded(encode.apply_target_encoding(df, CATEGORICAL, encode.collect_target_encoding(spec), mean))
 
 
+def cross_fit_sql() -> str:
+    kept = kept_sql(50, 8, "filled")
+    inside = kept[len("long AS ("):kept.index("), counts AS")]
+    outside = (f"long AS (SELECT CAST(f AS VARCHAR) || '#' || feature AS feature, value, y FROM ({unpivot_sql('filled', CATEGORICAL, ('y', 'id'))}) "
+               "JOIN range(5) r(f) ON id % 5 <> f")
+    columns = ", ".join(r6_sql(f"coalesce(e_{f}.encoding, CASE WHEN o_{f}.has_other THEN o_{f}.encoding ELSE g.mean END)") + f" AS {f}" for f in CATEGORICAL)
+    joins = " ".join(f"LEFT JOIN enc e_{f} ON e_{f}.feature = CAST(b.id % 5 AS VARCHAR) || '#{f}' AND e_{f}.value = b.{f} "
+                     f"LEFT JOIN others o_{f} ON o_{f}.feature = CAST(b.id % 5 AS VARCHAR) || '#{f}'" for f in CATEGORICAL)
+    return f"{FILLED},{kept.replace('long AS (' + inside, outside)}{ENCODED} SELECT id, {columns} FROM filled b JOIN g ON true {joins}"
+
+
+@query("target_encoding_cross_fit", cross_fit_sql())
+def target_encoding_cross_fit(spark, sf):
+    df = impute.apply_fill(f_orders(spark, sf), CATEGORICAL, {}).withColumn("fold", F.expr("id % 5"))
+    mean = df.agg(F.avg("y")).first()[0]
+    return rounded(encode.cross_fit_target_encoding(df, CATEGORICAL, "fold", mean, 50, 8))
+
+
 # --- balancing -------------------------------------------------------------------------------------------------------
 
 

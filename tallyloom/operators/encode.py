@@ -173,3 +173,35 @@ def impute_counts(counts: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("n", "n_pos") if c in counts.columns]
     return (counts.join(modes, "feature")
             .groupBy("feature", F.coalesce("value", "mode").alias("value")).agg(*sums))
+
+
+def cross_fit_counts(df: DataFrame, features: Sequence[str], fold: str, label: str = "y") -> DataFrame:
+    """Value counts of the rows outside each fold, ``<fold>#<feature>`` as the feature: one pass, then small tables only."""
+    keyed = df.select(F.col(fold).cast("string").alias("_fold"), (F.col(label) == 1).cast("int").alias("_pos"),
+                      *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    own = (keyed.unpivot(["_fold", "_pos"], list(features), "feature", "value").groupBy("_fold", "feature", "value")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("_pos").alias("n_pos")))
+    folds = sorted(r["_fold"] for r in df.select(F.col(fold).cast("string").alias("_fold")).distinct().collect())
+    # Every fold's counts are the totals less its own: its rows enter with a minus sign, all rows once per fold.
+    others = own.select(F.explode(F.array(*[F.lit(f) for f in folds])).alias("left_out"), "_fold", "feature", "value", "n", "n_pos")
+    return (others.where("left_out <> _fold").groupBy(F.concat_ws("#", "left_out", "feature").alias("feature"), "value")
+            .agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
+
+
+def cross_fit_target_encoding(df: DataFrame, features: Sequence[str], fold: str, global_mean: float, min_count: int = 50,
+                              max_categories: int = 50, smoothing: float = 1.0, label: str = "y", keep: Sequence[str] = ("id",)) -> DataFrame:
+    """Target encodings of each row from the rows of the other folds only, so that no row's label is in its own features.
+
+    ``fold`` names a column with a few fold numbers (``assign_folds``); the prior is the mean of all training labels.
+    """
+    counts = cross_fit_counts(df, features, fold, label)
+    specs = collect_target_encoding(fit_target_encoding(counts, global_mean, min_count, max_categories, smoothing))
+    folds = sorted({name.split("#", 1)[0] for name in specs})
+    out = []
+    for f in features:
+        encoded = F.lit(float(global_mean))
+        for k in folds:
+            spec = specs.get(f"{k}#{f}", TargetSpec())
+            encoded = F.when(F.col(fold).cast("string") == k, target_encoded(quoted(f), spec, global_mean)).otherwise(encoded)
+        out.append(encoded.alias(f))
+    return df.select(*keep, *out)
