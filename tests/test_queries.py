@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 # Statements that spell out the columns or values a level keeps, which holds from the next scale on.
 LARGER_SCALE = {"level0", "level1", "level2", "level2_unbalanced", "level3", "level4", "level5", "level5_test_split", "preset_transform",
-                "preset_train_test", "fit_preset", "load_level", "one_hot", "drop_low_variance_95", "drop_missing", "drop_low_variance"}
+                "preset_train_test", "fit_preset", "load_level", "save_level", "drop_low_variance_95", "drop_missing", "drop_low_variance"}
 
 
 @pytest.fixture(scope="module")
