@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import new_folder
 
-SLICE_BYTES = 2 << 20  # text bytes handled at once inside a task
+SLICE_BYTES = 1 << 20  # text bytes handled at once inside a task
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -27,6 +27,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Rows of one Arrow batch of whole texts, so that a Python worker holds a few megabytes of them.
+TEXT_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session pass rows to Python workers in batches of at most ``TEXT_ROWS``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
