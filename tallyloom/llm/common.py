@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import new_folder
 
-SLICE_BYTES = 1 << 20  # text bytes handled at once inside a task
+SLICE_BYTES = 1 << 19  # text bytes handled at once inside a task
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -28,7 +28,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 #: Rows of one Arrow batch of whole texts, so that a Python worker holds a few megabytes of them.
-TEXT_ROWS = 500
+TEXT_ROWS = 250
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, forest, grouped, joined_small, mixed, read_table, shingle_hashes, stored, text_slices, word_hashes
+from .common import block_pairs, components, forest, grouped, joined_small, mixed, read_table, shingle_hashes, small_batches, stored, text_slices, word_hashes
 from .registry import query
 
 BLOCK = 512      # documents of one side of a verified block
-COLUMNS = 4096   # shared shingles multiplied at once
+COLUMNS = 1024   # shared shingles multiplied at once
 
 
 def banding(threshold: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -141,6 +141,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     A text that is null or has no word links with nothing; a null key keeps its row with null class and 0 links; repeated
     rows are documents of their own, rows that share a key share a class; an empty table gives an empty result; other columns are ignored.
     """
+    small_batches(df.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
     docs = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     signed = stored(docs.mapInArrow(_signer(width, bands, rows), "id bigint, f1 bigint, f2 bigint, bands array<bigint>"))

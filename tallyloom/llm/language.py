@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import _LOWER, hashed_spans, mixed, read_table, spans_of, stored, text_slices
+from .common import _LOWER, hashed_spans, mixed, read_table, spans_of, small_batches, stored, text_slices
 from .registry import query
 
 #: Bounds of the training sample, per language: documents, pieces of them, and words of a piece.
@@ -258,6 +258,7 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     key is not held out and not learned from; repeated rows are predicted each; an empty table gives an empty result;
     other columns are ignored. Memory grows with the longest single text, not with the table.
     """
+    small_batches(df.sparkSession)
     spark = df.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in keep or [key]])
     docs = df.select(row.alias("row"), F.col(key).alias("id"), F.lower(F.col(text).cast("string")).alias("text"),
