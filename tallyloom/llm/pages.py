@@ -27,12 +27,17 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
              "tt u var wbr br img picture source nobr".split())
 HIDDEN = set("script style noscript template head title iframe object svg math canvas audio video select option datalist textarea button".split())
 RAW = set("script style noscript template title iframe textarea".split())
+#: Elements that can stand in the head; any other one ends it.
+HEAD = set("html head title base basefont bgsound link meta noframes noscript script style template".split())
 #: Starting one of these ends an open paragraph.
 ENDS_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
              "main menu nav ol p pre search section summary table ul".split())
 #: An element ended by the start of one of its own group, up to the given containers.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: Starting one of these ends a hidden element that the page never closes.
+ENDS_HIDDEN = (ENDS_P | set(SIBLINGS) | {"body"}) - {"hr"}
+UNCLOSED = -2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[^<]+|<""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -59,6 +64,19 @@ NEUTRAL, CONTENT, CLUTTER = 0, 1, 2
 STATES = 3
 
 
+def closed_starts(page: str, tag: str) -> set[int]:
+    """Where the elements of a name start that have an end tag of their own; comments and scripts do not count."""
+    waiting, closed = [], set()
+    for m in re.finditer(rf"<!--.*?(?:-->|\Z)|<script\b.*?(?:</script|\Z)|<(/?){tag}(?=[\s/>])", page, re.I | re.S):
+        if m[1] is None:
+            continue
+        if not m[1]:
+            waiting.append(m.start())
+        elif waiting:
+            closed.add(waiting.pop())
+    return closed
+
+
 @dataclass
 class Dom:
     """Elements and text blocks in page order; a text block is a leaf."""
@@ -75,7 +93,8 @@ class Dom:
 def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
     """The page's block elements and, as leaves, its runs of text between block boundaries. Unclosed and stray tags are repaired."""
     dom = dom or Dom()
-    stack: list[tuple[str, int]] = []   # open elements; -1 for inline and hidden ones
+    stack: list[tuple[str, int]] = []   # open elements; -1 for inline and hidden ones, UNCLOSED for hidden ones without an end tag
+    closed: dict[str, set[int]] = {}
     pieces: list[str] = []
     linked = anchors = hidden = 0
 
@@ -111,12 +130,14 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.match(page, at)
-        at = m.end()
+        begin, at = at, m.end()
         tag = m[2]
         if tag is None:
             token = m[0]
             if token[:2] in ("<!", "<?"):
                 continue
+            if stack and stack[-1][0] == "head" and token.strip():
+                pop()
             if not hidden:
                 told = entities.unescape(token)
                 pieces.append(told)
@@ -134,6 +155,12 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
             elif tag not in INLINE:
                 flush()
             continue
+        if hidden:
+            # The head ends where something starts that cannot stand in it, a hidden element without an end tag at the next block.
+            cut = next((i for i, (t, index) in enumerate(stack) if t == "head" and tag not in HEAD or index == UNCLOSED and tag in ENDS_HIDDEN), None)
+            if cut is not None:
+                while len(stack) > cut:
+                    pop()
         if tag in ENDS_P and any(t == "p" for t, _ in stack):
             # A paragraph ends with whatever is open inside it, unless a container came between.
             k = max(i for i, (t, _) in enumerate(stack) if t == "p")
@@ -164,13 +191,18 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}", re.I).search(page, at)
-            at = close.start() if close else end
             hidden += 1
-            stack.append((tag, -1))
+            if close or tag not in ("noscript", "template"):
+                at = close.start() if close else end
+                stack.append((tag, -1))
+            else:
+                stack.append((tag, UNCLOSED))
             continue
         if tag in HIDDEN:
             hidden += 1
-            stack.append((tag, -1))
+            if tag not in closed:
+                closed[tag] = closed_starts(page, tag)
+            stack.append((tag, -1 if begin in closed[tag] or tag == "head" else UNCLOSED))
         elif tag in INLINE:
             anchors += tag == "a"
             stack.append((tag, -1))

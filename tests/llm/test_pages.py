@@ -52,6 +52,27 @@ def test_other_layouts(model, page, want):
     assert pages.extract(model, [page]) == [want]
 
 
+UNENDED = [
+    "<html><head><title>x</title><body><article><p>One</p><p>Two</p></article></body></html>",
+    "<html><head><title>x</title><meta charset=utf-8><style>p {}</style><article><p>One</p><p>Two</p></article></html>",
+    "<head><title>x</title><script>'<p>'</script></head><body><article><p>One</p><video src=v><source src=w><p>Two</p></article>",
+    "<article><p>One</p><select><option>a<option>b<p>Two</p></article>",
+    "<article><p>One</p><object data=o><param name=n><p>Two</p></article>",
+    "<article><p>One</p><svg><g><path d=p /><p>Two</p><svg><text>no</text></svg></article>",
+    "<article><p>One</p><audio src=a><!-- </audio> --><p>Two</p><audio><p>fallback</p></audio></article>",
+    "<article><p>One</p><noscript><template><p>Two</p></article>",
+]
+
+
+@pytest.mark.parametrize("page", UNENDED)
+def test_hidden_elements_without_an_end(model, page):
+    assert pages.extract(model, [page]) == ["One\nTwo"]
+
+
+def test_text_ends_the_head():
+    assert pages.parse("<head><title>x</title>Straight text").text[-1] == "Straight text"
+
+
 def test_held_out_pages(model):
     forest = pages.Forest([pages.parse(p, labelled=True) for p in pages.labelled_pages(150, seed=99)])
     p, _ = pages.marginals(model, forest)
