@@ -176,25 +176,26 @@ def train(pieces: list[tuple[str, str]], sequences: int = 4000, epochs: int = 6,
 
 
 def predict_rows(field: Field, data: np.ndarray, rows: np.ndarray):
-    """Per row: number of words, summed marginals by language, and how often the likeliest label changes."""
+    """Per row: number of words, summed marginals by language, how often the likeliest label changes, and the words' summed largest marginals."""
     low, starts, ends, firsts = words_of(data, rows)
     hashes = hashed_spans(low, starts, ends)
     if not field.languages:
-        return np.diff(firsts), np.zeros((len(firsts) - 1, 0)), np.zeros(len(firsts) - 1, np.int64)
+        return np.diff(firsts), np.zeros((len(firsts) - 1, 0)), np.zeros(len(firsts) - 1, np.int64), np.zeros(len(firsts) - 1)
     _, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     f, at = features(low, starts[one], ends[one], hashes[one], field.lexicon, field.members)
     scores = np.add.reduceat(field.weights[f], at[:-1]) if len(one) else np.zeros((0, len(field.languages)), np.float32)
     m, _ = marginals(scores[inverse], field.transitions, firsts)
     counts = np.diff(firsts)
-    total, switches = np.zeros((len(counts), len(field.languages))), np.zeros(len(counts), np.int64)
+    total, switches, clear = np.zeros((len(counts), len(field.languages))), np.zeros(len(counts), np.int64), np.zeros(len(counts))
     full = np.flatnonzero(counts)
     if len(full):
         total[full] = np.add.reduceat(m, firsts[:-1][full], dtype=np.float64)
+        clear[full] = np.add.reduceat(m.max(1), firsts[:-1][full], dtype=np.float64)
         best = m.argmax(1)
         change = np.concatenate([[False], best[1:] != best[:-1]])
         change[firsts[:-1][full]] = False
         switches[full] = np.add.reduceat(change.astype(np.int64), firsts[:-1][full])
-    return counts, total, switches
+    return counts, total, switches, clear
 
 
 def _predictor(shared):
@@ -202,7 +203,7 @@ def _predictor(shared):
         field = shared.value
         for batch in batches:
             for first, last, data, offsets in text_slices(batch.column(1)):
-                counts, total, switches = predict_rows(field, data, offsets)
+                counts, total, switches, clear = predict_rows(field, data, offsets)
                 ascii_letter = np.concatenate([[0], np.cumsum(_LETTER[data] & (data < 128))])
                 plain = ascii_letter[offsets[1:]] > ascii_letter[offsets[:-1]]
                 for i in np.flatnonzero(~plain & (counts > 0)):
@@ -211,10 +212,11 @@ def _predictor(shared):
                 best = total.argmax(1) if field.languages else np.zeros(last - first, int)
                 names = [field.languages[b] if ok else UNDETERMINED for b, ok in zip(best, known)]
                 score = np.where(known, total.max(1, initial=0) / np.maximum(counts, 1), 0.0)
+                clear = np.where(known, clear / np.maximum(counts, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(names, pa.string()),
-                     pa.array(np.clip(score, 0, 1)), pa.array(counts.astype(np.int64)), pa.array(switches)],
-                    names=["row", "held_out", "lang_pred", "score", "n_words", "n_switches"])
+                     pa.array(np.clip(score, 0, 1)), pa.array(counts.astype(np.int64)), pa.array(switches), pa.array(np.clip(clear, 0, 1))],
+                    names=["row", "held_out", "lang_pred", "score", "n_words", "n_switches", "clearness"])
     return predict
 
 
@@ -243,12 +245,13 @@ def sample_pieces(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", keep: Sequence[str] | None = None) -> DataFrame:
-    """``key, held_out, lang_pred, score, n_words, n_switches`` for every row; ``keep`` names columns to carry in place of ``key``.
+    """``key, held_out, lang_pred, score, n_words, n_switches, clearness`` for every row; ``keep`` names columns to carry in place of ``key``.
 
     A linear-chain conditional random field labels every word of the whole text: potentials of prefixes, suffixes,
     character n-grams and a lexicon, and learned transitions between languages; forward-backward gives the words'
     marginals. The language with the largest expected number of words is predicted, its share of the words is the score,
-    ``n_switches`` counts changes of the likeliest label.
+    ``n_switches`` counts changes of the likeliest label. ``clearness`` is the mean over the words of their largest marginal:
+    high where every word clearly belongs to some language, however evenly the languages share the text.
 
     The field is fitted on a bounded sample (``SAMPLE_DOCS``, ``SAMPLE_PIECES`` and ``PIECE_WORDS`` per language) of rows
     with a text and a language whose crc32(key) mod 4 is not 2; rows with remainder 2 are held out. Only the text is an
@@ -268,11 +271,11 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     field = train(pieces) if pieces else Field([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0, np.uint64),
                                                np.zeros((0, 0), bool))
     shared = spark.sparkContext.broadcast(field)
-    kind = StructType([docs.schema["row"], *StructType.fromDDL("held_out boolean, lang_pred string, score double, n_words bigint, n_switches bigint")])
+    kind = StructType([docs.schema["row"], *StructType.fromDDL("held_out boolean, lang_pred string, score double, n_words bigint, n_switches bigint, clearness double")])
     return docs.select("row", "text", "held_out").mapInArrow(_predictor(shared), kind).select(
-        "row.*", "held_out", "lang_pred", "score", "n_words", "n_switches")
+        "row.*", "held_out", "lang_pred", "score", "n_words", "n_switches", "clearness")
 
 
 @query("op2_language_id")
 def op2_language_id(spark, folder):
-    return identify(read_table(spark, folder, "documents"))
+    return identify(read_table(spark, folder, "documents")).drop("clearness")

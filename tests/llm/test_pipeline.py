@@ -36,3 +36,12 @@ def test_empty_table(documents, spark, tmp_path):
     documents[0].select(corpus_pipeline.COLUMNS).limit(0).write.parquet(f"{folder}/documents.parquet")
     spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_even_code_switching_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(corpus_pipeline.COLUMNS)
+    parts = [r.text.replace("\n", " ").split() for r in docs.where("n_chars BETWEEN 900 AND 4000").dropDuplicates(["lang"]).collect()]
+    assert len(parts) == 4
+    rows = [(-7, " ".join(w for p in parts for w in p[:60]), None, None, None)]
+    kept = corpus_pipeline.label_languages(spark, docs.unionAll(spark.createDataFrame(rows, docs.schema)), "")
+    assert kept.where("doc_id = -7").count() == 1
