@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import block_pairs, components, forest, grouped, joined_small, mixed, read_table, shingle_hashes, small_batches, stored, text_slices, word_hashes
 from .registry import query
@@ -31,6 +32,29 @@ def _sets(shingles: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
     return [np.unique(shingles[a:b]) for a, b in zip(firsts[:-1], firsts[1:])]
 
 
+def _fingerprints(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Two words of hash of every shingle set, null where a text has no word."""
+    one, two = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+    for i, own in enumerate(sets):
+        one[i] = own.sum(dtype=np.uint64)
+        two[i] = mixed(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+    none = np.array([not len(own) for own in sets], bool)
+    return pa.array(one.view(np.int64), mask=none), pa.array(two.view(np.int64), mask=none)
+
+
+def fingerprinted(df: DataFrame, text: str = "text", width: int = 5) -> DataFrame:
+    """``df`` with ``f1, f2``: the fingerprint of every row's shingle set, as in ``near_duplicates``; null for a text without words."""
+    small_batches(df.sparkSession)
+    at = df.columns.index(text)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_slices(batch.column(at)):
+                prints = _fingerprints(_sets(*shingle_hashes(*word_hashes(data, offsets), width)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns), *prints], names=[*batch.schema.names, "f1", "f2"])
+    return df.mapInArrow(add, StructType([*df.schema, *StructType.fromDDL("f1 bigint, f2 bigint")]))
+
+
 def _signer(width: int, bands: int, rows: int):
     """Executor function: ids and texts to the fingerprint of the shingle set and one key per band."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,11 +65,7 @@ def _signer(width: int, bands: int, rows: int):
             for first, last, data, offsets in text_slices(batch.column(1)):
                 shingles, firsts = shingle_hashes(*word_hashes(data, offsets), width)
                 n, full = last - first, np.flatnonzero(np.diff(firsts))
-                sets = _sets(shingles, firsts)
-                one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                for i in full:
-                    one[i] = sets[i].sum(dtype=np.uint64)
-                    two[i] = mixed(sets[i] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+                one, two = _fingerprints(_sets(shingles, firsts))
                 keys = np.zeros((n, bands), np.uint64)
                 if len(full):
                     low = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -55,10 +75,9 @@ def _signer(width: int, bands: int, rows: int):
                         np.add(work, shift[k], out=work)
                         band = k // rows
                         keys[full, band] = mixed(keys[full, band] + np.uint64(band + 1)) ^ np.minimum.reduceat(work, starts)
-                none = np.diff(firsts) == 0
                 flat = pa.array(mixed(keys).view(np.int64).ravel())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, n), pa.array(one.view(np.int64), mask=none), pa.array(two.view(np.int64), mask=none),
+                    batch.column(0).slice(first, n), one, two,
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat)],
                     names=["id", "f1", "f2", "bands"])
     return sign
@@ -126,7 +145,7 @@ def _verifier(threshold: float):
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8,
-                    recall: float = 0.9995, max_hashes: int = 256) -> DataFrame:
+                    recall: float = 0.9995, max_hashes: int = 256, prints: bool = False) -> DataFrame:
     """``key, class_id, n_links``: documents whose sets of ``width``-word shingles have Jaccard >= ``threshold``.
 
     Words are runs of characters other than ASCII white space, A-Z lower-cased; a text of fewer than ``width`` words is one
@@ -137,6 +156,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 
     ``n_links`` counts the other documents linked directly, copies included; ``class_id`` is the smallest id connected by
     links. Bands and rows follow from ``recall`` at the threshold (more similar pairs are missed far less often).
+    With ``prints`` the rows' fingerprints ``f1, f2`` are returned too.
 
     A text that is null or has no word links with nothing; a null key keeps its row with null class and 0 links; repeated
     rows are documents of their own, rows that share a key share a class; an empty table gives an empty result; other columns are ignored.
@@ -163,10 +183,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
         classes.withColumnRenamed("node", "id"), "id", "left").selectExpr("id AS rep", "links", "coalesce(component, id) AS component"))
     reps = joined_small(same.select("f1", "f2", "rep", "copies"), found, "rep", "left")
     # A null id takes no part: its row keeps a null class.
-    row = signed.select("id", F.expr("CASE WHEN id IS NOT NULL THEN f1 END AS f1"), "f2")
+    row = signed.select("id", F.expr("CASE WHEN id IS NOT NULL THEN f1 END AS f1"), "f2", F.col("f1").alias("print"))
     return row.join(stored(reps), ["f1", "f2"], "left").select(
         F.col("id").alias(key), F.expr("coalesce(component, rep, id) AS class_id"),
-        F.expr("coalesce(copies - 1 + coalesce(links, 0), 0) AS n_links"))
+        F.expr("coalesce(copies - 1 + coalesce(links, 0), 0) AS n_links"), *([F.col("print").alias("f1"), "f2"] if prints else []))
 
 
 OP4_SQL = r"""

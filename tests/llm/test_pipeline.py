@@ -45,3 +45,12 @@ def test_even_code_switching_stays(spark):
     rows = [(-7, " ".join(w for p in parts for w in p[:60]), None, None, None)]
     kept = corpus_pipeline.label_languages(spark, docs.unionAll(spark.createDataFrame(rows, docs.schema)), "")
     assert kept.where("doc_id = -7").count() == 1
+
+
+def test_repeated_rows_and_null_ids(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("wort", "other"))
+    rows = [(1, one), (1, one.upper()), (1, one), (2, one + " noch"), (3, two), (6, two + " more"), (None, two), (None, two), (4, None), (4, None), (5, " ")]
+    docs = spark.createDataFrame([(k, t, "de", "s", 1) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted((str(k), str(t)) for k, t in [
+        (1, one.upper()), (3, two), (None, two), (4, None), (4, None), (5, " ")])
