@@ -1,4 +1,4 @@
-"""Byte-level BPE: every merge of the rank file replayed over the corpus's distinct words, then looked up per text."""
+"""Byte-level BPE: the merges of the rank file replayed over distinct words through an index of pairs, then looked up."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from .common import read_table, small_batches, stored
 from .registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-HOT_WORDS, HOT_BYTES = 1 << 17, 128    # words every task looks up in memory, and their greatest length
-SLAB_BYTES = 1 << 20                   # bytes of words whose merges are replayed together
+HELD_WORDS, HELD_BYTES = 1 << 17, 128  # words every task looks up in memory, and their greatest length
+SLAB_BYTES = 1 << 18                   # bytes of words whose merges are replayed together
+TEXT_CHARS = 1 << 20                   # characters of texts that are looked up together
 TASK_WORDS = 200_000                   # words a task counts before it passes the counts on
 WORDS_AT_ONCE = 50_000
 
@@ -32,6 +34,20 @@ def load_ranks(path: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _first_pairs(data: bytes, sizes: list[int], ranks: dict[bytes, int]) -> np.ndarray:
+    """Rank of the two bytes at each position of the buffer, -1 where they are no token or not of one word."""
+    table = np.full(1 << 16, -1, np.int64)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            table[token[0] << 8 | token[1]] = rank
+    codes = np.frombuffer(data, np.uint8).astype(np.int64)
+    pair = np.full(len(data), -1, np.int64)
+    pair[:-1] = table[codes[:-1] << 8 | codes[1:]]
+    stops = np.cumsum(sizes)
+    pair[stops[stops > 0] - 1] = -1
+    return pair
+
+
 def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     """Token ids of every word: all words' merges at once, in rank order.
 
@@ -41,72 +57,78 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     still smaller rank holds the rest of its word back until that pair is merged, so each word gets its own least
     pair, leftmost first. A word that is itself a token is that token.
     """
-    data = b"".join(words)
-    n = len(data)
-    ends, before, pair, owner = array("q", range(1, n + 1)), array("q", range(-1, n - 1)), array("q", [-1]) * n, array("q", [0]) * n
-    bounds, at = [], 0
-    index: dict[int, list[int]] = {}
-    look = ranks.get
-    for number, word in enumerate(words):
-        stop = at + len(word)
-        bounds.append((at, stop))
-        if word and word not in ranks:
-            before[at] = -1
-            for k in range(at, stop):
-                owner[k] = number
-            for k in range(at, stop - 1):
-                rank = look(data[k:k + 2])
-                if rank is not None:
-                    pair[k] = rank
-                    index.setdefault(rank, []).append(k)
-        at = stop
+    todo = [w for w in words if w and w not in ranks]
+    if not todo:
+        return [[ranks[w]] if w else [] for w in words]
+    data, sizes = b"".join(todo), [len(w) for w in todo]
+    n, stops = len(data), np.cumsum(sizes)
+    firsts = stops - sizes
+    before = np.arange(-1, n - 1)
+    before[firsts] = -1
+    first_pairs = _first_pairs(data, sizes, ranks)
+    at = np.flatnonzero(first_pairs >= 0)
+    at = at[np.argsort(first_pairs[at], kind="stable")]
+    found, cuts = np.unique(first_pairs[at], return_index=True)
+    index = {rank: part.tolist() for rank, part in zip(found.tolist(), np.split(at, cuts[1:]))} if len(found) else {}
     heap = list(index)
-    heapq.heapify(heap)
-
-    def note(k: int, end: int) -> int | None:
-        rank = look(data[k:end])
-        pair[k] = -1 if rank is None else rank
-        if rank is not None:
-            if rank not in index:
-                index[rank] = []
-                heapq.heappush(heap, rank)
-            index[rank].append(k)
-        return rank
-
+    ends, before, pair, limit = list(range(1, n + 1)), before.tolist(), first_pairs.tolist(), np.repeat(stops, sizes).tolist()
+    look, push = ranks.get, heapq.heappush
     while heap:
         rank = heapq.heappop(heap)
         waiting, held = [], set()
-        for k in sorted(index.pop(rank, ())):
+        for k in sorted(index.pop(rank)):
             if pair[k] != rank:
                 continue
-            if owner[k] in held:
+            if held and limit[k] in held:
                 waiting.append(k)
                 continue
             gone = ends[k]
             end = ends[k] = ends[gone]
-            pair[gone] = pair[k] = -1
-            fresh = []
-            if end < bounds[owner[k]][1]:
+            pair[k] = pair[gone] = -1
+            if end < limit[k]:
                 before[end] = k
-                fresh.append(note(k, ends[end]))
-            if before[k] >= 0:
-                fresh.append(note(before[k], end))
-            if any(f is not None and f < rank for f in fresh):
-                held.add(owner[k])
+                sides = ((k, ends[end]), (before[k], end))
+            else:
+                sides = ((before[k], end),)
+            for start, stop in sides:
+                if start < 0:
+                    continue
+                made = look(data[start:stop], -1)
+                pair[start] = made
+                if made < 0:
+                    continue
+                places = index.get(made)
+                if places is None:
+                    index[made] = [start]
+                    push(heap, made)
+                else:
+                    places.append(start)
+                if made < rank:
+                    held.add(limit[k])
         if waiting:
             index[rank] = waiting
-            heapq.heappush(heap, rank)
-    out = []
-    for word, (start, stop) in zip(words, bounds):
-        if word in ranks:
-            out.append([ranks[word]])
-            continue
+            push(heap, rank)
+    done = {}
+    for word, start, stop in zip(todo, firsts.tolist(), stops.tolist()):
         ids = []
         while start < stop:
-            ids.append(ranks[data[start:ends[start]]])
-            start = ends[start]
-        out.append(ids)
-    return out
+            end = ends[start]
+            ids.append(ranks[data[start:end]])
+            start = end
+        done[word] = ids
+    return [done[w] if w in done else [ranks[w]] if w else [] for w in words]
+
+
+def replayed(words: list[bytes], ranks: dict[bytes, int]) -> Iterator[list[int]]:
+    """``replay`` slab by slab; a word longer than a slab stands alone."""
+    first = 0
+    while first < len(words):
+        last, size = first, 0
+        while last < len(words) and (last == first or size + len(words[last]) <= SLAB_BYTES):
+            size += len(words[last])
+            last += 1
+        yield from replay(words[first:last], ranks)
+        first = last
 
 
 def _counter(pattern: str):
@@ -131,70 +153,83 @@ def _counter(pattern: str):
 def _replayer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [w.as_py().encode() for w in batch.column("word")]
-            first = 0
-            while first < len(words):
-                last, size = first, 0
-                while last < len(words) and (last == first or size + len(words[last]) <= SLAB_BYTES):
-                    size += len(words[last])
-                    last += 1
-                part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(replay(words[first:last], shared.value), pa.list_(pa.int32()))],
-                                                 names=["word", "n", "ids"])
-                first = last
+            ids = list(replayed([w.as_py().encode() for w in batch.column("word")], shared.value))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
     return run
 
 
-class _Lookup(dict):
-    """Ids of a word; a word that is not held gets -1, -2, ... in order of its first place in the text."""
+class _Ids(dict):
+    """Ids of the held words; ``others`` has those of the texts at hand."""
 
-    def __init__(self, held):
-        super().__init__(held)
-        self.rare = {}
+    others: dict = {}
 
     def __missing__(self, word):
-        return (-1 - self.rare.setdefault(word, len(self.rare)),)
+        return self.others[word]
+
+
+def _groups(column: pa.Array):
+    """Runs of texts of at most ``TEXT_CHARS`` characters, one text at least; a null text is empty."""
+    texts, size = [], 0
+    for value in column:
+        text = value.as_py() or ""
+        if texts and size + len(text) > TEXT_CHARS:
+            yield texts
+            texts, size = [], 0
+        texts.append(text)
+        size += len(text)
+    if texts:
+        yield texts
 
 
-def _encoder(pattern: str, shared):
+def _encoder(pattern: str, ranks, held):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, held = regex.compile(pattern).findall, _Lookup(shared.value)
+        split, ids = regex.compile(pattern).findall, _Ids(held.value)
         for batch in batches:
-            for first in range(0, batch.num_rows, 64):
-                part = batch.slice(first, 64)
-                flat, ends, rare = array("i"), [0], []
-                for text in part.column("text"):
-                    held.rare = {}
-                    flat.extend(chain.from_iterable(map(held.__getitem__, split(text.as_py() or ""))))
+            first = 0
+            for texts in _groups(batch.column("text")):
+                words = [split(t) for t in texts]
+                others = list(set().union(*words).difference(ids))
+                ids.others = dict(zip(others, replayed([w.encode() for w in others], ranks.value)))
+                flat, ends = array("i"), [0]
+                for own in words:
+                    flat.extend(chain.from_iterable(map(ids.__getitem__, own)))
                     ends.append(len(flat))
-                    rare.append(list(held.rare))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)) if flat else pa.array([], pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("f1"), part.column("f2"), ids, pa.array(rare, pa.list_(pa.string()))],
-                                                 names=["key", "f1", "f2", "ids", "rare"])
+                values = pa.array(np.frombuffer(flat, np.int32)) if flat else pa.array([], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(first, len(texts)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
+                                                 names=["key", "ids"])
+                first += len(texts)
     return encode
 
 
-def _hot_from(coded: DataFrame, most: int) -> int:
-    """Least logarithm class of a word's count above which at most ``most`` words stand."""
-    classes = sorted(((r["class"], r["words"]) for r in coded.groupBy("class").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+def _least_class(counted: DataFrame, most: int) -> int:
+    """Least logarithm class of a word's count such that at most ``most`` words are of it or above."""
     total, least = 0, 1 << 30
-    for kind, words in classes:
-        total += words
+    for row in sorted(counted.groupBy("class").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["class"]):
+        total += row["words"]
         if total > most:
             break
-        least = kind
+        least = row["class"]
     return least
 
 
+def held_words(rows: DataFrame, ranks, pattern: str, most: int) -> dict[str, tuple[int, ...]]:
+    """The corpus's most frequent distinct words with their ids: at most ``most`` words of at most ``HELD_BYTES`` bytes."""
+    counted = rows.select("text").mapInArrow(_counter(pattern), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = stored(counted.where(f"n > 1 AND octet_length(word) <= {HELD_BYTES}").selectExpr("word", "CAST(floor(log2(n) * 8) AS INT) AS class"))
+    least = _least_class(counted, most)
+    held = counted.where(F.col("class") >= least).select("word").mapInArrow(_replayer(ranks), "word string, ids array<int>").toArrow()
+    return {w: tuple(i) for w, i in zip(held.column("word").to_pylist(), held.column("ids").to_pylist())}
+
+
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ranks: str | dict[bytes, int] = RANKS, pattern: str = public_tokenizers.PATTERN,
-           hot: int = HOT_WORDS) -> DataFrame:
-    """``key, ids`` of every row: the ids of its whole text, each match of ``pattern`` encoded separately.
+           held: int = HELD_WORDS) -> DataFrame:
+    """``key, ids`` of every row: the ids of its whole text, each match of ``pattern`` (a word) encoded separately.
 
-    One pass counts the distinct words (matches) of the corpus, combined per task. Their merges are replayed slab by slab
-    on the cluster (``replay``), each distinct word once. The most frequent words, at most ``hot`` of at most ``HOT_BYTES``
-    bytes, are held by every task, so the broadcast is bounded; a second pass over the texts looks words up, and the
-    words not held are named per text, joined by word and set into the ids afterwards. Texts are known by two 64-bit
-    hashes there, so equal texts share one list of such words and no text is shuffled.
+    One pass counts the corpus's distinct words, combined per task. The merges of the most frequent ones, at most ``held``
+    of at most ``HELD_BYTES`` bytes, are replayed on the cluster (``replay``), and every task holds their ids: the
+    broadcast is bounded. A second pass looks the texts' words up; the distinct words of a task's texts that are not held
+    are replayed there, many texts' words at once. So a word in many texts is replayed once, a rare one where it stands,
+    and no text and no place of a word is shuffled. ``held`` is a matter of speed only.
 
     A null or empty text has no ids. Null or repeated keys are rows of their own; an empty table gives an empty result;
     other columns are ignored. Very long words are replayed alone. Characters assigned after the Unicode version of another
@@ -202,48 +237,42 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ranks: str |
     """
     spark = df.sparkSession
     small_batches(spark)
-    ranks = load_ranks(ranks) if isinstance(ranks, str) else ranks
+    ranks = spark.sparkContext.broadcast(load_ranks(ranks) if isinstance(ranks, str) else ranks)
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    counted = rows.select("text").mapInArrow(_counter(pattern), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    merged = counted.mapInArrow(_replayer(spark.sparkContext.broadcast(ranks)), "word string, n bigint, ids array<int>")
-    coded = stored(merged.withColumn("class", F.expr(f"CASE WHEN octet_length(word) <= {HOT_BYTES} THEN CAST(floor(log2(n) * 8) AS INT) ELSE -1 END")))
-    least = max(_hot_from(coded, hot), 0)
-    held = coded.where(F.col("class") >= least).select("word", "ids").toArrow()
-    shared = spark.sparkContext.broadcast({w: tuple(i) for w, i in zip(held.column("word").to_pylist(), held.column("ids").to_pylist())})
-    kind = dict(rows.dtypes)["key"]
-    looked = rows.select("key", F.xxhash64("text").alias("f1"), F.xxhash64("text", F.lit(7)).alias("f2"), "text").mapInArrow(
-        _encoder(pattern, shared), f"key {kind}, f1 bigint, f2 bigint, ids array<int>, rare array<string>")
-    others = coded.where(F.col("class") < least).select("word", F.col("ids").alias("of"))
-    if others.isEmpty():
-        return looked.select(F.col("key").alias(key), "ids")
-    looked = stored(looked)
-    texts = looked.where("size(rare) > 0").groupBy("f1", "f2").agg(F.first("rare").alias("rare"))
-    named = texts.select("f1", "f2", F.posexplode("rare").alias("k", "word")).join(others, "word")
-    known = named.groupBy("f1", "f2").agg(F.expr("transform(sort_array(collect_list(struct(k, of))), s -> s.of)").alias("known"))
-    # A missing word's ids replace its mark; element_at counts from 1.
-    return looked.join(known, ["f1", "f2"], "left").select(F.col("key").alias(key), F.expr(
-        "CASE WHEN size(rare) = 0 THEN ids ELSE flatten(transform(ids, i -> IF(i >= 0, array(i), element_at(known, -i)))) END").alias("ids"))
+    known = spark.sparkContext.broadcast(held_words(rows, ranks, pattern, held) if held else {})
+    out = rows.mapInArrow(_encoder(pattern, ranks, known), f"key {dict(rows.dtypes)['key']}, ids array<int>")
+    return out.select(F.col("key").alias(key), "ids")
 
 
 def _decoder(shared):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared.value
+        pieces = pa.array(shared.value, pa.large_binary())
         for batch in batches:
-            for first in range(0, batch.num_rows, 64):
-                part = batch.slice(first, 64)
-                ids = part.column("ids")
-                texts = [None if i is None else b"".join([pieces[k] for k in i]) for i in ids.to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.large_binary()).cast(pa.binary())], names=[*part.schema.names, "bytes"])
+            ids = batch.column("ids")
+            found = pieces.take(ids.flatten())
+            if found.null_count:
+                raise ValueError("an id without a token")
+            # The taken pieces lie one after another: a text's bytes run from its first piece to the next text's.
+            _, places, data = found.buffers()
+            places = np.frombuffer(places, np.int64)[found.offset:found.offset + len(found) + 1] if len(found) else np.zeros(1, np.int64)
+            counts = np.concatenate([[0], np.cumsum(np.nan_to_num(ids.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))])
+            joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(places[counts].tobytes()), data])
+            if ids.null_count:
+                joined = pa.compute.if_else(ids.is_valid(), joined, None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, joined.cast(pa.binary())], names=[*batch.schema.names, "bytes"])
     return decode
 
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", ranks: str | dict[bytes, int] = RANKS) -> DataFrame:
     """``key, ids, bytes``: the bytes of every row's ids; null ids give null bytes, an id without a token is an error."""
     spark = df.sparkSession
+    small_batches(spark)
     ranks = load_ranks(ranks) if isinstance(ranks, str) else ranks
-    shared = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+    pieces = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
     rows = df.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    out = rows.mapInArrow(_decoder(shared), f"key {dict(rows.dtypes)['key']}, ids array<int>, bytes binary")
+    out = rows.mapInArrow(_decoder(spark.sparkContext.broadcast(pieces)), f"key {dict(rows.dtypes)['key']}, ids array<int>, bytes binary")
     return out.select(F.col("key").alias(key), F.col("ids").alias(ids), "bytes")
 
 

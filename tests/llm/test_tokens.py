@@ -39,6 +39,12 @@ def test_ranks_in_any_order(words, merges):
     assert tokens.replay(words, ranks) == [library.encode_ordinary(w.decode()) for w in words]
 
 
+def test_slabs(monkeypatch):
+    words = [w.encode() for w in "one two three four five six seven extraordinarily".split()]
+    monkeypatch.setattr(tokens, "SLAB_BYTES", 9)
+    assert list(tokens.replayed(words, RANKS)) == tokens.replay(words, RANKS)
+
+
 def test_words_apart_and_runs():
     ranks = toy_ranks(b"aa", b"aab", b"ab")
     assert tokens.replay([b"aaa", b"a", b"", b"aab", b"caab"], ranks) == [[256, 97], [97], [], [257], [99, 257]]
@@ -46,12 +52,12 @@ def test_words_apart_and_runs():
     assert tokens.replay([long], ranks) == [[258] * 30_000]
 
 
-@pytest.mark.parametrize("hot", [tokens.HOT_WORDS, 40, 0])
-def test_texts_equal_the_library(spark, documents, hot):
+@pytest.mark.parametrize("held", [tokens.HELD_WORDS, 40, 0])
+def test_texts_equal_the_library(spark, documents, held):
     """With all words held, with few and with none, the ids are the same; nulls, repeats and clashing columns included."""
     frame, _ = documents
     rows = [(r["doc_id"], r["text"] or "") for r in frame.select("doc_id", "text").collect()]
-    got = [(r["doc_id"], list(r["ids"])) for r in tokens.encode(frame, hot=hot).collect()]
+    got = [(r["doc_id"], list(r["ids"])) for r in tokens.encode(frame, held=held).collect()]
     place = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(got, key=place) == sorted([(k, LIBRARY.encode_ordinary(t)) for k, t in rows], key=place)
 
@@ -62,6 +68,8 @@ def test_round_trip_and_empty_table(spark):
     got = {r["doc_id"]: (list(r["ids"]), bytes(r["bytes"])) for r in tokens.decode(tokens.encode(frame)).collect()}
     assert got == {k: (LIBRARY.encode_ordinary(t or ""), (t or "").encode()) for k, t in enumerate(texts)}
     assert tokens.encode(frame.where("false")).count() == 0
+    given = spark.createDataFrame([(1, None), (2, []), (3, [104, 105])], "doc_id long, ids array<int>").coalesce(1)
+    assert [r["bytes"] and bytes(r["bytes"]) for r in tokens.decode(given, ranks=toy_ranks()).orderBy("doc_id").collect()] == [None, b"", b"hi"]
 
 
 def test_query(spark):
