@@ -15,6 +15,7 @@ from .conftest import SF
 
 RANKS = tokens.load_ranks()
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+SPLIT = tokens.splitter(public_tokenizers.PATTERN)
 
 
 def toy_ranks(*merges):
@@ -39,6 +40,20 @@ def test_ranks_in_any_order(words, merges):
     assert tokens.replay(words, ranks) == [library.encode_ordinary(w.decode()) for w in words]
 
 
+@given(st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=60), st.text(alphabet="ab 'st\n\t.,9é\u2009ſ漢٣", max_size=60))
+@settings(max_examples=150, deadline=None)
+def test_written_classes_split_alike(any_text, common):
+    for text in (any_text, common, common + any_text):
+        assert SPLIT(text) == tokens.regex.findall(public_tokenizers.PATTERN, text)
+
+
+def test_every_code_point_splits_alike():
+    for limit in (0x250, 0x10000, 0x20000):
+        text = "".join(f" {chr(c)}{chr(c)}" for c in range(limit) if not 0xD800 <= c < 0xE000)
+        assert SPLIT(text) == tokens.regex.findall(public_tokenizers.PATTERN, text)
+    assert tokens.splitter(r"\w+|\W")("a b") == ["a", " ", "b"]
+
+
 def test_slabs(monkeypatch):
     words = [w.encode() for w in "one two three four five six seven extraordinarily".split()]
     monkeypatch.setattr(tokens, "SLAB_BYTES", 9)
