@@ -1,9 +1,10 @@
-"""Decision trees and forests, grown level by level for all trees at once.
+"""Decision trees and forests, grown level by level for all trees, folds and candidates at once.
 
-Each level is one Spark job: rows are routed through the splits found so far (small broadcast tables, no state to
-carry), counted per (tree, node, feature, value), and accumulated in value order; candidate thresholds and their class
-counts are then read off the running totals. Only the chosen splits, at most one per open node, come back to the
-driver. Children's sizes follow from the chosen split, so nodes that cannot split any more are never counted.
+Rows are packed into held blocks that carry every tree's open node of the row. A level's large nodes are split from order
+statistics: a pass over the blocks counts rows per cell of each (node, feature), the few cells that hold a wanted rank
+are cut again or counted by exact value in the next pass, and thresholds are read off the counts. What is exchanged has
+the size of cells, not of rows. A node that one task can hold is not split level by level: its rows go to a task once,
+which grows the rest of it. Only node tables come back to the driver.
 """
 
 from __future__ import annotations
@@ -14,25 +15,24 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_number, left_out, poisson_draws, unit_hash
-from ..functions.scalar import col, gain_text, number
-from .ranks import ROWS_PER_BUCKET, bucket_cuts, running_totals
-
-# Percentiles tried as thresholds, by number of distinct values (five stands for five or more).
-THRESHOLD_POINTS = {
-    2: (0.25, 0.75),
-    3: (0.25, 0.5, 0.75),
-    4: (0.25, 0.25 + 0.5 / 3, 0.25 + 1.0 / 3, 0.75),
-    5: (0.25, 0.375, 0.5, 0.625, 0.75),
-}
-
-# Gains are compared at this many decimals, so that ties do not hang on the order of a floating-point sum.
-GAIN_DIGITS = 12
+from ..functions.scalar import col, gain_text
+from . import splits
+from .splits import GAIN_DIGITS, THRESHOLD_POINTS  # noqa: F401  (part of this module's interface)
+
+#: Rows of a node that one task may hold and finish alone.
+ROWS_PER_TASK = 65_536
+#: Rows of a cell whose values are counted one by one.
+ROWS_PER_CELL = 4096
+#: (node, feature) pairs that are split together; more take further passes over the blocks.
+PAIRS_AT_ONCE = 20_000
+#: Trees grown together: each one costs four bytes a held row.
+TREES_AT_ONCE = 1024
 
 NODE_SCHEMA = ("tree int, node bigint, depth int, feature string, threshold double, is_categorical boolean, "
                "left_node bigint, right_node bigint, prediction int, n bigint, n_pos bigint, gain double")
@@ -132,177 +132,295 @@ def with_draws(rows: DataFrame, seed: int | None, output: str = "w", drawn_only:
     return hashed.withColumn(output, poisson_draws("_u")).drop("_u")
 
 
-def _base(df: DataFrame, features: Sequence[str], y01: str, key: str, continuous: Sequence[int], rows_per_bucket: int
-          ) -> tuple[DataFrame, bool]:
-    """``id, y, x`` and, for tables long enough to need range buckets, the bucket of every value."""
-    values = [f"_v{i}" for i in range(len(features))]
-    flat = df.select(F.col(key).alias("id"), F.col(y01).cast("int").alias("y"),
-                     *[col(f).cast("double").alias(v) for f, v in zip(features, values)])
-    x = F.array(*values).alias("x")
-    known = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in values)
-    rows, whole = flat.agg(F.count(F.lit(1)), F.count_if(F.expr(f"y IS NOT NULL AND {known}"))).first()
-    if whole < rows:
-        raise ValueError("missing feature values or labels: impute before training")
-    if rows <= rows_per_bucket or not continuous:
-        return flat.select("id", "y", x), False
-    cuts = bucket_cuts(flat, [values[i] for i in continuous], rows, rows_per_bucket)
-    edges = [[-math.inf, *(cuts[values[i]] or [0.0]), math.inf] for i in continuous]
-    outputs = [f"_b{i}" for i in continuous]
-    flat = Bucketizer(splitsArray=edges, inputCols=[values[i] for i in continuous], outputCols=outputs,
-                      handleInvalid="keep").transform(flat)
-    buckets = F.array(*[F.col(f"_b{i}").cast("int") if i in continuous else F.lit(0) for i in range(len(features))])
-    return flat.select("id", "y", x, buckets.alias("b")), True
-
-
-def _route(rows: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
-    """Send rows down the splits; rows that end in a closed node are dropped."""
-    kept = [c for c in rows.columns if c not in ("node", "size", "size_pos")]
-    for splits in levels:
-        value = "element_at(x, split_feature + 1)"
-        rows = (rows.join(F.broadcast(splits), ["tree", "node"])
-                .selectExpr("*", f"CASE WHEN split_category THEN {value} = split_at ELSE {value} <= split_at END AS _left")
-                .where("CASE WHEN _left THEN left_open ELSE right_open END")
-                .selectExpr(*kept, "2 * node + CASE WHEN _left THEN 1 ELSE 2 END AS node",
-                            "CASE WHEN _left THEN left_n ELSE right_n END AS size",
-                            "CASE WHEN _left THEN left_pos ELSE right_pos END AS size_pos"))
-    return rows
-
-
-LEVEL_SCHEMA = ("tree int, node bigint, split_feature int, split_at double, split_category boolean, left_open boolean, "
-                "right_open boolean, left_n bigint, left_pos bigint, right_n bigint, right_pos bigint")
-
-
-def candidate_splits(counts: DataFrame, categorical: Sequence[int], options: TreeOptions, bucketed: bool = False) -> DataFrame:
-    """``tree, node, size, size_pos, f, at, is_cat, left_n, left_pos``: thresholds to try, and each category column's best value.
-
-    ``counts`` has one row per distinct value: ``tree, node, size, size_pos, f, v, n, n_pos`` (and bucket ``b``). One
-    aggregate per (node, feature) picks the order statistics off the running totals, so a feature with many values is
-    never gathered in one place.
+@dataclass(frozen=True)
+class TreeSpec:
+    """A tree to grow: its number decides its draws; rows of fold ``held_out`` are not seen."""
+
+    tree: int
+    features: tuple[int, ...]
+    options: TreeOptions
+    seed: int | None = None
+    held_out: int = -1
+
+    def rules(self, categorical: set[int]) -> tuple:
+        o = self.options
+        return (self.features, tuple(f in categorical for f in self.features), o.criterion != "gini", o.min_samples_leaf,
+                o.min_samples_split, o.max_depth, o.max_rows_in_deep_node, o.deep)
+
+
+class _Grower:
+    """One job's blocks, the trees on them and their node tables."""
+
+    def __init__(self, blocks: DataFrame, width: int, specs: Sequence[TreeSpec], samples: Sequence[tuple], categorical: set[int],
+                 rows_per_task: int, rows_per_cell: int):
+        self.blocks, self.width, self.specs, self.categorical = blocks, width, list(specs), categorical
+        self.spark = blocks.sparkSession
+        self.draws, self.sample_of = len(samples), [samples.index((s.seed, s.tree if s.seed is not None else 0)) for s in specs]
+        self.features = [s.features for s in specs]
+        self.rows_per_task, self.rows_per_cell = rows_per_task, rows_per_cell
+        self.nodes: list[list[Node]] = [[] for _ in specs]
+
+    def _summed(self, counter) -> DataFrame:
+        """Cells of all tasks, added up; a range's cells are in one task."""
+        parts = self.blocks.mapInArrow(counter, splits.CELL_SCHEMA).repartition("p")
+        return parts.groupBy("p", "c").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    def totals(self) -> list[Node]:
+        rows = self._summed(splits.totaller(self.width, self.draws, self.sample_of)).collect()
+        found = {r["p"]: r for r in rows}
+        self.lows = np.array([found[-1 - f]["lo"] for f in range(self.width)] if rows else [0.0] * self.width)
+        self.highs = np.array([found[-1 - f]["hi"] for f in range(self.width)] if rows else [0.0] * self.width)
+        roots = [Node(s.tree, 0, 0, found[t]["n"], found[t]["pos"]) if rows else Node(s.tree, 0, 0, 0, 0) for t, s in enumerate(self.specs)]
+        for nodes, root in zip(self.nodes, roots):
+            # A tree that drew no row has no node, as in an aggregate without rows.
+            nodes += [root] if root.n else []
+        return roots
+
+    def grow(self) -> None:
+        now = list(enumerate(self.totals()))
+        parts: list[tuple[int, Node]] = []
+        held = self.blocks
+        while True:
+            # The k-th open node of the level is the one whose rows have state k.
+            large, left, right = [], np.full(len(now), -1), np.full(len(now), -1)
+            for k, (t, node) in enumerate(now):
+                if not node.may_split(self.specs[t].options):
+                    continue
+                if node.n <= self.rows_per_task:
+                    left[k] = right[k] = -2 - len(parts)
+                    parts.append((t, node))
+                else:
+                    large.append(k)
+            if not large:
+                part_of = np.where(left <= -2, -2 - left, -1)
+                break
+            chosen = self._split(now, large)
+            feature, at, category = np.full(len(now), -1), np.zeros(len(now)), np.zeros(len(now), bool)
+            following: list[tuple[int, Node]] = []
+            for k, (f, threshold, is_category, gain, n, n_pos) in chosen.items():
+                t, node = now[k]
+                node.feature, node.threshold, node.is_categorical, node.gain = f, threshold, is_category, gain
+                feature[k], at[k], category[k] = f, threshold, is_category
+                pair = (Node(node.tree, 2 * node.node + 1, node.depth + 1, n, n_pos),
+                        Node(node.tree, 2 * node.node + 2, node.depth + 1, node.n - n, node.n_pos - n_pos))
+                self.nodes[t] += pair
+                left[k], right[k] = len(following), len(following) + 1
+                following += [(t, child) for child in pair]
+            step = splits.advancer(self.width, self.draws, len(self.specs), feature, at, category, left, right)
+            before, self.blocks = self.blocks, self.blocks.mapInArrow(step, splits.BLOCK_SCHEMA)
+            now = following
+            if any(n.may_split(self.specs[t].options) and n.n > self.rows_per_task for t, n in now):
+                self.blocks = self.blocks.persist(StorageLevel.MEMORY_AND_DISK)
+                self.blocks.count()
+                if before is not held:
+                    before.unpersist()
+        if parts:
+            self._finish(parts, part_of)
+
+    def _split(self, now, large: list[int]) -> dict[int, tuple]:
+        """Best split of each large open node: feature, threshold, kind, gain, rows and positives on the left."""
+        out, wave, pairs = {}, [], 0
+        for k in large:
+            count = len(self.features[now[k][0]])
+            if wave and pairs + count > PAIRS_AT_ONCE:
+                out.update(self._wave(now, wave))
+                wave, pairs = [], 0
+            wave.append(k)
+            pairs += count
+        out.update(self._wave(now, wave))
+        return out
+
+    def _wave(self, now, wave: list[int]) -> dict[int, tuple]:
+        counts = [len(self.features[now[k][0]]) for k in wave]
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        base = np.full(wave[-1] - wave[0] + 1, -1)
+        base[np.array(wave) - wave[0]] = starts
+        # Per pair of node and feature.
+        node = np.repeat(wave, counts)
+        feature = np.concatenate([self.features[now[k][0]] for k in wave]).astype(np.int64)
+        size, size_pos = (np.repeat([getattr(now[k][1], a) for k in wave], counts) for a in ("n", "n_pos"))
+        options = [self.specs[now[k][0]].options for k in node]
+        entropy, leaf = np.array([o.criterion != "gini" for o in options]), np.array([o.min_samples_leaf for o in options])
+        category = np.isin(feature, sorted(self.categorical))
+        lo, hi = self.lows[feature], self.highs[feature]
+        # Ranges that the current pass cuts, with the rows and positives before them.
+        slot, rows, before, before_pos = np.arange(len(node)), size, np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+        # Distinct values known so far, and whether a pair's may still be fewer than five.
+        kinds, unsure = np.zeros(len(node), np.int64), np.ones(len(node), bool)
+        stages: list[splits.Stage] = []
+        codes, values, categories = np.zeros(0, np.int64), [], {}
+        while len(slot):
+            mode = self._modes(rows, lo, hi, len(stages), category[slot] if not stages else None)
+            stages.append(splits.Stage(mode, lo, hi, codes))
+            counter = splits.cell_counter(self.width, self.draws, self.features, self.sample_of, wave[0], base, stages)
+            table = {"p": np.arange(len(slot)), "size": size[slot], "size_pos": size_pos[slot], "before": before, "before_pos": before_pos,
+                     "category": category[slot], "entropy": entropy[slot], "leaf": leaf[slot], "unsure": unsure[slot]}
+            found = self._cells(self._summed(counter), table, not stages[1:] and category.any())
+            for r in range(len(found["p"])) if found["category"].any() else ():
+                if found["category"][r]:
+                    categories[int(slot[found["p"][r]])] = (found["gain"][r], found["c"][r], found["n"][r], found["pos"][r])
+            found = {name: column[~found["category"]] for name, column in found.items()}
+            of = slot[found["p"]]
+            single = found["lo"] == found["hi"]
+            values.append((of[single], found["lo"][single], found["b"][single], found["n"][single], found["bp"][single], found["pos"][single]))
+            # Every unsure range returned all its cells, or says that it has five kinds at least.
+            firsts = np.unique(found["p"], return_index=True)[1]
+            seen = kinds.copy()
+            np.add.at(seen, of[firsts], found["kinds"][firsts])
+            unsure &= seen < splits.MANY
+            kinds = np.where(unsure, kinds, splits.MANY)
+            np.add.at(kinds, of[single & unsure[of]], 1)
+            held = mode[found["p"]] > splits.EXACT
+            wanted = ~single & held & (found["wanted"] | unsure[of])
+            codes = found["p"][wanted] * splits.CELLS + found["c"][wanted].astype(np.int64)
+            order = np.argsort(codes)
+            codes = codes[order]
+            slot, rows, before, before_pos, lo, hi = (a[order] for a in (
+                of[wanted], found["n"][wanted], found["b"][wanted], found["bp"][wanted], found["lo"][wanted], found["hi"][wanted]))
+        merged = [np.concatenate(c) for c in zip(*values)]
+        pair, at, left, left_pos = splits.numeric_candidates(size, size_pos, np.where(category, 0, kinds), *merged)
+        kind = np.zeros(len(pair), bool)
+        if categories:
+            own = [(s, c, n, p) for s, (_, c, n, p) in categories.items()]
+            pair, at, left, left_pos = (np.concatenate([a, [o[i] for o in own]]) for i, a in enumerate((pair, at, left, left_pos)))
+            pair, kind = pair.astype(np.int64), np.concatenate([kind, np.ones(len(own), bool)])
+        gain = splits.split_maths()[0](size[pair], size_pos[pair], left, left_pos, entropy[pair])
+        rounded = np.round(gain, GAIN_DIGITS)
+        fit = np.flatnonzero((left >= leaf[pair]) & (size[pair] - left >= leaf[pair]) & (rounded > 0))
+        # Highest gain per node; the first feature and the lowest threshold win ties.
+        fit = fit[np.lexsort((at[fit], feature[pair[fit]], -rounded[fit], node[pair[fit]]))]
+        fit = fit[np.unique(node[pair[fit]], return_index=True)[1]]
+        return {int(node[pair[i]]): (int(feature[pair[i]]), float(at[i]), bool(kind[i]), float(gain[i]), int(left[i]), int(left_pos[i])) for i in fit}
+
+    def _modes(self, rows, lo, hi, depth: int, category) -> np.ndarray:
+        """Small ranges are counted by value; large ones are cut evenly, every second time by the bits of their values."""
+        with np.errstate(over="ignore"):
+            even = np.isfinite(hi - lo) & (depth % 2 == 0)
+            even &= np.isfinite(splits.CELLS / np.where(hi > lo, hi - lo, 1.0))
+        mode = np.where(rows <= self.rows_per_cell, splits.EXACT, np.where(even, splits.BY_VALUE, splits.BY_BITS))
+        if category is not None:
+            mode = np.where(category, splits.EXACT, np.where(lo == hi, splits.DROPPED, mode))
+        return mode
+
+    def _cells(self, cells: DataFrame, table: dict, categories: bool) -> dict[str, np.ndarray]:
+        """The cells that hold a wanted rank, all cells of ranges with few kinds, and each category column's best value."""
+        ranges = self.spark.createDataFrame(pa.table(table))
+        joined = cells.join(F.broadcast(ranges), "p")
+        upto = "OVER (PARTITION BY p ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        out = (joined.where("NOT category").selectExpr(
+            "p", "c", "n", "pos", "lo", "hi", f"before + sum(n) {upto} - n AS b", f"before_pos + sum(pos) {upto} - pos AS bp", "category", "0D AS gain",
+            "size", "before", "unsure", "sum(CASE WHEN lo = hi THEN 1 ELSE 2 END) OVER (PARTITION BY p) AS kinds")
+            .withColumn("wanted", F.expr(f"exists({splits.wanted_ranks('size')}, r -> r >= b AND r < b + n)"))
+            # A range whose kinds count says so with its first cell.
+            .where(f"wanted OR (unsure AND (kinds < {splits.MANY} OR b = before))"))
+        names = ["p", "c", "n", "pos", "lo", "hi", "b", "bp", "category", "gain", "kinds", "wanted"]
+        out = out.select(names)
+        if categories:
+            own = " ".join(f"WHEN {'NOT ' if c == 'gini' else ''}entropy THEN round({_gain('n', 'pos', c)}, {GAIN_DIGITS})" for c in ("gini", "entropy"))
+            best = (joined.where("category AND n >= leaf AND size - n >= leaf").withColumn("gain", F.expr(f"CASE {own} END"))
+                    .groupBy("p").agg(F.max(F.struct("gain", (-F.col("c")).alias("c"), "n", "pos")).alias("s"))
+                    .selectExpr("p", "-s.c AS c", "s.n AS n", "s.pos AS pos", "-s.c AS lo", "-s.c AS hi", "0L AS b", "0L AS bp", "true AS category",
+                                "s.gain AS gain", "0L AS kinds", "true AS wanted"))
+            out = out.unionByName(best)
+        rows = out.toArrow()
+        return {n: rows.column(n).to_numpy() for n in names}
+
+    def _finish(self, parts: list[tuple[int, Node]], part_of: np.ndarray) -> None:
+        """The nodes that fit a task, each grown to its end where its rows are brought together."""
+        chunks = self.blocks.mapInArrow(splits.chunker(self.width, self.draws, self.features, self.sample_of, part_of), splits.CHUNK_SCHEMA)
+        rules = [s.rules(self.categorical) for s in self.specs]
+        grower = splits.node_grower(rules, np.array([t for t, _ in parts]), np.array([n.node for _, n in parts]), np.array([n.depth for _, n in parts]))
+        rows = chunks.repartition("part").sortWithinPartitions("part").mapInArrow(grower, splits.GROWN_SCHEMA).toArrow().to_pylist()
+        tops = {(t, n.node): n for t, n in parts}
+        for r in rows:
+            t, _ = parts[r["part"]]
+            node = tops.get((t, r["node"]))
+            if node is None:
+                node = Node(self.specs[t].tree, r["node"], r["depth"], r["n"], r["n_pos"])
+                self.nodes[t].append(node)
+            if r["feature"] >= 0:
+                node.feature, node.threshold, node.is_categorical, node.gain = r["feature"], r["at"], r["category"], r["gain"]
+
+
+def _gain(left_n: str, left_pos: str, criterion: str) -> str:
+    return gain_text("(size - size_pos)", "size_pos", f"({left_n} - {left_pos})", left_pos, criterion)
+
+
+def grow_trees(df: DataFrame, features: Sequence[str], y01: str, specs: Sequence[TreeSpec], categorical: Sequence[str] = (),
+               key: str = "id", fold: str | None = None, rows_per_bucket: int = ROWS_PER_TASK, rows_per_cell: int = ROWS_PER_CELL
+               ) -> list[list[Node]]:
+    """The node table of every spec, in order, from one set of held blocks (one per ``TREES_AT_ONCE`` trees).
+
+    Jobs grow with the depth of the large nodes, not with the number of trees, folds or candidates. ``rows_per_bucket`` is
+    the number of rows of a node that one task finishes alone; it and ``rows_per_cell`` never change the result.
     """
-    node = ["tree", "node", "size", "size_pos", "f"]
-    running = running_totals(counts, "v", ["n", "n_pos"], node, bucket="b" if bucketed else None)
-    points = sorted({q for qs in THRESHOLD_POINTS.values() for q in qs})
-    is_cat = f"f IN ({', '.join(map(str, categorical))})" if categorical else "false"
-
-    def position(i: int) -> str:
-        return f"((size - 1) * {number(points[i])})"
-
-    def at_rank(rank: str, value: str) -> str:
-        return f"max(CASE WHEN cum_n - n <= {rank} AND {rank} < cum_n THEN {value} END)"
-
-    picks = ["count(1) AS k"]
-    for i in range(len(points)):
-        low = f"floor({position(i)})"
-        picks += [f"{at_rank(low, value)} AS {name}{i}" for name, value in (("lo", "v"), ("ln", "cum_n"), ("lp", "cum_n_pos"))]
-        picks.append(f"{at_rank(f'ceil({position(i)})', 'v')} AS hi{i}")
-    if categorical:
-        leaf = options.min_samples_leaf
-        own = f"round({_gain('n', 'n_pos', options)}, {GAIN_DIGITS})"
-        picks.append(f"max(CASE WHEN {is_cat} AND n >= {leaf} AND size - n >= {leaf} THEN "
-                     f"named_struct('g', {own}, 'v', -v, 'n', n, 'n_pos', n_pos) END) AS category")
-    facts = running.groupBy(*node).agg(*[F.expr(p) for p in picks])
-
-    def threshold(i: int) -> str:
-        between = f"(lo{i} + (hi{i} - lo{i}) * ({position(i)} - floor({position(i)})))"
-        # Rows up to an interpolated threshold are the rows up to the value below it.
-        return (f"named_struct('at', CASE WHEN hi{i} > lo{i} AND {between} >= hi{i} THEN lo{i} ELSE {between} END, "
-                f"'is_cat', false, 'left_n', ln{i}, 'left_pos', lp{i})")
-
-    branches = ""
-    if categorical:
-        best = "named_struct('at', -category.v, 'is_cat', true, 'left_n', category.n, 'left_pos', category.n_pos)"
-        branches = f"WHEN {is_cat} THEN CASE WHEN category IS NOT NULL THEN array({best}) END "
-    for k, qs in THRESHOLD_POINTS.items():
-        chosen = ", ".join(threshold(points.index(q)) for q in qs)
-        branches += f"WHEN k {'>=' if k == 5 else '='} {k} THEN array({chosen}) "
-    return facts.selectExpr(*node, f"inline(CASE {branches}END)")
-
-
-def _gain(left_n: str, left_pos: str, options: TreeOptions) -> str:
-    return gain_text("(size - size_pos)", "size_pos", f"({left_n} - {left_pos})", left_pos, options.criterion)
-
-
-def best_splits(candidates: DataFrame, options: TreeOptions) -> DataFrame:
-    """Highest gain per node; the first feature and the lowest threshold win ties."""
-    leaf = options.min_samples_leaf
-    fit = (candidates.where(f"left_n >= {leaf} AND size - left_n >= {leaf}")
-           .selectExpr("*", f"{_gain('left_n', 'left_pos', options)} AS gain").where(f"round(gain, {GAIN_DIGITS}) > 0"))
-    best = F.expr(f"max_by(struct(f, at, is_cat, gain, left_n, left_pos), struct(round(gain, {GAIN_DIGITS}), -f, -at)) AS s")
-    return (fit.groupBy("tree", "node", "size", "size_pos").agg(best)
-            .select("tree", "node", "size", "size_pos", "s.*"))
-
-
-def grow(df: DataFrame, features: Sequence[str], y01: str, subsets: dict[int, list[int]], options: TreeOptions,
-         categorical: Sequence[str] = (), bootstrap_seed: int | None = None, key: str = "id",
-         rows_per_bucket: int = ROWS_PER_BUCKET) -> TreeModel:
-    """Grow one tree per entry of ``subsets`` (tree number to feature positions)."""
-    spark = df.sparkSession
     features = list(features)
-    cat = [i for i, f in enumerate(features) if f in set(categorical)]
-    used = {i for chosen in subsets.values() for i in chosen}
-    base, bucketed = _base(df, features, y01, key, [i for i in sorted(used) if i not in cat], rows_per_bucket)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        numbers = F.array(*[F.lit(t) for t in subsets])
-        totals = (with_draws(base.select("id", "y", F.explode(numbers).alias("tree")), bootstrap_seed)
-                  .groupBy("tree").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("n_pos")).collect())
-        nodes = [Node(r["tree"], 0, 0, r["n"], r["n_pos"]) for r in totals]
-        open_nodes = {(n.tree, n.node): n for n in nodes if n.may_split(options)}
-        levels: list[DataFrame] = []
-        roots = {n.tree: n for n in nodes}
-        while open_nodes:
-            # One array entry per tree: its root, its size and its features.
-            seeds = ", ".join(
-                f"named_struct('tree', {t}, 'node', 0L, 'size', {roots[t].n}L, 'size_pos', {roots[t].n_pos}L, "
-                f"'fs', array({', '.join(map(str, chosen))}))"
-                for t, chosen in subsets.items() if any(k[0] == t for k in open_nodes))
-            drawn = with_draws(base.selectExpr("*", f"inline(array({seeds}))"), bootstrap_seed)
-            extra = ["element_at(b, f + 1) AS b"] if bucketed else []
-            spread = (_route(drawn, levels).selectExpr("*", "explode(fs) AS f")
-                      .selectExpr("tree", "node", "size", "size_pos", "f", *extra, "element_at(x, f + 1) AS v", "w", "y"))
-            counts = (spread.groupBy("tree", "node", "size", "size_pos", "f", *(["b"] if bucketed else []), "v")
-                      .agg(F.expr("sum(w) AS n"), F.expr("sum(w * y) AS n_pos")))
-            found = best_splits(candidate_splits(counts, cat, options, bucketed), options).collect()
-            rows, children = [], {}
-            for r in found:
-                parent = open_nodes[(r["tree"], r["node"])]
-                parent.feature, parent.threshold, parent.is_categorical, parent.gain = r["f"], r["at"], r["is_cat"], r["gain"]
-                left = Node(parent.tree, 2 * parent.node + 1, parent.depth + 1, r["left_n"], r["left_pos"])
-                right = Node(parent.tree, 2 * parent.node + 2, parent.depth + 1, parent.n - left.n, parent.n_pos - left.n_pos)
-                nodes += [left, right]
-                opened = [c.may_split(options) for c in (left, right)]
-                children.update({(c.tree, c.node): c for c, o in zip((left, right), opened) if o})
-                rows.append((parent.tree, parent.node, parent.feature, parent.threshold, parent.is_categorical, *opened,
-                             left.n, left.n_pos, right.n, right.n_pos))
-            open_nodes = children
-            if open_nodes:
-                levels.append(spark.createDataFrame(rows, LEVEL_SCHEMA))
-        nodes.sort(key=lambda n: (n.tree, n.node))
-        return TreeModel(features, nodes, dict(subsets), bootstrap_seed)
-    finally:
-        base.unpersist()
+    cat = {i for i, f in enumerate(features) if f in set(categorical)}
+    out: list[list[Node]] = []
+    for start in range(0, len(specs), TREES_AT_ONCE):
+        some = list(specs[start:start + TREES_AT_ONCE])
+        samples = list(dict.fromkeys((s.seed, s.tree if s.seed is not None else 0) for s in some))
+        sample_of = [samples.index((s.seed, s.tree if s.seed is not None else 0)) for s in some]
+        narrow = df.select(F.col(key).cast("bigint").alias("id"), F.col(y01).cast("double").alias("y"),
+                           (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
+                           *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+        pack = splits.packer(len(features), [None if seed is None else tree_seed(seed, t) for seed, t in samples], sample_of, [s.held_out for s in some])
+        blocks = narrow.mapInArrow(pack, splits.BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+        grower = _Grower(blocks, len(features), some, samples, cat, rows_per_bucket, rows_per_cell)
+        try:
+            grower.grow()
+        finally:
+            grower.blocks.unpersist()
+            blocks.unpersist()
+        out += [sorted(nodes, key=lambda n: n.node) for nodes in grower.nodes]
+    return out
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], y01: str, options: TreeOptions = TreeOptions(),
              categorical: Sequence[str] = (), key: str = "id", **grow_options) -> TreeModel:
-    return grow(df, features, y01, {0: list(range(len(features)))}, options, categorical, None, key, **grow_options)
+    spec = TreeSpec(0, tuple(range(len(features))), options)
+    return TreeModel(list(features), grow_trees(df, features, y01, [spec], categorical, key, **grow_options)[0], {0: list(spec.features)})
+
+
+@dataclass(frozen=True)
+class Forest:
+    """Settings of a forest: trees on Poisson bootstrap samples and per-tree feature subsets, split by Gini impurity."""
+
+    trees: int = 100
+    max_features: str | int = "sqrt"
+    options: TreeOptions = TreeOptions()
+    seed: int = 1
+    held_out: int = -1
+
+    def specs(self, count: int) -> list[TreeSpec]:
+        size, plain = subset_size(self.max_features, count), replace(self.options, criterion="gini")
+        return [TreeSpec(t, tuple(feature_subset(count, size, self.seed, t)), plain, self.seed, self.held_out) for t in range(self.trees)]
+
+
+def fit_forests(df: DataFrame, features: Sequence[str], y01: str, forests: Sequence[Forest], categorical: Sequence[str] = (),
+                key: str = "id", fold: str | None = None, **grow_options) -> list[TreeModel]:
+    """Many forests grown together: candidates, and folds whose rows (``held_out``) a forest does not see."""
+    specs = [f.specs(len(features)) for f in forests]
+    grown = iter(grow_trees(df, features, y01, [s for own in specs for s in own], categorical, key, fold, **grow_options))
+    return [TreeModel(list(features), [n for _ in own for n in next(grown)], {s.tree: list(s.features) for s in own}, f.seed)
+            for f, own in zip(forests, specs)]
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], y01: str, trees: int = 100, max_features: str | int = "sqrt",
                options: TreeOptions = TreeOptions(), categorical: Sequence[str] = (), seed: int = 1, key: str = "id",
                **grow_options) -> TreeModel:
     """Trees on Poisson bootstrap samples and per-tree feature subsets; forests always split by Gini impurity."""
-    size = subset_size(max_features, len(features))
-    subsets = {t: feature_subset(len(features), size, seed, t) for t in range(trees)}
-    plain = replace(options, criterion="gini")
-    return grow(df, features, y01, subsets, plain, categorical, seed, key, **grow_options)
+    return fit_forests(df, features, y01, [Forest(trees, max_features, options, seed)], categorical, key, **grow_options)[0]
 
 
-def votes(model: TreeModel, share: bool = False) -> Column:
-    """Array column with every tree's 0/1 vote, in tree order; with ``share`` the share of 1 as one number."""
+def voter(model: TreeModel):
+    """Every tree's 0/1 vote for a matrix of rows x features, as an executor function that travels by value."""
+    own: dict[int, list[Node]] = {t: [] for t in model.trees}
+    for n in model.nodes:
+        own[n.tree].append(n)
     tables = []
     for t in model.trees:
-        mine = [n for n in model.nodes if n.tree == t]
+        mine = own[t]
         place = {n.node: i for i, n in enumerate(mine)}
         inner = [n.feature is not None for n in mine]
         tables.append((
@@ -312,26 +430,81 @@ def votes(model: TreeModel, share: bool = False) -> Column:
             np.array([place[2 * n.node + 1] if s else i for i, (n, s) in enumerate(zip(mine, inner))]),
             np.array([place[2 * n.node + 2] if s else i for i, (n, s) in enumerate(zip(mine, inner))]),
             np.array([float(n.prediction) for n in mine]),
-            max(n.depth for n in mine)))
+            max((n.depth for n in mine), default=0)))
 
-    @F.pandas_udf("double" if share else "array<double>")
-    def vote(*columns: pd.Series) -> pd.Series:
-        x = np.stack([c.to_numpy(dtype=float) for c in columns], axis=1)
+    def vote(x: np.ndarray) -> np.ndarray:
         rows = np.arange(len(x))
-        out = np.empty((len(x), len(tables)))
+        out = np.zeros((len(x), len(tables)))
         for t, (feature, threshold, category, left, right, prediction, depth) in enumerate(tables):
+            if not len(prediction):
+                continue
             at = np.zeros(len(x), dtype=int)
             for _ in range(depth):
                 v = x[rows, feature[at]]
                 go_left = np.where(category[at], v == threshold[at], v <= threshold[at])
                 at = np.where(go_left, left[at], right[at])
             out[:, t] = prediction[at]
+        return out
+    return vote
+
+
+def votes(model: TreeModel, share: bool = False) -> Column:
+    """Array column with every tree's 0/1 vote, in tree order; with ``share`` the share of 1 as one number."""
+    count, each = len(model.trees), voter(model)
+
+    @F.pandas_udf("double" if share else "array<double>")
+    def vote(*columns: pd.Series) -> pd.Series:
+        out = each(np.stack([c.to_numpy(dtype=float) for c in columns], axis=1))
         # A sum of whole numbers over their count, as an average in SQL.
-        return pd.Series(out.sum(axis=1) / len(tables)) if share else pd.Series(list(out))
+        return pd.Series(out.sum(axis=1) / count) if share else pd.Series(list(out))
 
     return vote(*[col(f).cast("double") for f in model.features])
 
 
+def held_out_scores(df: DataFrame, models: dict[tuple[int, int], TreeModel], fold: str = "fold", label: str = "y") -> DataFrame:
+    """``fit, fold, y, score``: every row scored by each fit's forest of its own fold, in one pass over the rows."""
+    features = next(iter(models.values())).features
+    voters = {place: (voter(m), len(m.trees)) for place, m in models.items()}
+
+    def score(batches):
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(2, batch.num_columns)], axis=1)
+            folds = batch.column(0).to_numpy(zero_copy_only=False)
+            for (fit, fold_number), (each, count) in voters.items():
+                at = np.flatnonzero(folds == fold_number)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), fit, np.int32)), pa.array(np.full(len(at), fold_number, np.int32)),
+                         batch.column(1).take(pa.array(at)), pa.array(each(x[at]).sum(axis=1) / count)], names=["fit", "fold", "y", "score"])
+
+    rows = df.select(F.col(fold).cast("int"), F.col(label).cast("int").alias("y"), *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    return rows.mapInArrow(score, "fit int, fold int, y int, score double")
+
+
+def training_errors(df: DataFrame, models: dict[tuple[int, int], TreeModel], y01: str, fold: str = "fold") -> dict[tuple[int, int], float]:
+    """Share of the rows outside a forest's held-out fold that its majority gets wrong, for all forests in one pass."""
+    features = next(iter(models.values())).features
+    voters = {place: (voter(m), len(m.trees)) for place, m in models.items()}
+
+    def errors(batches):
+        total = {place: [0, 0] for place in voters}
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(2, batch.num_columns)], axis=1)
+            folds, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for place, (each, count) in voters.items():
+                at = np.flatnonzero(folds != place[1])
+                wrong = (each(x[at]).sum(axis=1) / count > 0.5) != (y[at] > 0.5)
+                total[place][0] += int(wrong.sum())
+                total[place][1] += len(at)
+        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in total], pa.int32()), pa.array([p[1] for p in total], pa.int32()),
+                                          pa.array([t[0] for t in total.values()], pa.int64()), pa.array([t[1] for t in total.values()], pa.int64())],
+                                         names=["fit", "fold", "wrong", "n"])
+
+    rows = df.select(F.col(fold).cast("int"), F.col(y01).cast("double").alias("y"), *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    summed = rows.mapInArrow(errors, "fit int, fold int, wrong bigint, n bigint").groupBy("fit", "fold").agg(F.sum("wrong").alias("wrong"), F.sum("n").alias("n"))
+    return {(r["fit"], r["fold"]): r["wrong"] / r["n"] if r["n"] else float("nan") for r in summed.collect()}
+
+
 def probability(model: TreeModel) -> Column:
     """Share of the trees that vote for the positive class (0 or 1 for a single tree)."""
     return votes(model, share=True)

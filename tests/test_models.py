@@ -207,6 +207,83 @@ def test_tree_matches_brute_force(spark, grown, criterion, rows_per_bucket):
     assert_same_tree(model.nodes, brute_tree(x, y, {1}, o))
 
 
+@pytest.fixture(scope="module")
+def uneven():
+    """Columns whose values lie close together, far apart, in few kinds and in kinds hidden in one cell."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    x = np.c_[np.exp(rng.normal(size=n) * 40), np.where(rng.random(n) < 0.999, 1 + rng.integers(0, 3, n) * 1e-13, 1e9), rng.integers(0, 5, n) * 1e300 * rng.choice([-1, 1], n),
+              rng.choice([0.0, -0.0, 5e-324, 1.0], n), rng.integers(0, 12, n)]
+    y = ((np.log(x[:, 0]) > 3) ^ (x[:, 4] == 7) ^ (x[:, 1] > 1) | (rng.random(n) < 0.1)).astype(int)
+    return x, y
+
+
+@pytest.mark.parametrize("rows_per_task,rows_per_cell,pairs", [(10**6, 10**6, 10**6), (300, 10**6, 10**6), (300, 40, 4), (60, 1, 7)])
+def test_cells_and_tasks_of_any_size_give_the_same_tree(spark, uneven, monkeypatch, rows_per_task, rows_per_cell, pairs):
+    x, y = uneven
+    monkeypatch.setattr(tree, "PAIRS_AT_ONCE", pairs)
+    o = tree.TreeOptions(4, 20, 10, "entropy")
+    names = [f"f{j}" for j in range(x.shape[1])]
+    model = tree.fit_tree(tree_frame(spark, x, y), names, "y01", o, ["f4"], rows_per_bucket=rows_per_task, rows_per_cell=rows_per_cell)
+    assert_same_tree(model.nodes, brute_tree(x, y, {4}, o))
+
+
+def test_few_kinds_beside_a_crowded_range(spark):
+    """Two to six distinct values, most of them in one cell of the first cut."""
+    rng = np.random.default_rng(8)
+    for kinds in range(2, 7):
+        values = np.r_[np.arange(kinds - 1) * 1e-9, 1.0]
+        x = np.c_[rng.choice(values, 900), rng.normal(size=900)]
+        y = ((x[:, 0] > values[kinds // 2 - 1]) ^ (rng.random(900) < 0.2)).astype(int)
+        o = tree.TreeOptions(2, 20, 10)
+        model = tree.fit_tree(tree_frame(spark, x, y), ["f0", "f1"], "y01", o, rows_per_bucket=100, rows_per_cell=5)
+        assert_same_tree(model.nodes, brute_tree(x, y, set(), o))
+
+
+def test_exchanged_records_do_not_grow_with_the_rows(spark, monkeypatch):
+    """Counts of cells leave a task, so four times the rows are no more records."""
+    sent = []
+    summed = tree._Grower._summed
+
+    def counting(self, counter):
+        sent.append(self.blocks.coalesce(1).mapInArrow(counter, tree.splits.CELL_SCHEMA).count())
+        return summed(self, counter)
+
+    monkeypatch.setattr(tree._Grower, "_summed", counting)
+    records = []
+    for n in (3000, 12000):
+        rng = np.random.default_rng(2)
+        x = rng.random((n, 3))
+        df = tree_frame(spark, x, (x[:, 0] + rng.random(n) > 1).astype(int))
+        tree.fit_tree(df, ["f0", "f1", "f2"], "y01", tree.TreeOptions(1), rows_per_bucket=100, rows_per_cell=30)
+        records.append(max(sent))
+        sent.clear()
+    assert records[1] <= 1.3 * records[0] <= 1.3 * 3 * (tree.splits.CELLS + 1)
+
+
+def test_folds_and_candidates_grow_together(spark, grown):
+    """Forests of several settings and held-out folds in one job equal those grown alone on the rows they see."""
+    x, y = grown
+    names = ["f0", "f1", "f2", "f3"]
+    df = tree_frame(spark, x, y).withColumn("fold", (F.col("id") % 3).cast("int"))
+    forests = [tree.Forest(3, m, tree.TreeOptions(d), 4, out) for m, d in ((2, 2), ("all", 4)) for out in (-1, 0, 2)]
+    together = tree.fit_forests(df, names, "y01", forests, ["f1"], fold="fold", rows_per_bucket=120, rows_per_cell=20)
+    for f, model in zip(forests, together):
+        alone = tree.fit_forest(df.where(F.col("fold") != f.held_out), names, "y01", f.trees, f.max_features, f.options, ["f1"], f.seed)
+        assert alone.nodes == model.nodes and alone.subsets == model.subsets
+
+
+def test_draws_in_blocks_equal_the_column_function(spark):
+    ids = [0, 1, 2, 77, 2147483646, 2147483647, 10**12, 9 * 10**17, -1, -5 * 10**11]
+    df = spark.createDataFrame([(i, 1.0, float(k % 2)) for k, i in enumerate(ids)], "id long, a double, y01 double")
+    pack = tree.splits.packer(1, [tree.tree_seed(3, 1), tree.tree_seed(3, 2500)], [0, 1], [-1, -1])
+    block = df.coalesce(1).selectExpr("id", "y01", "-1 AS fold", "a").mapInArrow(pack, tree.splits.BLOCK_SCHEMA).first()
+    got = np.frombuffer(block["w"], np.uint8).reshape(2, -1)
+    for row, t in zip(got, (1, 2500)):
+        want = {r["id"]: r["w"] for r in tree.with_draws(df.withColumn("tree", F.lit(t)), 3, drawn_only=False).collect()}
+        assert row.tolist() == [want[i] for i in ids]
+
+
 def test_large_deep_nodes_become_leaves_on_request(spark, grown):
     x, y = grown
     o = tree.TreeOptions(7, 2, 1, max_rows_in_deep_node=30)
