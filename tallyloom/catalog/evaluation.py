@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import functions as F
 
 from ..functions import scalar
@@ -156,7 +158,7 @@ _GRID_ROWS = ", ".join(f"({i}, CAST({g.gamma} AS DOUBLE), CAST({g.threshold} AS
                             f"GROUP BY candidate) JOIN (VALUES {_GRID_ROWS}) g(candidate, gamma, threshold, class_weight_1) USING (candidate) "
                             "ORDER BY f1 DESC, candidate LIMIT 1"))
 def grid_best(spark, sf):
-    cv = training.cross_validate(f_model(spark, sf), MODEL_FEATURES, GRID, K)
+    cv = training.cross_validate(f_model(spark, sf), MODEL_FEATURES, GRID, K, curves="none")
     best = cv.best("f1")
     s = cv.candidates[best]
     row = (s.gamma, s.threshold, s.class_weight_1, cv.aggregate()[best]["f1"])
@@ -167,22 +169,27 @@ FOREST_SETTINGS = Settings("random_forest", n_estimators=3, max_depth=2, max_fea
 
 
 def _forest_cv_sql() -> str:
+    """Each fold's forest grown without the fold's rows, which it then scores: all figures of the held-out rows."""
     from ..operators.tree import TreeOptions, feature_subset
     subsets = {t: feature_subset(len(TREE_FEATURES), 3, 5, t) for t in range(3)}
     data = fold_sql(TREE_SOURCE, 2, 1)
-    parts = []
+    votes = []
     for fold in range(2):
-        grown = forest_sql(f"SELECT * FROM ({data}) WHERE fold <> {fold}", TREE_FEATURES, subsets, TreeOptions(2, 20, 10), TREE_CATEGORIES, 5)
-        # The training rows' own votes give the loss; held-out rows are checked against brute force in the tests.
-        parts.append(f"SELECT {fold} AS fold, round(avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1 ELSE 0 END) <> y01 THEN 1 ELSE 0 END), 6) AS loss "
-                     f"FROM (WITH {grown} SELECT id, y01, avg(vote) AS p FROM leaf_rows GROUP BY id, y01)")
-    return " UNION ALL ".join(parts)
+        grown = forest_sql(data, TREE_FEATURES, subsets, TreeOptions(2, 20, 10), TREE_CATEGORIES, 5, held_out=f"fold = {fold}")
+        votes.append(f"SELECT {fold} AS fold, id, y01, p FROM (WITH {grown} SELECT id, y01, avg(vote) AS p FROM leaf_rows GROUP BY id, y01)")
+    return ("WITH votes AS (" + " UNION ALL ".join(votes) + f"), folds AS (SELECT id, y, fold FROM ({data})), "
+            "scored AS (SELECT v.fold, y, p AS score FROM votes v JOIN folds f ON f.id = v.id AND f.fold = v.fold), "
+            "wrong AS (SELECT v.fold, avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1 ELSE 0 END) <> y01 THEN 1 ELSE 0 END) AS loss "
+            "FROM votes v JOIN folds f ON f.id = v.id AND f.fold <> v.fold GROUP BY v.fold), " + curve_sql("scored", ("fold",))
+            + f", labelled AS (SELECT fold, y, CASE WHEN score >= {FOREST_SETTINGS.threshold} THEN 1 ELSE -1 END AS y_hat FROM scored) "
+            "SELECT fold, tp, fp, fn, tn, round(loss, 6) AS loss, " + ", ".join(f"round({c}, 6) AS {c}" for c in FIGURES)
+            + " FROM (" + metrics_sql("labelled", ("fold",)) + ") JOIN wrong USING (fold) JOIN area USING (fold)")
 
 
 @query("forest_cross_validate", _forest_cv_sql())
 def forest_cross_validate(spark, sf):
     cv = training.cross_validate(f_tree(spark, sf), TREE_FEATURES, [FOREST_SETTINGS], 2)
-    return rounded(cv.per_fold_frame(spark).select("fold", "loss"))
+    return rounded(cv.per_fold_frame(spark).select("fold", "tp", "fp", "fn", "tn", "loss", *FIGURES))
 
 
 # --- final fit -------------------------------------------------------------------------------------------------------
@@ -223,8 +230,44 @@ def searched_predictions(spark, sf):
     return rounded(model.predict(df.where("id % 5 = 0")))
 
 
-@query("run_summary")
+SUMMARY_AXES = {"gamma": [0.2, 0.8], "threshold": [0.4, 0.45]}
+
+
+def _summary_sql() -> str:
+    """The search, its winner's settings and figures per fold, and the refit's loss and areas, as one long table."""
+    candidates = training.param_grid(BASE_SETTINGS, SUMMARY_AXES)
+    said = []
+    for c, s in enumerate(candidates):
+        for f in fields(Settings):
+            v = getattr(s, f.name)
+            number = f"CAST({float(v)} AS DOUBLE)" if isinstance(v, (int, float)) else "CAST(NULL AS DOUBLE)"
+            said.append(f"({c}, '{f.name}', {number}, '{','.join(v) if isinstance(v, tuple) else v}')")
+    means = ", ".join(f"avg({c}) AS {c}" for c in ("tp", "fp", "fn", "tn", *FIGURES))
+    z = dot([f"b.{f}" for f in MODEL_FEATURES], [f"s.w{i}" for i in range(len(MODEL_FEATURES))])
+    refit = ("WITH " + descent_sql(model_sql(), MODEL_FEATURES, "y01", [c.logistic() for c in candidates], STEPS)
+             + f", scored AS (SELECT s.m, y, {sigmoid_sql(z)} AS score FROM final s, data b), " + curve_sql("scored", ("m",))
+             + " SELECT f.m AS candidate, loss, roc_auc, pr_auc FROM final f JOIN area a ON a.m = f.m")
+
+    def long(section: str, source: str, items) -> str:
+        casts = ", ".join(f"CAST({i} AS DOUBLE) AS {i}" for i in items)
+        return (f"SELECT {section} AS section, item, round(number, 6) AS number, CAST(NULL AS VARCHAR) AS value FROM "
+                f"(UNPIVOT (SELECT {casts}{', fold' if 'fold' in section else ''} FROM {source}) ON {', '.join(items)} INTO NAME item VALUE number)")
+
+    return (f"WITH per AS MATERIALIZED ({_cv_sql(candidates, 'SELECT * FROM per_fold')}), refit AS ({refit}), "
+            f"means AS (SELECT candidate, {means}, avg(loss) AS loss_mean, stddev_pop(loss) AS loss_std FROM per GROUP BY candidate), "
+            "best AS (SELECT * FROM means ORDER BY f1 DESC, candidate LIMIT 1), "
+            f"said AS (SELECT * FROM (VALUES {', '.join(said)}) t(candidate, item, number, value)) "
+            "SELECT 'settings' AS section, item, round(number, 6) AS number, value FROM said JOIN best USING (candidate) "
+            "UNION ALL SELECT 'search', 'metric', NULL, 'f1' "
+            f"UNION ALL SELECT 'search', 'candidates', CAST({len(candidates)} AS DOUBLE), NULL "
+            "UNION ALL SELECT 'search', 'winner', CAST(candidate AS DOUBLE), NULL FROM best UNION ALL SELECT 'search', 'best', round(f1, 6), NULL FROM best UNION ALL "
+            + long("'cross_validation'", "best", training.CV_COLUMNS) + " UNION ALL "
+            + long("'fold_' || fold", "(SELECT per.* FROM per JOIN best USING (candidate))", (*training.METRICS, "loss", "roc_auc", "pr_auc")) + " UNION ALL "
+            + long("'train'", "(SELECT refit.* FROM refit JOIN best USING (candidate))", ("loss", "roc_auc", "pr_auc")))
+
+
+@query("run_summary", _summary_sql())
 def run_summary(spark, sf):
     df = f_model(spark, sf)
-    model, cv = training.search_and_train(df, MODEL_FEATURES, BASE_SETTINGS, k=K)
+    model, cv = training.search_and_train(df, MODEL_FEATURES, BASE_SETTINGS, SUMMARY_AXES, k=K)
     return rounded(training.run_summary(df, model, cv))

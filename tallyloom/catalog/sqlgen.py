@@ -102,15 +102,20 @@ def gain_sql(n: str, p: str, ln: str, lp: str, criterion: str = "gini") -> str:
 
 
 def forest_sql(source: str, features: Sequence[str], subsets: Mapping[int, Sequence[int]], options: TreeOptions,
-               categorical: Sequence[str] = (), seed: int | None = None) -> str:
-    """CTEs that grow trees level by level: ``nodes`` is the node table, ``leaf_rows`` has every row's vote per tree."""
+               categorical: Sequence[str] = (), seed: int | None = None, held_out: str | None = None) -> str:
+    """CTEs that grow trees level by level: ``nodes`` is the node table, ``leaf_rows`` has every row's vote per tree.
+
+    Rows that meet the condition ``held_out`` (on the column ``fold``) get votes but no weight.
+    """
     points = sorted({q for qs in THRESHOLD_POINTS.values() for q in qs})
     names = "[" + ", ".join(f"'{f}'" for f in features) + "]"
     cat = ", ".join(f"'{f}'" for f in categorical) or "''"
     chosen = ", ".join(f"({t}, '{features[f]}')" for t, fs in subsets.items() for f in fs)
     weight = "1" if seed is None else poisson_sql("id", f"({seed * 1000} + tree)")  # the seed of trees below 1000
+    if held_out:
+        weight = f"CASE WHEN {held_out} THEN 0 ELSE {weight} END"
     columns = ", ".join(features)
-    ctes = [f"data AS MATERIALIZED (SELECT id, CAST(y01 AS INTEGER) AS y01, {columns} FROM ({source}))",
+    ctes = [f"data AS MATERIALIZED (SELECT id, CAST(y01 AS INTEGER) AS y01, {columns}{', fold' if held_out else ''} FROM ({source}))",
             f"subsets AS (SELECT * FROM (VALUES {chosen}) t(tree, f))",
             f"rows0 AS MATERIALIZED (SELECT *, {weight} AS w FROM (SELECT DISTINCT tree, CAST(0 AS BIGINT) AS node FROM subsets), data)"]
     leaf = options.min_samples_leaf

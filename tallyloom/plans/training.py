@@ -19,8 +19,8 @@ from ..functions.scalar import col, label_01, linear_score, quoted, sigmoid, sig
 from ..operators.folds import assign_folds
 from ..operators.gradient import Fit, fit_models
 from ..operators.linear import logistic_family
-from ..operators.metrics import METRICS, areas, areas_and_counts, curve_points, figures
-from ..operators.tree import TreeModel, TreeOptions, class_vote, fit_forest, probability
+from ..operators.metrics import METRICS, areas, curve_points, figures, threshold_counts
+from ..operators.tree import Forest, TreeModel, TreeOptions, class_vote, fit_forest, fit_forests, held_out_scores, probability, training_errors
 
 FOREST = "random_forest"
 CV_COLUMNS = (*METRICS, "loss_mean", "loss_std", "roc_auc", "pr_auc")
@@ -57,6 +57,9 @@ class Settings:
                                (self.class_weight_0, self.class_weight_1), self.early_stopping, self.patience,
                                self.tolerance, held_out)
 
+    def forest_settings(self, held_out: int = -1) -> Forest:
+        return Forest(self.n_estimators, self.max_features, TreeOptions(self.max_depth, self.min_samples_split, self.min_samples_leaf), self.seed, held_out)
+
     def forest(self, df: DataFrame, features: Sequence[str], y01: str, key: str = "id") -> TreeModel:
         options = TreeOptions(self.max_depth, self.min_samples_split, self.min_samples_leaf)
         return fit_forest(df, features, y01, self.n_estimators, self.max_features, options, self.categorical, self.seed, key)
@@ -124,11 +127,14 @@ def _fold_scores(folded: DataFrame, features: Sequence[str], weights: list[tuple
     return folded.join(F.broadcast(table), "fold").select("fit", "fold", "y", sigmoid(z).alias("score"))
 
 
-def _evaluate(scored: DataFrame, candidates: Sequence[Settings], fit_of: Sequence[int], rows: int) -> list[dict]:
-    """Figures per candidate and fold; one pass over the scores gives every fit's areas and every threshold's counts."""
+#: Metrics that need a curve; all others follow from counts at the thresholds.
+AREAS = ("roc_auc", "pr_auc")
+
+
+def _evaluate(scored: DataFrame, candidates: Sequence[Settings], fit_of: Sequence[int]) -> list[dict]:
+    """Figures per candidate and fold from every fit's counts at every threshold; the areas are left open (NaN)."""
     thresholds = sorted({c.threshold for c in candidates})
-    points = curve_points(scored, group=["fit", "fold"], rows=rows)
-    found = sorted(areas_and_counts(points, thresholds, ["fit", "fold"]).collect(), key=lambda r: (r["fit"], r["fold"]))
+    found = sorted(threshold_counts(scored, thresholds, ["fit", "fold"]).collect(), key=lambda r: (r["fit"], r["fold"]))
     out = []
     for c, settings in enumerate(candidates):
         t = thresholds.index(settings.threshold)
@@ -136,17 +142,23 @@ def _evaluate(scored: DataFrame, candidates: Sequence[Settings], fit_of: Sequenc
             if r["fit"] == fit_of[c]:
                 tp, fp = r[f"tp{t}"], r[f"fp{t}"]
                 out.append({"candidate": c, "fold": r["fold"], **figures(tp, fp, r["pos"] - tp, r["neg"] - fp),
-                            "roc_auc": r["roc_auc"], "pr_auc": r["pr_auc"]})
+                            **{a: float("nan") for a in AREAS}})
     return out
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], candidates: Sequence[Settings], k: int = 5, seed: int = 1,
-                   label: str = "y", key: str = "id", copies: str | None = None) -> CrossValidation:
+                   label: str = "y", key: str = "id", copies: str | None = None, curves: str = "all", metric: str = "f1") -> CrossValidation:
     """Stratified k-fold figures of every candidate.
 
-    With ``copies`` (the column an oversampled table carries) folds follow the original row, so no copy of a held-out
-    row is trained on, and only original rows are scored.
+    All candidates and folds are fitted together: the logistic family in one descent, forests in one level-wise job whose
+    trees each see their own rows. With ``copies`` (the column an oversampled table carries) folds follow the original
+    row, so no copy of a held-out row is trained on, and only original rows are scored.
+
+    Counts at the thresholds are plain aggregates. Areas under curves, for which scores are sorted, are computed for all
+    candidates (``curves="all"``), for the one with the best ``metric`` (``"best"``) or for none (``"none"``); other areas are NaN.
     """
+    if curves not in ("all", "best", "none"):
+        raise ValueError(f"unknown choice of curves: {curves!r}")
     spark = df.sparkSession
     narrow = df.select(key, F.col(label).alias("y"), *([copies] if copies else []), *[col(f) for f in features])
     if copies:
@@ -157,7 +169,6 @@ def cross_validate(df: DataFrame, features: Sequence[str], candidates: Sequence[
     folded = folded.withColumn("y01", label_01(F.col("y"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         held = folded.where(F.col(copies) == 0) if copies else folded
-        rows = held.count()
         distinct = list(dict.fromkeys(c.fit_part() for c in candidates))
         fit_of = [distinct.index(c.fit_part()) for c in candidates]
         losses: dict[tuple[int, int], float] = {}
@@ -170,23 +181,25 @@ def cross_validate(df: DataFrame, features: Sequence[str], candidates: Sequence[
                 weights.append((i // k, i % k, [float(w) for w in fit.weights]))
             scored = _fold_scores(held, features, weights)
         elif all(c.model == FOREST for c in candidates):
-            parts = []
-            for i, c in enumerate(distinct):
-                for fold in range(k):
-                    seen = folded.where(F.col("fold") != fold)
-                    model = c.forest(seen, features, "y01", key)
-                    p = probability(model)
-                    losses[(i, fold)] = seen.agg(F.avg((class_vote(p) != F.col("y01")).cast("double"))).first()[0]
-                    parts.append(held.where(F.col("fold") == fold)
-                                 .select(F.lit(i).alias("fit"), "fold", "y", p.alias("score")))
-            scored = parts[0]
-            for part in parts[1:]:
-                scored = scored.unionByName(part)
+            forests: dict[tuple[int, int], TreeModel] = {}
+            for categorical in dict.fromkeys(c.categorical for c in distinct):
+                places = [(i, fold) for i, c in enumerate(distinct) if c.categorical == categorical for fold in range(k)]
+                grown = fit_forests(folded, features, "y01", [distinct[i].forest_settings(fold) for i, fold in places], categorical, key, "fold")
+                forests.update(zip(places, grown))
+            losses = training_errors(folded, forests, "y01")
+            scored = held_out_scores(held, forests)
         else:
             raise ValueError("forests and linear models need separate runs")
-        result = CrossValidation(list(candidates), _evaluate(scored, candidates, fit_of, rows * len(distinct)), k)
+        result = CrossValidation(list(candidates), _evaluate(scored, candidates, fit_of), k)
         for r in result.per_fold:
             r["loss"] = float(losses[(fit_of[r["candidate"]], r["fold"])])
+        wanted = {"all": range(len(candidates)), "best": [result.best(metric)] if curves == "best" else [], "none": []}[curves]
+        if wanted:
+            some = scored if curves == "all" else scored.where(F.col("fit").isin([fit_of[c] for c in wanted]))
+            found = {(r["fit"], r["fold"]): r for r in areas(curve_points(some, group=["fit", "fold"]), ["fit", "fold"]).collect()}
+            for r in result.per_fold:
+                if r["candidate"] in wanted:
+                    r.update({a: found[(fit_of[r["candidate"]], r["fold"])][a] for a in AREAS})
         return result
     finally:
         folded.unpersist()
@@ -228,7 +241,7 @@ def search_and_train(df: DataFrame, features: Sequence[str], base: Settings, axe
                      label: str = "y", key: str = "id", copies: str | None = None) -> tuple[FinalModel, CrossValidation]:
     """Search the grid (if any), then refit the winner on all rows; only a search may replace the iteration count."""
     candidates = param_grid(base, axes) if axes else [base]
-    cv = cross_validate(df, features, candidates, k, seed, label, key, copies)
+    cv = cross_validate(df, features, candidates, k, seed, label, key, copies, "all" if metric in AREAS else "best", metric)
     chosen = candidates[cv.best(metric)]
     if axes and final_max_iters:
         chosen = replace(chosen, max_iters=final_max_iters)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,20 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col
 from ..plans.levels import PreparedState
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the session names, or a temporary one in a session without any."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tallyloom-")
-
-
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+from .shared import new_folder, shared_folder  # noqa: F401  (part of this module's interface)
 
 
 def save_level(train: DataFrame, test: DataFrame, state: PreparedState, folder: str, file_format: str = "parquet",

@@ -43,6 +43,39 @@ def test_areas_match_brute_force_and_ignore_row_order(spark, tied, rows_per_buck
         assert (r["roc_auc"], r["pr_auc"]) == pytest.approx(want)
 
 
+def test_close_scores_of_one_group_are_spread_and_the_input_stands_once(spark):
+    """One group holds most rows, with scores a hair apart; its steps are dealt over many ranges."""
+    rng = np.random.default_rng(6)
+    n = 900
+    g = np.where(rng.random(n) < 0.8, 1, rng.integers(2, 5, n))
+    score = np.where(g == 1, 0.5 + rng.integers(0, 400, n) * 1e-12, rng.random(n))
+    y = np.where(rng.random(n) < 0.3, 1, -1)
+    df = frame(spark, {"id": range(n), "g": g, "score": score, "y": y}).withColumn("g", F.col("g").cast("int"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    counted = df.mapInArrow(seen, df.schema)
+    points = metrics.curve_points(counted, group=["g"], rows_per_bucket=25)
+    got = {r["g"]: r for r in metrics.areas(points, ["g"]).collect()}
+    assert calls.value == n
+    assert set(got) == set(g.tolist())
+    for k, r in got.items():
+        assert (r["roc_auc"], r["pr_auc"]) == pytest.approx(brute_areas(score[g == k], y[g == k]))
+
+
+def test_threshold_counts_exchange_no_scores(spark):
+    df = spark.range(40).selectExpr("CASE WHEN id % 2 = 0 THEN 1 ELSE -1 END AS y", "id / 40 AS score")
+    counted = metrics.threshold_counts(df, [0.25, 0.5])
+    r = counted.first()
+    assert (r["pos"], r["neg"], r["tp0"], r["fp0"], r["tp1"], r["fp1"]) == (20, 20, 15, 15, 10, 10)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert " Sort " not in plan and plan.count("Exchange") == 1 and "SinglePartition" in plan
+
+
 def test_areas_of_degenerate_classes(spark):
     only = metrics.areas(metrics.curve_points(frame(spark, {"y": [1, 1], "score": [0.2, 0.3]}))).first()
     assert (only["roc_auc"], only["pr_auc"]) == (0.0, 1.0)
@@ -124,6 +157,37 @@ def test_cross_validation_matches_brute_force(spark, table):
     assert cv.aggregate_frame(spark).count() == 4 and cv.per_fold_frame(spark).count() == 16
 
 
+def test_areas_are_computed_for_all_the_best_or_none(spark, table):
+    candidates = training.param_grid(BASE, {"gamma": [0.01, 0.8]})
+    every = training.cross_validate(table, XS, candidates, 3, 2)
+    best = training.cross_validate(table, XS, candidates, 3, 2, curves="best")
+    none = training.cross_validate(table, XS, candidates, 3, 2, curves="none")
+    chosen = every.best("f1")
+    assert chosen == best.best("f1") == none.best("f1")
+    for a, b, c in zip(every.per_fold, best.per_fold, none.per_fold):
+        assert {m: a[m] for m in training.METRICS} == {m: b[m] for m in training.METRICS} == {m: c[m] for m in training.METRICS}
+        assert a["loss"] == b["loss"] == c["loss"] and np.isnan(c["roc_auc"])
+        assert b["roc_auc"] == pytest.approx(a["roc_auc"]) if a["candidate"] == chosen else np.isnan(b["roc_auc"])
+    with pytest.raises(ValueError):
+        training.cross_validate(table, XS, candidates, 3, curves="some")
+
+
+def test_forest_jobs_do_not_grow_with_folds_and_candidates(spark, table):
+    """Two candidates over two folds, and eight over four, take as many jobs."""
+    def jobs(candidates, k):
+        spark.sparkContext.setJobGroup(f"forest{len(candidates)}x{k}", "")
+        training.cross_validate(table, XS, candidates, k, 1, curves="none")
+        done = spark.sparkContext.statusTracker().getJobIdsForGroup(f"forest{len(candidates)}x{k}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(done)
+
+    s = Settings("random_forest", n_estimators=2, max_depth=2, max_features="all", seed=4)
+    few = jobs(training.param_grid(s, {"max_depth": [1, 2]}), 2)
+    many = jobs(training.param_grid(s, {"max_depth": [1, 2, 3, 4], "min_samples_leaf": [5, 10]}), 4)
+    # Folds are cut by looking up one hash a border; nothing else may depend on them.
+    assert many <= few + 4
+
+
 def test_copies_never_cross_folds(spark, table):
     k = 3
     over = balance.oversample(table, 0.45)
