@@ -253,7 +253,7 @@ def correlation_matrix(spark, sf):
 
 @query("highly_correlated", _pair_sql("SELECT feature_i, feature_j, round(r, 6) AS r FROM pairs WHERE i < j AND abs(r) > 0.9"))
 def highly_correlated(spark, sf):
-    return rounded(linear.highly_correlated(linear.correlations(f_orders(spark, sf), CORRELATED), 0.9))
+    return rounded(linear.correlated_pairs(f_orders(spark, sf), CORRELATED, 0.9))
 
 
 REPORT = """, report AS (SELECT feature, min(value) AS lo, max(value) AS hi, quantile_cont(value, 0.01) AS q_low,

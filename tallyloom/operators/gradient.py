@@ -23,28 +23,38 @@ from ..functions.scalar import col
 DIRECT_PARTIALS = 64
 
 BLOCK_SCHEMA = "n int, x binary, y binary, fold binary"
+BLOCK_ROWS = 8192
 PARTIAL_SCHEMA = "part binary"
 
 
 def pack(df: DataFrame, features: Sequence[str], target: str, fold: str | None = None) -> DataFrame:
-    """One row per Arrow batch: the feature matrix, the target vector and the fold numbers as raw doubles."""
+    """Blocks of rows, however small the Arrow batches: the feature matrix, the target and the fold numbers as raw doubles."""
     names = [f"x{i}" for i in range(len(features))]
     fold_column = F.lit(-1.0) if fold is None else F.col(fold).cast("double")
     narrow = df.select(*[col(f).cast("double").alias(n) for f, n in zip(features, names)],
                        F.col(target).cast("double").alias("_y"), fold_column.alias("_fold"))
+    block_rows = BLOCK_ROWS
+
+    def block(table: pa.Table) -> pa.RecordBatch:
+        columns = [c.to_numpy() for c in table.columns]
+        x = np.ascontiguousarray(np.stack(columns[:-2], axis=1), dtype=np.float64)
+        if np.isnan(x).any() or np.isnan(columns[-2].astype(np.float64)).any():
+            raise ValueError("missing feature values or labels: impute before training")
+        return pa.RecordBatch.from_pydict({
+            "n": pa.array([table.num_rows], pa.int32()), "x": pa.array([x.tobytes()], pa.binary()),
+            "y": pa.array([columns[-2].astype(np.float64).tobytes()], pa.binary()),
+            "fold": pa.array([columns[-1].astype(np.float64).tobytes()], pa.binary())})
 
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            x = np.ascontiguousarray(np.stack(columns[:-2], axis=1), dtype=np.float64)
-            if np.isnan(x).any() or np.isnan(columns[-2].astype(np.float64)).any():
-                raise ValueError("missing feature values or labels: impute before training")
-            yield pa.RecordBatch.from_pydict({
-                "n": pa.array([batch.num_rows], pa.int32()), "x": pa.array([x.tobytes()], pa.binary()),
-                "y": pa.array([columns[-2].astype(np.float64).tobytes()], pa.binary()),
-                "fold": pa.array([columns[-1].astype(np.float64).tobytes()], pa.binary())})
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= block_rows:
+                yield block(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield block(pa.Table.from_batches(held))
 
     return narrow.mapInArrow(to_blocks, BLOCK_SCHEMA)
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import id_hash
 from ..functions.scalar import col, linear_score, log_loss, quoted, sigmoid
-from .columns import MEAN, per_column
-from .gradient import Fit, Model, add_up, fit_models, gram, pack, partitions
-from .ranks import hash_index
+from ..sources.shared import new_folder, written
+from .columns import HIGH, LOW, MEAN, per_column
+from .gradient import BLOCK_ROWS, BLOCK_SCHEMA, Fit, Model, add_up, fit_models, gram, pack, partitions
+from .ranks import hashes_at
 
 # Products of up to this many columns are plain SQL aggregates.
 NARROW = 32
@@ -38,37 +41,82 @@ def linear_gd(df: DataFrame, features: Sequence[str], target: str, gamma: float,
     return fit_models(df, features, target, [model])[0]
 
 
+#: Files of the block store: with more tasks times batches the blocks are first brought together by batch.
+STORE_FILES = 20_000
+
+
+def batch_store(df: DataFrame, features: Sequence[str], target: str, cuts: Sequence[int], key: str, seed: int) -> str:
+    """Folder of blocks with one part per batch; a row's batch is the number of cuts its own hash has reached."""
+    names = [f"x{i}" for i in range(len(features))]
+    rows = df.select(*[col(f).cast("double").alias(n) for f, n in zip(features, names)], F.col(target).cast("double").alias("_y"),
+                     id_hash(quoted(key), seed).alias("_h"))
+    borders, block_rows = np.array(cuts, np.int64), BLOCK_ROWS
+
+    def to_blocks(batches):
+        held, count = {}, {}
+
+        def block(batch: int) -> pa.RecordBatch:
+            table = np.concatenate(held.pop(batch))
+            count.pop(batch)
+            return pa.RecordBatch.from_pydict({
+                "n": pa.array([len(table)], pa.int32()), "x": pa.array([np.ascontiguousarray(table[:, :-1]).tobytes()], pa.binary()),
+                "y": pa.array([np.ascontiguousarray(table[:, -1]).tobytes()], pa.binary()), "fold": pa.array([np.full(len(table), float(batch)).tobytes()], pa.binary()),
+                "batch": pa.array([batch], pa.int32())})
+
+        for arrow in batches:
+            if not arrow.num_rows:
+                continue
+            table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in arrow.columns[:-1]], axis=1)
+            if np.isnan(table).any():
+                raise ValueError("missing feature values or labels: impute before training")
+            batch = np.searchsorted(borders, arrow.columns[-1].to_numpy(zero_copy_only=False).astype(np.int64), side="right")
+            for k in np.unique(batch).tolist():
+                held.setdefault(k, []).append(table[batch == k])
+                count[k] = count.get(k, 0) + len(held[k][-1])
+                if count[k] >= block_rows:
+                    yield block(k)
+        for k in list(held):
+            yield block(k)
+
+    blocks = rows.mapInArrow(to_blocks, BLOCK_SCHEMA + ", batch int")
+    if partitions(blocks) * (len(cuts) + 1) > STORE_FILES:
+        blocks = blocks.repartition("batch")
+    folder = new_folder(df.sparkSession)
+    blocks.write.partitionBy("batch").parquet(folder)
+    return folder
+
+
 def linear_minibatch(df: DataFrame, features: Sequence[str], target: str, gamma: float, steps: int, batches: int,
                      key: str = "id", seed: int = 1) -> Fit:
     """Gradient steps on ``batches`` equal parts of a hashed row order, visited in turn.
 
-    A batch is one block id; every step aggregates its own batch over all partitions.
+    The hashes at the borders of the batches are looked up, so a row's batch follows from its own hash and no row is
+    numbered or joined. Blocks are stored by batch, and a step reads the blocks of its own batch only.
     """
-    size = F.greatest(F.ceil(F.col("_n") / batches), F.lit(1))
-    total = df.count()
-    numbered = (hash_index(df, key, seed, output="_at").withColumn("_n", F.lit(total))
-                .withColumn("_batch", F.floor(F.col("_at") / size).cast("int")))
-    blocks = pack(numbered, features, target, "_batch").persist(StorageLevel.MEMORY_AND_DISK)
-    width = len(features)
+    spark, width, total = df.sparkSession, len(features), df.count()
+    size = max(1, -(-total // batches))
+    filled = max(1, -(-total // size))
+    cuts = hashes_at(df, key, seed, {(): [k * size for k in range(1, filled)]})[()] if filled > 1 else []
+    folder = batch_store(df, features, target, cuts, key, seed)
 
-    def partial(w: np.ndarray, batch: int | None):
+    def blocks(batch: int | None) -> DataFrame:
+        return spark.read.schema(BLOCK_SCHEMA).parquet(folder if batch is None else f"{folder}/batch={batch}")
+
+    def partial(w: np.ndarray):
         def compute(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
-            mine = np.ones(len(y), bool) if batch is None else fold == batch
-            error = y[mine] - x[mine] @ w
-            return np.concatenate([-(x[mine].T @ error), [0.5 * float(error @ error), float(mine.sum())]])
+            error = y - x @ w
+            return np.concatenate([-(x.T @ error), [0.5 * float(error @ error), float(len(y))]])
         return compute
 
-    try:
-        w, tasks = np.zeros(width), partitions(blocks)
-        filled = -(-total // max(1, -(-total // batches)))
-        for step in range(steps):
-            sums = add_up(blocks, partial(w, step % filled), width + 2, tasks)
-            w = w - gamma * sums[:width] / max(1.0, sums[-1])
-        sums = add_up(blocks, partial(w, None), width + 2, tasks)
-        loss = sums[width] / max(1.0, sums[-1])
-        return Fit(w, loss, loss, steps)
-    finally:
-        blocks.unpersist()
+    w = np.zeros(width)
+    if not total:
+        return Fit(w, 0.0, 0.0, steps)
+    for step in range(steps):
+        sums = add_up(blocks(step % filled), partial(w), width + 2)
+        w = w - gamma * sums[:width] / max(1.0, sums[-1])
+    sums = add_up(blocks(None), partial(w), width + 2)
+    loss = sums[width] / max(1.0, sums[-1])
+    return Fit(w, loss, loss, steps)
 
 
 def product_sums(df: DataFrame, features: Sequence[str], target: str) -> tuple[np.ndarray, np.ndarray, float]:
@@ -139,14 +187,95 @@ def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
     return np.clip(r, -1.0, 1.0)
 
 
-def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The matrix in long form: ``i, j, feature_i, feature_j, r``."""
-    matrix = correlation_matrix(df, features)
-    rows = [(i, j, a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
-            for i, a in enumerate(features) for j, b in enumerate(features)]
-    return df.sparkSession.createDataFrame(rows, "i int, j int, feature_i string, feature_j string, r double")
+#: Columns of a tile, and tiles that one pass over the blocks adds up in a task.
+TILE, TILES_AT_ONCE = 256, 64
+
+
+def correlations(df: DataFrame, features: Sequence[str], threshold: float | None = None) -> DataFrame:
+    """Pearson correlations in long form: ``i, j, feature_i, feature_j, r``; with a threshold the pairs i < j beyond it.
+
+    Missing cells take their column's mean; constant columns have no correlation (null).
+
+    Products of columns are summed tile by tile: a task adds up the tiles of its own blocks, equal tiles are brought
+    together and added, and the pairs of a tile are written (and filtered) where it is. The driver holds two numbers a column.
+    """
+    features = list(features)
+    width = len(features)
+    facts = {r["feature"]: r for r in per_column(df, features, {"mean": MEAN, "low": LOW, "high": HIGH}).collect()}
+    centers = [facts[f]["mean"] if facts[f]["mean"] is not None else 0.0 for f in features]
+    shifted = df.select(*[F.coalesce(col(f).cast("double") - F.lit(float(c)), F.lit(0.0)).alias(f) for f, c in zip(features, centers)])
+    blocks = written(pack(shifted.withColumn("_zero", F.lit(0.0)), features, "_zero"))
+    deviation = np.sqrt(add_up(blocks, lambda x, y, fold: (x * x).sum(axis=0), width))
+    deviation[deviation == 0] = np.nan
+    deviation[[facts[f]["low"] == facts[f]["high"] for f in features]] = np.nan
+    tiles = range(0, width, TILE)
+    pairs = [(a, b) for a in tiles for b in tiles if a <= b]
+    parts = None
+    for start in range(0, len(pairs), TILES_AT_ONCE):
+        some = blocks.mapInArrow(_tile_products(pairs[start:start + TILES_AT_ONCE], TILE, width), "a int, b int, task int, part binary")
+        parts = some if parts is None else parts.unionAll(some)
+    dealt = parts.repartition("a", "b").sortWithinPartitions("a", "b", "task")
+    return dealt.mapInArrow(_tile_pairs(features, deviation, TILE, threshold), "i int, j int, feature_i string, feature_j string, r double")
+
+
+def _tile_products(pairs: Sequence[tuple[int, int]], tile: int, width: int):
+    def run(batches):
+        total = {}
+        for batch in batches:
+            for n, x in zip(batch.column(0), batch.column(1)):
+                x = np.frombuffer(x.as_buffer(), np.float64).reshape(n.as_py(), width)
+                for a, b in pairs:
+                    part = x[:, a:a + tile].T @ x[:, b:b + tile]
+                    total[a, b] = total[a, b] + part if (a, b) in total else part
+        task = TaskContext.get().partitionId()
+        for (a, b), part in total.items():
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a], pa.int32()), "b": pa.array([b], pa.int32()), "task": pa.array([task], pa.int32()),
+                                              "part": pa.array([part.tobytes()], pa.binary())})
+    return run
+
+
+def _tile_pairs(features: Sequence[str], deviation: np.ndarray, tile: int, threshold: float | None):
+    names = pa.array(features)
+
+    def rows(i, j, r):
+        return pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), names.take(pa.array(i)), names.take(pa.array(j)),
+                                           pa.array(r, from_pandas=True)], names=["i", "j", "feature_i", "feature_j", "r"])
+
+    def finished(a, b, total):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = np.clip(total / np.outer(deviation[a:a + tile], deviation[b:b + tile]), -1.0, 1.0)
+        if threshold is not None:
+            i, j = np.nonzero(np.abs(r) > threshold)
+            kept = i + a < j + b
+            yield rows(i[kept] + a, j[kept] + b, r[i[kept], j[kept]])
+            return
+        i, j = (m.ravel() for m in np.indices(r.shape))
+        yield rows(i + a, j + b, r.ravel())
+        if a != b:
+            yield rows(j + b, i + a, r.ravel())
+
+    def run(batches):
+        key, total = None, None
+        for batch in batches:
+            for a, b, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)):
+                part = np.frombuffer(part.as_buffer(), np.float64).reshape(min(tile, len(deviation) - a), -1)
+                if (a, b) != key:
+                    if key is not None:
+                        yield from finished(*key, total)
+                    key, total = (a, b), part
+                else:
+                    total = total + part
+        if key is not None:
+            yield from finished(*key, total)
+    return run
 
 
 def highly_correlated(matrix: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """``feature_i, feature_j, r`` of the pairs of a matrix in long form, each once."""
     return (matrix.where((F.col("i") < F.col("j")) & (F.abs("r") > threshold))
             .select("feature_i", "feature_j", "r"))
+
+
+def correlated_pairs(df: DataFrame, features: Sequence[str], threshold: float = 0.95) -> DataFrame:
+    """The same straight from the table: no other pair leaves the task that has its tile."""
+    return correlations(df, features, threshold).select("feature_i", "feature_j", "r")

@@ -119,6 +119,23 @@ def test_minibatch_steps(df, data):
     np.testing.assert_allclose(fit.weights, w, atol=1e-12)
 
 
+def test_a_minibatch_step_reads_its_own_batch(spark, df, monkeypatch):
+    read, add_up = [], linear.add_up
+
+    def counting(blocks, partial, size, tasks=None):
+        read.append(sum(r["n"] for r in blocks.collect()))
+        return add_up(blocks, partial, size, tasks)
+
+    monkeypatch.setattr(linear, "add_up", counting)
+    one = linear.linear_minibatch(df, XS, "y01", 0.1, 4, 3)
+    assert read == [54, 54, 52, 54, 160]
+    monkeypatch.setattr(linear, "STORE_FILES", 1)
+    monkeypatch.setattr(linear, "BLOCK_ROWS", 7)
+    np.testing.assert_allclose(linear.linear_minibatch(df, XS, "y01", 0.1, 4, 3).weights, one.weights, atol=1e-13)
+    alone = linear.linear_minibatch(df, XS, "y01", 0.1, 2, 500)
+    assert alone.steps == 2 and linear.linear_minibatch(df.where("false"), XS, "y01", 0.1, 2, 3).weights.tolist() == [0, 0, 0]
+
+
 def test_missing_features_are_refused(spark):
     with pytest.raises(Exception, match="impute before training"):
         linear.linear_gd(frame(spark, {"a": [1, N], "t": [1, 2]}), ["a"], "t", 0.1, 1)

@@ -131,6 +131,43 @@ def test_correlation_matches_numpy_on_both_paths(spark):
     assert {(r["feature_i"], r["feature_j"]) for r in pairs} == expected
 
 
+@pytest.mark.parametrize("tile,at_once", [(256, 64), (3, 2)])
+def test_tiles_of_any_size_give_all_pairs(spark, monkeypatch, tile, at_once):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(150, 8))
+    x[:, 5] = -x[:, 2] + 0.01 * x[:, 5]
+    x[:, 6] = 0.1
+    gaps = rng.random(x.shape) < 0.1
+    df = frame(spark, {f"c{j}": [N if g else v for v, g in zip(x[:, j], gaps[:, j])] for j in range(8)})
+    filled = np.where(gaps, np.nan, x)
+    filled = np.where(np.isnan(filled), np.nanmean(filled, axis=0), filled)
+    monkeypatch.setattr(linear, "TILE", tile)
+    monkeypatch.setattr(linear, "TILES_AT_ONCE", at_once)
+    with np.errstate(invalid="ignore"):
+        want = np.corrcoef(filled, rowvar=False)
+    want[6, :] = want[:, 6] = np.nan
+    got = np.full((8, 8), 9.0)
+    for r in linear.correlations(df, df.columns).collect():
+        got[r["i"], r["j"]] = np.nan if r["r"] is None else r["r"]
+        assert (r["feature_i"], r["feature_j"]) == (f"c{r['i']}", f"c{r['j']}")
+    np.testing.assert_allclose(got, want, atol=1e-10)
+    pairs = {(r["feature_i"], r["feature_j"]) for r in linear.correlated_pairs(df, df.columns, 0.1).collect()}
+    assert ("c2", "c5") in pairs and pairs == {(f"c{i}", f"c{j}") for i in range(8) for j in range(i + 1, 8) if abs(want[i, j]) > 0.1}
+
+
+def test_correlated_pairs_of_wide_tables(spark):
+    """Three tiles a side: only the planted pairs of 180 thousand come back. (The same test took 5,000 columns once.)"""
+    import pandas as pd
+    width = 600
+    names = [f"c{j}" for j in range(width)]
+    table = np.random.default_rng(3).random((40, width))
+    table[:, 532] = table[:, 17] * 2 + 1
+    table[:, 299] = -table[:, 400]
+    df = spark.createDataFrame(pd.DataFrame(table, columns=names))
+    got = {(r["feature_i"], r["feature_j"]) for r in linear.correlated_pairs(df, names, 0.95).collect()}
+    assert got == {("c17", "c532"), ("c299", "c400")}
+
+
 def test_outliers_skip_incomplete_columns(spark):
     base = list(range(200))
     df = frame(spark, {"id": base, "y": [1 if i % 2 else -1 for i in base], "a": [float(i) for i in base],
