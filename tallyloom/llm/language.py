@@ -101,6 +101,83 @@ def marginals(emission: np.ndarray, transitions: np.ndarray, firsts: np.ndarray,
     return m / m.sum(1, keepdims=True) if len(m) else m, expected
 
 
+#: Words of a segment: chains are cut into segments that are passed through side by side.
+SEGMENT = 64
+
+
+def segment_marginals(emission: np.ndarray, transitions: np.ndarray, firsts: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
+    """``marginals`` of chains of any length, in loops of ``segment`` steps and one step per segment of the longest chain.
+
+    Every chain is cut into segments. The products of the potentials over each segment, from label to label, are made for
+    all segments at once; a scan over the segments of each chain gives the messages at the borders, forwards and
+    backwards; then all segments are passed through side by side. Exact: sums and products are those of the whole chain.
+    """
+    n, k = len(emission), len(transitions)
+    if not n:
+        return emission
+    sizes = np.diff(firsts)
+    count = -(-sizes // segment)
+    owner = np.repeat(np.arange(len(sizes)), count)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    head = firsts[:-1][owner] + place * segment
+    length = np.minimum(segment, firsts[1:][owner] - head)
+    opening = place == 0
+    e = np.exp(emission - emission.max(1, keepdims=True)).astype(np.float64)
+    t = np.exp(transitions.astype(np.float64))
+    entry, leaving = np.ones((len(head), k)), np.ones((len(head), k))
+    chained = np.flatnonzero(count[owner] > 1)
+    if len(chained):
+        order = chained[np.argsort(-length[chained], kind="stable")]
+        active = np.searchsorted(-length[order], -np.arange(int(length[order[0]])), side="left")
+        product = np.empty((len(order), k, k))
+        for step, live in enumerate(active):
+            at = head[order[:live]] + step
+            if step:
+                moved = (product[:live].reshape(-1, k) @ t).reshape(-1, k, k)
+            else:
+                moved = np.where(opening[order[:live]][:, None, None], np.eye(k), t)
+            moved = moved * e[at][:, None]
+            product[:live] = moved / moved.max((1, 2), keepdims=True)
+        whole = np.empty((len(head), k, k))
+        whole[order] = product
+        first = np.cumsum(count) - count
+        long = np.flatnonzero(count > 1)
+        long = long[np.argsort(-count[long], kind="stable")]
+        alive = np.searchsorted(-count[long], -np.arange(int(count[long[0]])), side="left")
+        message = np.ones((len(long), k))
+        for step, live in enumerate(alive):
+            at = first[long[:live]] + step
+            entry[at] = message[:live]
+            message = np.einsum("rj,rjk->rk", message[:live], whole[at])
+            message = message / message.sum(1, keepdims=True)
+        message = np.ones((len(long), k))
+        for step in range(len(alive) - 1, 0, -1):
+            at = first[long[:alive[step]]] + step
+            message[:alive[step]] = np.einsum("rjk,rk->rj", whole[at], message[:alive[step]])
+            message[:alive[step]] /= message[:alive[step]].sum(1, keepdims=True)
+            leaving[at - 1] = message[:alive[step]]
+    order = np.argsort(-length, kind="stable")
+    active = np.searchsorted(-length[order], -np.arange(int(length[order[0]])), side="left")
+    forward, backward = np.empty_like(e), np.empty_like(e)
+    start = opening[order][:, None]
+    for step, live in enumerate(active):
+        at = head[order[:live]] + step
+        if step:
+            a = (a[:live] @ t) * e[at]
+        else:
+            a = np.where(start, 1.0, entry[order] @ t) * e[at]
+        a = a / a.sum(1, keepdims=True)
+        forward[at] = a
+    last = head + length - 1
+    backward[last] = leaving
+    for step in range(len(active) - 2, -1, -1):
+        at = head[order[:active[step + 1]]] + step
+        b = (e[at + 1] * backward[at + 1]) @ t.T
+        backward[at] = b / b.sum(1, keepdims=True)
+    m = forward * backward
+    return m / m.sum(1, keepdims=True)
+
+
 def train(pieces: list[tuple[str, str]], sequences: int = 4000, epochs: int = 6, rate: float = 0.05, penalty: float = 1e-5, seed: int = 5) -> Field:
     """Fits the field on (language, piece of text) rows, joined at random into sequences that switch between languages."""
     languages = sorted({language for language, _ in pieces})
@@ -184,7 +261,7 @@ def predict_rows(field: Field, data: np.ndarray, rows: np.ndarray):
     _, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     f, at = features(low, starts[one], ends[one], hashes[one], field.lexicon, field.members)
     scores = np.add.reduceat(field.weights[f], at[:-1]) if len(one) else np.zeros((0, len(field.languages)), np.float32)
-    m, _ = marginals(scores[inverse], field.transitions, firsts)
+    m = segment_marginals(scores[inverse], field.transitions, firsts)
     counts = np.diff(firsts)
     total, switches, clear = np.zeros((len(counts), len(field.languages))), np.zeros(len(counts), np.int64), np.zeros(len(counts))
     full = np.flatnonzero(counts)

@@ -1,6 +1,8 @@
 import itertools
+import re
 
 import numpy as np
+import pytest
 
 from tallyloom.llm import language
 
@@ -28,6 +30,45 @@ def test_marginals_equal_enumeration():
     assert np.allclose(m, want) and np.allclose(pairs, expected)
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 64])
+def test_segments_give_the_marginals_of_whole_chains(segment):
+    rng = np.random.default_rng(segment)
+    lengths = [0, 1, 2, 3, 5, 6, 7, 0, 12, 63, 64, 65, 200, 1, 1000]
+    firsts = np.concatenate([[0], np.cumsum(lengths)])
+    emission, trans = rng.normal(size=(firsts[-1], 4)) * 6, rng.normal(size=(4, 4)) * 3
+    want, _ = language.marginals(emission, trans, firsts)
+    assert np.allclose(language.segment_marginals(emission, trans, firsts, segment), want, atol=1e-9)
+    assert len(language.segment_marginals(emission[:0], trans, np.zeros(1, int), segment)) == 0
+
+
+def test_prediction_equals_a_plain_restatement():
+    """Features, chain and shares of whole rows, written out word by word."""
+    field = language.train([(k, t) for k, t in (("xx", "ala bala kala mala"), ("yy", "sunt fost cest gust"), ("xx", "mala ala tala"), ("yy", "rest fost"))] * 3, sequences=500)
+    texts = ["ala bala fost", "", "rest", "Ala! kala, sunt cest gust fost mala ala"]
+    data = np.frombuffer("".join(texts).lower().encode(), np.uint8)
+    rows = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    counts, total, switches, clear = language.predict_rows(field, data, rows)
+    for i, text in enumerate(texts):
+        words = re.findall("[a-z]+", text.lower())
+        assert counts[i] == len(words)
+        scores = []
+        for w in words:
+            one = np.frombuffer(w.encode(), np.uint8)
+            cut = np.array([0]), np.array([len(w)])
+            used, _ = language.features(one, *cut, language.hashed_spans(one, *cut), field.lexicon, field.members)
+            scores.append(field.weights[used].sum(0))
+        if not words:
+            assert total[i].sum() == 0
+            continue
+        weights = {}
+        for labels in itertools.product(range(2), repeat=len(words)):
+            weights[labels] = np.exp(sum(s[y] for s, y in zip(scores, labels)) + sum(field.transitions[x, y] for x, y in zip(labels, labels[1:])))
+        z = sum(weights.values())
+        m = np.array([[sum(p for labels, p in weights.items() if labels[k] == y) / z for y in range(2)] for k in range(len(words))])
+        assert np.allclose(total[i], m.sum(0), atol=1e-4) and np.isclose(clear[i], m.max(1).sum(), atol=1e-4)
+        assert switches[i] == sum(a != b for a, b in zip(m.argmax(1), m.argmax(1)[1:]))
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
