@@ -100,12 +100,15 @@ def scan_licences(df: DataFrame, key: str = "doc_id", text: str = "text", thresh
     labels are those of the phrases and of the notices that a line contains (``notice_matches``); the score is 1 with a
     phrase, else the largest containment, else 0. Labels are distinct, sorted and comma-joined.
 
-    Null text counts as empty; without a place the word numbers are null; rows that share a key (a null one too) share the
-    notices' labels; an empty table gives an empty result; other columns are ignored.
+    Notices belong to a text, not to a key: texts are known by two 64-bit hashes, so rows that share a key (a null one too)
+    each get their own text's labels. Null text counts as empty; without a place the word numbers are null; an empty table
+    gives an empty result; other columns are ignored.
     """
-    docs = df.select(F.col(key).alias("id"), F.expr(f"coalesce(CAST(`{text}` AS STRING), '')").alias("text"))
+    own = F.expr(f"coalesce(CAST(`{text}` AS STRING), '')")
+    rows = df.select(F.col(key).alias("key"), own.alias("text")).withColumn("id", F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(3)).alias("b")))
+    docs = rows.select("id", "text")
     labels = stored(notice_matches(docs, threshold).groupBy("id").agg(F.sort_array(F.collect_set("label")).alias("notices"), F.max("containment").alias("best")))
-    words = docs.select("id", F.expr(_words_text("text")).alias("norm"))
+    words = rows.select("key", "id", F.expr(_words_text("text")).alias("norm"))
     words = words.withColumn("n_base", F.expr(
         f"CASE WHEN contains(norm, 'license') OR contains(norm, 'cc by') THEN regexp_count(norm, '{_PLACE}') ELSE 0 END"))
     before_first = f"substr(norm, 1, regexp_instr(norm, '{_PLACE}') - 1)"
@@ -113,13 +116,13 @@ def scan_licences(df: DataFrame, key: str = "doc_id", text: str = "text", thresh
     spaces = "length({0}) - length(replace({0}, ' ', ''))"
     base = ", ".join(f"CASE WHEN n_base > 0 AND contains(concat(' ', norm, ' '), ' {p} ') THEN '{label}' END" for p, label in PHRASES.items())
     rows = words.select(
-        "id", F.expr(f"CAST({_count('norm')} AS BIGINT)").alias("n_words"), F.expr("CAST(n_base AS BIGINT)").alias("n_base"),
+        "key", "id", F.expr(f"CAST({_count('norm')} AS BIGINT)").alias("n_words"), F.expr("CAST(n_base AS BIGINT)").alias("n_base"),
         F.expr(f"CASE WHEN n_base > 0 THEN CAST({spaces.format(before_first)} AS BIGINT) END").alias("first_word"),
         F.expr(f"CASE WHEN n_base > 0 THEN CAST({spaces.format(before_last)} AS BIGINT) END").alias("last_word"),
         F.expr(f"array_sort(array_compact(array({base})))").alias("found"))
-    joined = joined_small(rows, labels.withColumnRenamed("id", "label_id"), F.expr("id <=> label_id"), "left")
+    joined = joined_small(rows, labels.withColumnRenamed("id", "label_id"), F.expr("id = label_id"), "left")
     return joined.select(
-        F.col("id").alias(key), "n_words", "n_base", "first_word", "last_word", F.array_join("found", ",").alias("base_labels"),
+        F.col("key").alias(key), "n_words", "n_base", "first_word", "last_word", F.array_join("found", ",").alias("base_labels"),
         F.expr("array_join(array_sort(array_union(found, coalesce(notices, CAST(array() AS ARRAY<STRING>)))), ',')").alias("labels"),
         F.expr("CASE WHEN n_base > 0 THEN 1.0D ELSE coalesce(best, 0.0D) END").alias("score"))
 

@@ -23,6 +23,14 @@ def test_repeated_and_null_ids(documents):
     assert sorted(r.n_base for r in by[None]) == [0, by[1004][0].n_base]
 
 
+def test_labels_belong_to_the_row(spark):
+    """Rows that share a key, or have none, do not share labels."""
+    rows = [(None, "released under the mit license", "x"), (None, "nothing of the kind", "x"), (7, "licensed under cc by nc 4.0", "x"), (7, "plain", "x"), (7, None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, key string")
+    got = sorted((r.doc_id or 0, r.labels, r.score) for r in licences.scan_licences(frame).collect())
+    assert got == [(0, "", 0.0), (0, "mit,mit-notice", 1.0), (7, "", 0.0), (7, "", 0.0), (7, "cc-by,cc-by-nc", 1.0)]
+
+
 def test_notices_and_places(spark):
     rows = [(1, "mit license MIT-License"), (2, "Licensed under CC BY-NC 4.0."), (3, "Permission is hereby granted, free of charge, to any person obtaining "
             "a copy of this software and associated documentation"), (4, "released under\nthe mit license"), (5, "gnu general public\nlicense"), (6, None)]
