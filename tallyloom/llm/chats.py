@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import grouped, read_table, stored
+from .common import grouped, joined_small, read_table, stored
 from .registry import query
 
 BUDGET, HISTORY = 512, 128   # tokens of new turns per window, and of repeated ones
@@ -81,13 +81,17 @@ _NULL_CONVERSATION = -(1 << 63)
 
 def format_chats(df: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", tokens: str = TOKENS,
                  budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """``key, window, repeated, formatted, loss``: the training windows of every conversation.
+    """``key, window, repeated, formatted, loss``: the training windows of every conversation, in order of ``window``.
 
-    Turns are in order of ``turn``, ties by role and text. Prefix sums of the turns' tokens (a SQL expression over ``text``)
-    choose the windows: a turn belongs to the window in whose ``budget`` it begins, so windows are aligned to turns and a turn
-    is never cut; a turn that ends beyond the budget ends the window. Every later window begins with the conversation's system
-    turn (its first turn, if its role is ``system``) and the last turns before it that begin within ``history`` tokens: these
-    ``repeated`` turns are masked. ``loss`` has the spans of the assistant's texts that are new, so each is a target once.
+    Turns are in order of ``turn``, ties by role and text. A window has at most ``budget`` tokens (a SQL expression over
+    ``text``) with everything in it, unless it is a single turn that is longer by itself. Prefix sums of the turns' tokens
+    choose the windows: the budget less the system turn and the history is the room of a window, a turn belongs to the
+    stretch of so many tokens in which it begins, and a turn that ends beyond its stretch is a window of its own. So
+    windows are aligned to turns, a turn is never cut, and no window waits for an earlier one.
+
+    Every later window begins with the conversation's system turn (its first turn, if its role is ``system``), unless the
+    two do not fit together, and then the last turns before it that begin within ``history`` tokens and fit the budget:
+    these ``repeated`` turns are masked. ``loss`` has the spans of the assistant's texts that are new, so each is a target once.
 
     The template is ``<|turn|>role<|says|>text<|end|>``; control strings in roles and texts are escaped reversibly.
 
@@ -112,17 +116,28 @@ def format_chats(df: DataFrame, key: str = "conv_id", turn: str = "turn", role:
     offsets = stored(parts.join(F.broadcast(crossing), "conv").withColumns({"t0": F.expr(f"sum(t) {earlier}"), "n0": F.expr(f"sum(n) {earlier}")}).where(
         "t0 IS NOT NULL").select("conv", "part", "t0", "n0"))
     placed = summed.join(F.broadcast(offsets), ["conv", "part"], "left").select(
-        "conv", "role", "text", F.expr("before + coalesce(t0, 0)").alias("before"), F.expr("number + coalesce(n0, 0)").alias("number")).withColumn(
-        "window", F.expr(f"before DIV {budget}"))
-    starts = placed.groupBy("conv", "window").agg(F.min("before").alias("start")).withColumns({
-        "next_window": F.expr("lead(window) OVER (PARTITION BY conv ORDER BY window)"), "next_start": F.expr("lead(start) OVER (PARTITION BY conv ORDER BY window)")})
-    first = placed.where("number = 0 AND role = 'system'")
-    # A turn stands in its own window and, if it begins within the history, in the next one again.
-    seats = placed.join(starts, ["conv", "window"]).withColumn("seat", F.explode(F.expr(
-        f"CASE WHEN next_start - before <= {history} AND NOT (number = 0 AND role = 'system') THEN array(struct(window, 0 AS again), struct(next_window AS window, 1 AS again)) "
-        "ELSE array(struct(window, 0 AS again)) END"))).select("conv", "seat.window", "seat.again", "number", "role", "text")
-    retained = starts.where("start > 0").select("conv", "window").join(first.select("conv", "number", "role", "text"), "conv").select(
-        "conv", "window", F.lit(1).alias("again"), "number", "role", "text")
+        "conv", "role", "text", "tokens", F.expr("before + coalesce(t0, 0)").alias("before"), F.expr("number + coalesce(n0, 0)").alias("number"))
+    system = "(number = 0 AND role = 'system')"
+    # A system turn that fills a budget by itself cannot be retained.
+    systems = stored(placed.where(f"{system} AND tokens < {budget}").select("conv", F.col("tokens").alias("s")))
+    room = f"greatest({budget} - {history} - s, 1)"
+    placed = joined_small(placed, systems, "conv", "left").withColumn("s", F.expr("coalesce(s, 0)")).withColumn(
+        "window", F.expr(f"2 * (before DIV {room}) + CASE WHEN before % {room} + tokens > {room} THEN 1 ELSE 0 END"))
+    starts = placed.groupBy("conv", "window").agg(F.min("before").alias("start"), F.sum("tokens").alias("new"), F.first("s").alias("s")).withColumn(
+        "retains", F.expr(f"start > 0 AND s > 0 AND s + new <= {budget}"))
+    free = f"CASE WHEN start = 0 OR (s > 0 AND NOT retains) THEN 0 ELSE greatest(least({budget} - new - s, {history}), 0) END"
+    starts = stored(starts.withColumn("free", F.expr(free)).select("conv", "window", "start", "retains", "free"))
+    # Windows that a turn is repeated in begin within the history behind it: in its own stretch of that length or the next.
+    step = max(history, 1)
+    begun = starts.where("free > 0").select("conv", F.col("window").alias("later"), "start", "free", F.expr(f"start DIV {step}").alias("stretch"))
+    again = placed.where(f"NOT {system}").select("conv", "number", "before", F.explode(F.expr(
+        f"array(before DIV {step}, before DIV {step} + 1)")).alias("stretch")).join(begun, ["conv", "stretch"]).where(
+        "start > before AND start - before <= free").groupBy("conv", "number").agg(F.collect_list("later").alias("later"))
+    seats = placed.join(again, ["conv", "number"], "left").withColumn("seat", F.explode(F.expr(
+        "concat(array(struct(window, 0 AS again)), transform(coalesce(later, CAST(array() AS ARRAY<BIGINT>)), w -> struct(w AS window, 1 AS again)))"))).select(
+        "conv", "seat.window", "seat.again", "number", "role", "text")
+    first = placed.where(system).select("conv", "number", "role", "text")
+    retained = starts.where("retains").select("conv", "window").join(first, "conv").select("conv", "window", F.lit(1).alias("again"), "number", "role", "text")
     turns = seats.unionByName(retained).repartition("conv", "window").sortWithinPartitions("conv", "window", "number")
     done = turns.mapInArrow(_format, "conv bigint, window bigint, repeated bigint, formatted string, loss array<struct<start: int, end: int>>")
     return done.select(F.expr(f"nullif(conv, {_NULL_CONVERSATION + 1} - 1)").alias(key), "window", "repeated", "formatted", "loss")

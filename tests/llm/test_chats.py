@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 from tallyloom.llm import chats
@@ -42,6 +43,30 @@ def test_round_trip_of_awkward_conversations(spark):
             assert sum(sizes[1:r.repeated]) <= chats.HISTORY
 
 
+def test_every_window_keeps_the_budget(spark):
+    """Random conversations, and sizes around the borders: a window is within the budget or one long turn."""
+    rng = random.Random(3)
+    sizes = {1: [300, 500, 3000, 40, 40], 2: [100, 120, 1, 508, 509, 5, 124, 125], 3: [600, 20, 20, 490, 10], 4: [400, 30, 60, 70, 80, 90, 100, 110] * 6}
+    sizes |= {c: [rng.choice([rng.randrange(1, 30), rng.randrange(1, 200), rng.randrange(300, 700)]) for _ in range(rng.randrange(1, 60))] for c in range(5, 40)}
+    rows = [(c, i, "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2], f"{c}:{i} " + "w " * (n - 1)) for c, own in sizes.items() for i, n in enumerate(own)]
+    windows = chats.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).orderBy("conv_id", "window").collect()
+    fresh = defaultdict(list)
+    for r in windows:
+        turns = chats.read_turns(r.formatted)
+        said = [int(t.split()[0].split(":")[1]) for _, t in turns]
+        tokens = [len(t.split()) + 4 for _, t in turns]
+        assert sum(tokens) <= chats.BUDGET or len(turns) == 1
+        new, old = said[r.repeated:], said[:r.repeated]
+        fresh[r.conv_id] += new
+        assert new == list(range(new[0], new[0] + len(new)))
+        has_system = r.conv_id % 2 == 1
+        if has_system and new[0] and sizes[r.conv_id][0] + 4 + sum(tokens[r.repeated:]) <= chats.BUDGET:
+            assert old[0] == 0 and turns[0][0] == "system"
+        past = [k for k in old if k or not has_system]
+        assert past == list(range(new[0] - len(past), new[0])) and sum(sizes[r.conv_id][k] + 4 for k in past) <= chats.HISTORY
+    assert fresh == {c: list(range(len(own))) for c, own in sizes.items()}
+
+
 def test_long_conversation_is_spread_over_tasks(spark):
     frame = spark.range(4000).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn ', id) AS text")
     row = chats.read_back(chats.format_chats(frame)).first()
