@@ -14,6 +14,7 @@ from ..functions.hashing import id_hash
 from ..functions.scalar import col, linear_score, log_loss, quoted, sigmoid
 from ..sources.shared import new_folder, written
 from .columns import HIGH, LOW, MEAN, per_column
+from .factor import solve_triangle, triangle
 from .gradient import BLOCK_ROWS, BLOCK_SCHEMA, Fit, Model, add_up, fit_models, gram, pack, partitions
 from .ranks import hashes_at
 
@@ -139,15 +140,15 @@ def product_sums(df: DataFrame, features: Sequence[str], target: str) -> tuple[n
 
 
 def least_squares(df: DataFrame, features: Sequence[str], target: str) -> np.ndarray:
-    """Normal equations; the smallest-norm solution when they are singular. Only a d x d system is on the driver."""
-    xtx, xty, _ = product_sums(df, features, target)
-    return np.linalg.lstsq(xtx, xty, rcond=None)[0]
+    """Solved from the table's triangular factor, not from sums of products; the smallest-norm solution when columns depend
+    on each other. Only a (d+1) x (d+1) triangle is on the driver."""
+    return solve_triangle(triangle(df, features, target)[0])
 
 
 def ridge(df: DataFrame, features: Sequence[str], target: str, penalty: float) -> np.ndarray:
     """Least squares with ``penalty * |w|^2`` added to the halved mean squared error."""
-    xtx, xty, n = product_sums(df, features, target)
-    return np.linalg.solve(xtx + 2.0 * n * penalty * np.eye(len(features)), xty)
+    r, n = triangle(df, features, target)
+    return solve_triangle(r, 2.0 * n * penalty)
 
 
 def logistic_family(name: str, gamma: float = 0.1, penalty: float = 1e-3, max_iters: int = 1000,

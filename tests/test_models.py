@@ -108,6 +108,36 @@ def test_singular_least_squares_gives_the_smallest_solution(spark, data):
     np.testing.assert_allclose(linear.least_squares(df, ["a", "twin"], "t"), want, atol=1e-8)
 
 
+@pytest.mark.parametrize("partitions", [1, 5, 20])
+def test_least_squares_of_nearly_dependent_columns(spark, partitions):
+    rng = np.random.default_rng(11)
+    left, right = np.linalg.qr(rng.normal(size=(4000, 6)))[0], np.linalg.qr(rng.normal(size=(6, 6)))[0]
+    x = left @ np.diag(np.logspace(0, -9, 6)) @ right
+    assert np.linalg.cond(x) > 9e8
+    w = np.array([1.0, -2.0, 3.0, 0.5, -1.5, 2.5])
+    y = x @ w
+    names = [f"x{i}" for i in range(6)]
+    df = frame(spark, {**{n: x[:, i].tolist() for i, n in enumerate(names)}, "t": y.tolist()}, partitions)
+    np.testing.assert_allclose(linear.least_squares(df, names, "t"), np.linalg.lstsq(x, y, rcond=None)[0], rtol=1e-6)
+    np.testing.assert_allclose(linear.least_squares(df, names, "t"), w, rtol=1e-6)
+    # Products of these columns have lost the smallest direction altogether.
+    assert np.abs(np.linalg.lstsq(x.T @ x, x.T @ y, rcond=None)[0] - w).max() > 1e-3
+
+
+def test_factors_are_combined_on_executors(spark):
+    from tallyloom.operators import factor
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(300, 3)) * [1.0, 1e9, 1e-9]
+    df = frame(spark, {"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "t": x @ [1.0, 1e-9, 1e9]}, 70)
+    r, rows = factor.triangle(df, ["a", "b", "c"], "t")
+    table = np.c_[x, x @ [1.0, 1e-9, 1e9]]
+    assert rows == 300 and r.shape == (4, 4)
+    np.testing.assert_allclose(r.T @ r, table.T @ table, rtol=1e-9)
+    np.testing.assert_allclose(factor.solve_triangle(r), [1.0, 1e-9, 1e9], rtol=1e-9)
+    empty, none = factor.triangle(df.limit(0), ["a", "b", "c"], "t")
+    assert none == 0 and not empty.any() and not factor.solve_triangle(empty).any() and not factor.solve_triangle(empty, 1.0).any()
+
+
 def test_minibatch_steps(df, data):
     x, y, _ = data
     order = sorted(range(160), key=lambda i: hash_number(i, 1))

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import PRIME, hash_number, id_hash
-from tallyloom.operators.quantiles import exact_quantiles
+from tallyloom.operators.quantiles import SCANS, by_digits, exact_quantiles
 from tallyloom.operators.ranks import bucket_cuts, hash_index, hash_sample, range_index, running_totals
 
 from conftest import frame
@@ -96,3 +96,29 @@ def test_keys_beyond_the_modulus_are_hashed_by_both_words(spark):
     assert sorted(r["count"] for r in folds) == [66, 67, 67]
     far = spark.range(2000).select(draw_position("id", 1, 1 << 40).alias("p")).collect()
     assert abs(sum(r["p"] >= 1 << 39 for r in far) - 1000) < 120
+
+
+def test_digits_find_quantiles_of_awkward_values(spark):
+    tiny = np.nextafter(0, 1)
+    values = [-np.inf, -1e308, -7.0, -1.0, -1.0 - 2**-52, -tiny, -0.0, 0.0, tiny, 5e-310, 1.0, 1.0 + 2**-52, 2.0, 1e308, np.inf, 3.0, 3.0, None, None]
+    df = frame(spark, {"a": values, "none": [None] * len(values), "one": [None] * (len(values) - 1) + [7.25]}, 5)
+    qs = [i / 16 for i in range(17)]
+    got = {r["feature"]: r["quantiles"] for r in by_digits(df, ["a", "none", "one"], qs).collect()}
+    assert got == {"a": sorted(v for v in values if v is not None), "one": [7.25] * 17}
+
+
+@pytest.mark.parametrize("width", [2, 150])
+def test_digits_take_a_fixed_number_of_scans(spark, width):
+    seen = spark.sparkContext.accumulator(0)
+    rows = 120
+    df = frame(spark, {f"c{i}": [float((r * (i + 3)) % 31) / 7 for r in range(rows)] for i in range(width)}, 4)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = df.mapInArrow(passed, df.schema)
+    got = {r["feature"]: r["quantiles"] for r in exact_quantiles(watched, df.columns, [0.25, 0.5], rows, in_task_values=0).collect()}
+    assert seen.value == SCANS * rows
+    assert all(got[f"c{i}"] == pytest.approx(list(np.percentile([float((r * (i + 3)) % 31) / 7 for r in range(rows)], [25, 50]))) for i in range(width))
