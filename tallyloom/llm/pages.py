@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -15,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import read_table
+from .common import read_table, small_batches
 from .registry import query
 
 PAGES_AT_ONCE = 200
-TRAINING_PAGES = 360    # labelled pages that the rule below writes
+CHARS_AT_ONCE = 1 << 22  # of markup whose trees are held together; a longer page is held alone
+TRAINING_PAGES = 600    # labelled pages that the rule below writes
 
 # Element names by their role in the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,6 +34,8 @@ HEAD = set("html head title base basefont bgsound link meta noframes noscript sc
 #: Starting one of these ends an open paragraph.
 ENDS_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
              "main menu nav ol p pre search section summary table ul".split())
+#: An open paragraph outside of these goes on inside them.
+WALLS_OF_P = ("table", "td", "th", "button", "object")
 #: An element ended by the start of one of its own group, up to the given containers.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -43,7 +47,7 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 _TAGS = ["p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "table", "td", "blockquote",
-         "pre", "figure", "figcaption", "body", "html", "fieldset", "menu", "dl", "address", "dialog", "tr"]
+         "pre", "figure", "figcaption", "body", "html", "fieldset", "menu", "dl", "address", "dialog", "tr", "article header", "other article"]
 _CUES = {
     "good": r"article|content|post|entry|main|story|body|text|prose",
     "menu": r"nav|menu|breadcrumb|pagination|toc|skip",
@@ -57,8 +61,11 @@ _CUES = {
 }
 _CUE_PATTERNS = [re.compile(p) for p in _CUES.values()]
 N_ELEMENT = len(_TAGS) + len(_CUES) + 1
-#: Features of text blocks: bias, share of linked words in steps.
-N_TEXT = 4
+#: Word counts from which a text block is of the next step of length.
+LENGTHS = (4, 10, 25)
+#: Features of text blocks: bias, share of linked words in steps, length in steps, whether it ends like a sentence.
+N_TEXT = 5 + len(LENGTHS) + 1
+SENTENCE_ENDS = ".!?:\"\u201d\u3002"
 #: States of a node: outside of either, main text, and what is around it.
 NEUTRAL, CONTENT, CLUTTER = 0, 1, 2
 STATES = 3
@@ -94,12 +101,15 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
     """The page's block elements and, as leaves, its runs of text between block boundaries. Unclosed and stray tags are repaired."""
     dom = dom or Dom()
     stack: list[tuple[str, int]] = []   # open elements; -1 for inline and hidden ones, UNCLOSED for hidden ones without an end tag
+    places: dict[str, list[int]] = {}   # where in the stack the open elements of a name are
+    blocks: list[int] = []              # the nodes of open block elements
+    loose: list[int] = []               # where in the stack the UNCLOSED ones are
     closed: dict[str, set[int]] = {}
     pieces: list[str] = []
     linked = anchors = hidden = 0
 
     def node(leaf, tag, attributes, text, n_linked, label):
-        parent = next((i for _, i in reversed(stack) if i >= 0), -1)
+        parent = blocks[-1] if blocks else -1
         for column, value in ((dom.parent, parent), (dom.leaf, leaf), (dom.tag, tag), (dom.attributes, attributes), (dom.text, text),
                               (dom.linked, n_linked), (dom.label, label if label is not None else (dom.label[parent] if parent >= 0 else 0))):
             column.append(value)
@@ -114,18 +124,33 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
             pieces.clear()
         linked = 0
 
+    def push(tag, index):
+        places.setdefault(tag, []).append(len(stack))
+        if index >= 0:
+            blocks.append(index)
+        elif index == UNCLOSED:
+            loose.append(len(stack))
+        stack.append((tag, index))
+
     def pop():
         nonlocal anchors, hidden
-        tag, index = stack.pop()
+        tag, index = stack[-1]
         if index >= 0:
-            flush_before_pop(tag, index)
+            flush()
+            blocks.pop()
+        elif index == UNCLOSED:
+            loose.pop()
+        stack.pop()
+        places[tag].pop()
         anchors -= tag == "a"
         hidden -= tag in HIDDEN
 
-    def flush_before_pop(tag, index):
-        stack.append((tag, index))
-        flush()
-        stack.pop()
+    def cut_to(size):
+        while len(stack) > size:
+            pop()
+
+    def last(names):
+        return max((places[t][-1] for t in names if places.get(t)), default=-1)
 
     at, end = 0, len(page)
     while at < end:
@@ -146,38 +171,25 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
             continue
         tag = tag.lower()
         if m[1]:
-            if any(t == tag for t, _ in stack):
-                while True:
-                    done = stack[-1][0] == tag
-                    pop()
-                    if done:
-                        break
+            if places.get(tag):
+                cut_to(places[tag][-1])
             elif tag not in INLINE:
                 flush()
             continue
         if hidden:
             # The head ends where something starts that cannot stand in it, a hidden element without an end tag at the next block.
-            cut = next((i for i, (t, index) in enumerate(stack) if t == "head" and tag not in HEAD or index == UNCLOSED and tag in ENDS_HIDDEN), None)
-            if cut is not None:
-                while len(stack) > cut:
-                    pop()
-        if tag in ENDS_P and any(t == "p" for t, _ in stack):
+            cuts = ([places["head"][0]] if places.get("head") and tag not in HEAD else []) + ([loose[0]] if loose and tag in ENDS_HIDDEN else [])
+            if cuts:
+                cut_to(min(cuts))
+        if tag in ENDS_P and places.get("p") and last(WALLS_OF_P) < places["p"][-1]:
             # A paragraph ends with whatever is open inside it, unless a container came between.
-            k = max(i for i, (t, _) in enumerate(stack) if t == "p")
-            if not any(t in ("table", "td", "th", "button", "object") for t, _ in stack[k:]):
-                while len(stack) > k:
-                    pop()
+            cut_to(places["p"][-1])
         if tag in SIBLINGS:
             own, walls = SIBLINGS[tag]
-            k = len(stack) - 1
-            cut = None
-            while k >= 0 and stack[k][0] not in walls:
-                if stack[k][0] in own:
-                    cut = k
-                k -= 1
-            if cut is not None:
-                while len(stack) > cut:
-                    pop()
+            wall = last(walls)
+            inside = [places[t][k] for t in own if places.get(t) and (k := bisect_right(places[t], wall)) < len(places[t])]
+            if inside:
+                cut_to(min(inside))
         if tag in ("br", "hr"):
             if tag == "hr":
                 flush()
@@ -194,24 +206,24 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
             hidden += 1
             if close or tag not in ("noscript", "template"):
                 at = close.start() if close else end
-                stack.append((tag, -1))
+                push(tag, -1)
             else:
-                stack.append((tag, UNCLOSED))
+                push(tag, UNCLOSED)
             continue
         if tag in HIDDEN:
             hidden += 1
             if tag not in closed:
                 closed[tag] = closed_starts(page, tag)
-            stack.append((tag, -1 if begin in closed[tag] or tag == "head" else UNCLOSED))
+            push(tag, -1 if begin in closed[tag] or tag == "head" else UNCLOSED)
         elif tag in INLINE:
             anchors += tag == "a"
-            stack.append((tag, -1))
+            push(tag, -1)
         else:
             flush()
             given = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(rest)} if rest else {}
             label = int(given["data-y"]) if labelled and "data-y" in given else None
             cues = " ".join(v for k, v in given.items() if k != "data-y").lower()
-            stack.append((tag, node(False, tag, cues, "", 0, label)))
+            push(tag, node(False, "article header" if tag == "header" and places.get("article") else tag, cues, "", 0, label))
     while stack:
         pop()
     flush()
@@ -220,17 +232,17 @@ def parse(page: str, dom: Dom | None = None, labelled: bool = False) -> Dom:
 
 @lru_cache(maxsize=20_000)
 def _element_features(tag: str, attributes: str) -> tuple[int, ...]:
-    found = [0]
-    if tag in _TAGS:
-        found.append(1 + _TAGS.index(tag))
-    if attributes:
-        found += [1 + len(_TAGS) + i for i, p in enumerate(_CUE_PATTERNS) if p.search(attributes)]
-    return tuple(found)
+    cues = [i for i, p in enumerate(_CUE_PATTERNS) if p.search(attributes)] if attributes else []
+    if tag == "article" and any(i for i in cues):
+        tag = "other article"  # a comment, a teaser: what it is called counts, not that it is an article
+    return (0, *([1 + _TAGS.index(tag)] if tag in _TAGS else []), *(1 + len(_TAGS) + i for i in cues))
 
 
 def _text_features(text: str, linked: int) -> tuple[int, ...]:
-    share = linked / (text.count(" ") + 1)
-    return N_ELEMENT, N_ELEMENT + 1 + (share > 0.2) + (share > 0.8)
+    words = text.count(" ") + 1
+    share = linked / words
+    length = N_ELEMENT + 4 + bisect_right(LENGTHS, words)
+    return (N_ELEMENT, N_ELEMENT + 1 + (share > 0.2) + (share > 0.8), length, *([N_ELEMENT + 5 + len(LENGTHS)] if text[-1] in SENTENCE_ENDS else []))
 
 
 class Forest:
@@ -291,7 +303,7 @@ def marginals(model: Model, forest: Forest):
     return p / p.sum(1, keepdims=True) if n else p, expected
 
 
-def train(doms: list[Dom], rounds: int = 250, rate: float = 0.1, penalty: float = 0.1) -> Model:
+def train(doms: list[Dom], rounds: int = 400, rate: float = 0.1, penalty: float = 0.1) -> Model:
     """Maximum likelihood with a Gaussian prior, by Adam on exact marginals."""
     forest = Forest(doms)
     model = Model(np.zeros((N_ELEMENT + N_TEXT, STATES)), np.zeros((2, STATES, STATES)))
@@ -312,22 +324,29 @@ def train(doms: list[Dom], rounds: int = 250, rate: float = 0.1, penalty: float
     return model
 
 
+#: Boxes of main text whose names tell what they hold; others are told by their text.
+NAMED_WRAPS = ("div id=content", "div class=post-body", "div class='article-text'", "div id=main")
+
+
 def labelled_pages(n: int = TRAINING_PAGES, seed: int = 21) -> list[str]:
     """Pages of varied layout; ``data-y`` has an element's state, which its descendants inherit."""
     rng = random.Random(seed)
 
     def words(low, high):
         text = " ".join("".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(low, high)))
-        return text + rng.choice([".", ".", "", "!"])
+        return text + (rng.choice(".!?") if rng.random() < (0.9 if low >= 10 else 0.3) else "")
 
-    def paragraph():
-        return words(*rng.choice([(1, 2), (3, 12), (10, 60), (30, 80)]))
+    def paragraph(lengths=((1, 2), (3, 12), (10, 60), (30, 80))):
+        return words(*rng.choice(lengths))
 
     def links(tag="li"):
         return "".join(f"<{tag}><a href='#'>{words(1, 3)}</a></{tag}>" for _ in range(rng.randint(2, 6)))
 
+    def plain():
+        return rng.choice("bcrxz") + rng.choice(["-", "", "_"]) + str(rng.randint(1, 99))
+
     def junk():
-        kind = rng.choice(["nav", "header", "footer", "aside", "ad", "notice", "form", "talk", "share"])
+        kind = rng.choice(["nav", "header", "footer", "aside", "ad", "notice", "form", "talk", "reply", "share", "bare"])
         few = "".join(f"<p>{paragraph()}</p>" for _ in range(rng.randint(1, 3)))
         loose = rng.choice([paragraph(), few])
         if kind == "nav":
@@ -341,7 +360,7 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 21) -> list[str]:
         if kind == "aside":
             return rng.choice([f"<aside data-y=2>{loose}</aside>", f"<div data-y=2 class='{rng.choice(['sidebar', 'widget', 'related', 'recommended'])}'><h3>{words(1, 3)}</h3>{loose}</div>"])
         if kind == "ad":
-            return f"<{rng.choice(['div', 'section', 'aside'])} data-y=2 class='{rng.choice(['ad', 'ads', 'advert', 'ad-box', 'sponsored', 'promo', 'top-ad'])}'>{loose}</div>"
+            return f"<{(box := rng.choice(['div', 'section', 'aside']))} data-y=2 class='{rng.choice(['ad', 'ads', 'advert', 'ad-box', 'sponsored', 'promo', 'top-ad'])}'>{loose}</{box}>"
         if kind == "notice":
             return f"<div data-y=2 {rng.choice(['class', 'id'])}='{rng.choice(['cookie', 'cookie-notice', 'consent', 'notice', 'alert', 'newsletter', 'popup'])}'>{loose}</div>"
         if kind == "form":
@@ -349,34 +368,52 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 21) -> list[str]:
                                f"<form data-y=2 class='{rng.choice(['search', 'login', ''])}'>{words(1, 4)}<button>{words(1, 1)}</button></form>"])
         if kind == "talk":
             tag = rng.choice(["section", "div", "ol"])
-            inner = "".join(f"<{rng.choice(['div', 'li', 'article'])} class='{rng.choice(['comment', 'reply', ''])}'><p>{paragraph()}</p></div>" for _ in range(rng.randint(1, 4)))
+            inner = "".join(f"<{(box := rng.choice(['div', 'li', 'article']))} class='{rng.choice(['comment', 'reply', *([''] if box != 'article' else [])])}'><p>{paragraph()}</p></{box}>"
+                            for _ in range(rng.randint(1, 4)))
             return f"<{tag} data-y=2 {rng.choice(['class', 'id'])}='{rng.choice(['comments', 'comment-list', 'discussion', 'responses reply', 'reactions'])}'><h3>{words(1, 3)}</h3>{inner}</{tag}>"
+        if kind == "reply":
+            return "".join(f"<article data-y=2 class='{rng.choice(['comment', 'reply', 'comment user', 'user-comment'])}'>{few}</article>" for _ in range(rng.randint(1, 3)))
+        if kind == "bare":
+            box = rng.choice(["div", f"div class={plain()}"])
+            return rng.choice([f"<{box} data-y=2>{links('span')}</div>", f"<{box} data-y=2>{words(1, 3)}</div>", f"<{box} data-y=2><ul>{links()}</ul></div>"])
         return f"<div data-y=2 class='{rng.choice(['share', 'social', 'tags', 'follow-us'])}'>{links('span')}</div>"
 
-    def content():
+    def content(lengths):
         kind = rng.random()
+        if kind < 0.03:
+            return f"<p><a href='#'>{paragraph(lengths)}</a></p>"
+        if kind < 0.09:
+            return rng.choice([paragraph(lengths), f"<div>{paragraph(lengths)}</div>", f"<div><div><p>{paragraph(lengths)}</p></div></div>"])
         if kind < 0.66:
-            return f"<p>{'<b>' if rng.random() < 0.2 else ''}{paragraph()}{rng.choice(['', '', '<br>'])}{rng.choice(['</p>', '</p>', ''])}"
+            return f"<p>{'<b>' if rng.random() < 0.2 else ''}{paragraph(lengths)}{rng.choice(['', '', '<br>'])}{rng.choice(['</p>', '</p>', ''])}"
         if kind < 0.76:
             return f"<{(h := rng.choice(['h2', 'h3']))}>{words(1, 8)}</{h}>"
         if kind < 0.83:
-            return f"<{(g := rng.choice(['ul', 'ol']))}>" + "".join(f"<li>{paragraph()}</li>" for _ in range(rng.randint(1, 4))) + f"</{g}>"
+            return f"<{(g := rng.choice(['ul', 'ol']))}>" + "".join(f"<li>{paragraph(lengths)}</li>" for _ in range(rng.randint(1, 4))) + f"</{g}>"
         if kind < 0.88:
-            return f"<blockquote>{paragraph()}</blockquote>"
+            return f"<blockquote>{paragraph(lengths)}</blockquote>"
         if kind < 0.91:
-            return f"<pre>{paragraph()}</pre>"
+            return f"<pre>{paragraph(lengths)}</pre>"
         if kind < 0.94:
             return "<table>" + "".join(f"<tr><td>{words(1, 3)}</td><td>{words(1, 9)}</td></tr>" for _ in range(2)) + "</table>"
         if kind < 0.97:
-            return f"<figure><img src=x><figcaption>{paragraph()}</figcaption></figure>"
-        return f"<{(d := rng.choice(['div', 'section']))}><p>{paragraph()}</p><p>{paragraph()}</p></{d}>"
+            return f"<figure><img src=x><figcaption>{paragraph(lengths)}</figcaption></figure>"
+        return f"<{(d := rng.choice(['div', 'section']))}><p>{paragraph(lengths)}</p><p>{paragraph(lengths)}</p></{d}>"
 
     pages = []
     for _ in range(n):
-        wrap = rng.choice(["article", "article", "main", "div id=content", "div class=post-body", "section class=entry", "div class='article-text'", "div id=main", "body", "body"])
-        inner = [content() for _ in range(rng.randint(1, 12))]
+        wrap = rng.choice(["article", "article", "main", "div id=content", "div class=post-body", "section class=entry", "div class='article-text'", "div id=main", "body", "body",
+                           "div", "div", f"div class={plain()}", f"div class={plain()}"])
+        bare = wrap.split()[0] == "div" and wrap not in NAMED_WRAPS
+        lengths = rng.choice([((1, 2),), *[((1, 2), (3, 12), (10, 60), (30, 80))] * 3]) if not bare else ((3, 12), (10, 60), (30, 80))
+        inner = [content(lengths) for _ in range(rng.randint(1, 3 if len(lengths) == 1 else 12))]
+        if bare:
+            inner.append(f"<p>{words(10, 60)}</p>")
         if rng.random() < 0.8:
-            inner.insert(0, f"<h1>{words(2, 10)}</h1>")
+            title = f"<h1>{words(2, 10)}</h1>"
+            if wrap == "article" and rng.random() < 0.3:
+                title = f"<header>{title}{rng.choice(['', f'<p>{paragraph(lengths)}</p>'])}</header>"
+            inner.insert(0, title)
         for _ in range(rng.choice([0, 0, 1, 2])):
             inner.insert(rng.randint(0, len(inner)), junk())
         before, after = ("".join(junk() for _ in range(rng.randint(0, 3))) for _ in range(2))
@@ -384,9 +421,18 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 21) -> list[str]:
             pages.append(f"<html data-y=0><head><title>{words(1, 5)}</title></head><body data-y=1>{before}{''.join(inner)}{after}</body></html>")
         else:
             name = wrap.split()[0]
-            body = f"{before}<{wrap} data-y=1>{''.join(inner)}</{name}>{after}"
+            depth = rng.choice([1, 2, 4]) if rng.random() < 0.15 else 0
+            inner = ["<div>" * depth, *inner, "</div>" * depth]
+            body = f"<{wrap} data-y=1>{''.join(inner)}</{name}>"
+            if bare and rng.random() < 0.5:
+                body = f"<div data-y=1 class={plain()}>{body}</div>"
+            body = f"{before}{body}{after}"
             if rng.random() < 0.3:
                 body = f"<div data-y=0 class='{rng.choice(['wrapper', 'container', 'page', 'row'])}'>{body}</div>"
+            if rng.random() < 0.25:
+                # Fragments stand without a body.
+                pages.append(body if rng.random() < 0.5 else f"<{wrap} data-y=1>{''.join(inner)}")
+                continue
             pages.append(f"<!DOCTYPE html><html data-y=0><head><title>{words(1, 5)}</title><style>p{{}}</style></head><body data-y=0>{body}</body></html>")
     return pages
 
@@ -403,10 +449,15 @@ def extract(model: Model, pages: list[str]) -> list[str]:
 def _extractor(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
-                part = batch.slice(start, PAGES_AT_ONCE)
-                texts = extract(shared.value, [p or "" for p in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+            start = 0
+            while start < batch.num_rows:
+                pages, chars = [], 0
+                while start + len(pages) < batch.num_rows and len(pages) < PAGES_AT_ONCE and chars < CHARS_AT_ONCE:
+                    pages.append(batch.column(1)[start + len(pages)].as_py() or "")
+                    chars += len(pages[-1])
+                texts = extract(shared.value, pages)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(pages)), pa.array(texts, pa.string())], names=["row", "text"])
+                start += len(pages)
     return run
 
 
@@ -422,6 +473,7 @@ def main_text(df: DataFrame, key: str = "page_id", html: str = "html", keep: tup
     Null and empty pages, and pages without text, give an empty text; broken markup is repaired as it is met; null keys and
     repeated rows are extracted each; an empty table gives an empty result; other columns are ignored.
     """
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(train([parse(p, labelled=True) for p in labelled_pages()]))
     pages = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(html).cast("string").alias("html"))
     kind = StructType([pages.schema["row"], *StructType.fromDDL("text string")])

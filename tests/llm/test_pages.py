@@ -1,6 +1,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -69,6 +70,34 @@ def test_hidden_elements_without_an_end(model, page):
     assert pages.extract(model, [page]) == ["One\nTwo"]
 
 
+TWO = "<p>The first of them has a good many words, and it ends as sentences do.</p><p>So does the second one, which is not short either; it says more.</p>"
+SAID = "The first of them has a good many words, and it ends as sentences do.\nSo does the second one, which is not short either; it says more."
+UNMARKED = [
+    f'<html><body><nav><a href=x>Home</a></nav><div class="c-12"><div class="x9">{TWO}</div></div><footer>Legal notes</footer></body></html>',
+    f"<html><body><header><h1>Site</h1></header><div>{TWO}</div><footer><p>All rights are reserved by the owners of this site.</p></footer></body></html>",
+    f'<html><body><article>{TWO}</article><article class="comment"><p>I do not agree with what is said above, not at all.</p></article></body></html>',
+    f'<html><body><div class="row"><div class="c1">{TWO}</div><div class="c2"><a href=x>More</a> <a href=y>News</a></div></div></body></html>',
+]
+
+
+@pytest.mark.parametrize("page", UNMARKED)
+def test_text_in_unmarked_boxes(model, page):
+    assert pages.extract(model, [page]) == [SAID]
+
+
+def test_links_and_headings_of_an_article(model):
+    page = f"<html><body><article><header><h1>What they say</h1></header>{TWO}<p><a href=x>The whole report can be read here.</a></p></article></body></html>"
+    assert pages.extract(model, [page]) == [f"What they say\n{SAID}\nThe whole report can be read here."]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 60_000 + "x", "<b>" * 20_000 + "</i></div>" * 20_000 + "x", "<div>" * 20_000 + "<li>x" * 20_000, "<select>" * 5_000 + "<p>x" * 20_000,
+                                  "<svg>" * 20_000 + "<p>y</p>" * 20_000 + "</svg>" * 20_000 + "x", "<p><table>" * 10_000 + "<p>x" * 10_000])
+def test_parsing_takes_time_in_proportion(page):
+    start = time.process_time()
+    assert any("x" in t for t in pages.parse(page).text)
+    assert time.process_time() - start < 5
+
+
 def test_text_ends_the_head():
     assert pages.parse("<head><title>x</title>Straight text").text[-1] == "Straight text"
 
