@@ -62,14 +62,47 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: Matches whose offsets are added up together, and characters of text whose spans are compared together.
+STRETCH, WINDOW = 512, 8192
+
+
+def _with(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _offsets(widths: str) -> str:
+    """SQL for the sums of the widths before each: of whole stretches first, then inside them, so no list grows longer than a stretch."""
+    grown = "named_struct('at', {at}, 'list', CAST(array() AS ARRAY<INT>)), (a, {v}) -> named_struct('at', a.at + {add}, 'list', concat(a.list, array(a.at))), a -> a.list"
+    part = f"slice(w, CAST(k AS INT) * {STRETCH} + 1, {STRETCH})"
+    stretches = (f"aggregate(sequence(0, CAST((size(w) - 1) DIV {STRETCH} AS INT)), "
+                 + grown.format(at="0", v="k", add=f"aggregate({part}, 0, (x, y) -> x + y)") + ")")
+    inside = f"flatten(transform({stretches}, (o, k) -> aggregate({part}, {grown.format(at='o', v='y', add='y')})))"
+    return _with(widths, "w", inside)
+
+
 def _spans(matches: str, gaps: str, kind: str, base: bool) -> str:
     """SQL for the spans of one pattern: offsets are running sums of the gaps and matches before each."""
-    starts = (f"aggregate(sequence(0, size({matches}) - 1), named_struct('at', 0, 'starts', CAST(array() AS ARRAY<INT>)), "
-              f"(a, i) -> named_struct('at', a.at + length({gaps}[i]) + length({matches}[i]), 'starts', concat(a.starts, array(a.at + length({gaps}[i])))), "
-              "a -> a.starts)")
+    widths = f"transform({matches}, (m, i) -> length({gaps}[i]) + length(m))"
     return (f"CASE WHEN size({matches}) = 0 THEN CAST(array() AS ARRAY<STRUCT<rank: INT, start: INT, `end`: INT, kind: STRING, value: STRING, base: BOOLEAN>>) "
-            f"ELSE transform({starts}, (s, i) -> struct({KINDS.index(kind)} AS rank, s AS start, s + length({matches}[i]) AS `end`, '{kind}' AS kind, "
-            f"{matches}[i] AS value, {'true' if base else 'false'} AS base)) END")
+            f"ELSE transform({_offsets(widths)}, (s, i) -> struct({KINDS.index(kind)} AS rank, s + length({gaps}[i]) AS start, "
+            f"s + length({gaps}[i]) + length({matches}[i]) AS `end`, '{kind}' AS kind, {matches}[i] AS value, {'true' if base else 'false'} AS base)) END")
+
+
+def _near(spans: str) -> str:
+    """SQL for those of ``spans`` that the spans ``mine``, which start in window ``v``, may meet."""
+    return f"filter({spans}, b -> b.`end` > v * {WINDOW} AND b.start < coalesce(array_max(transform(mine, c -> c.`end`)), 0))"
+
+
+def _apart() -> str:
+    """SQL for the spans of ``found`` that meet none of ``base``, with the text before them, window by window of the text."""
+    inside = f"filter(z.found, c -> c.start DIV {WINDOW} = v)"
+    first = f"greatest(v * {WINDOW} - {CONTEXT}, 0)"
+    before = f"substr(stretch, greatest(c.start - {CONTEXT}, 0) - {first} + 1, least(c.start, {CONTEXT}))"
+    kept = (f"transform(filter(mine, c -> NOT exists(near, b -> b.start < c.`end` AND c.start < b.`end`)), "
+            f"c -> struct(c.rank, c.start, c.`end`, c.kind, c.value, {before} AS before))")
+    window = _with(inside, "mine", _with(_near("z.base"), "near", _with(f"substr(z.text, {first} + 1, {WINDOW + CONTEXT})", "stretch", kept)))
+    return _with("struct(base, found, text)", "z", f"flatten(transform(sequence(0, CAST(length(z.text) DIV {WINDOW} AS INT)), v -> {window}))")
 
 
 _KEEP = {
@@ -102,9 +135,8 @@ def candidates(docs: DataFrame) -> DataFrame:
                 f"CASE WHEN size({name}_{kind}) > 0 THEN split(text, {_quoted(pattern)}, -1) END"))
     base = ", ".join(f"filter({_spans(f'b_{k}', f'b_{k}_gaps', k, True)}, c -> {_KEEP[k]})" for k in BASE)
     more = ", ".join(f"filter({_spans(f'm_{k}', f'm_{k}_gaps', k, False)}, c -> {_PLAUSIBLE[k]})" for k in MORE)
-    context = (f"c -> struct(c.rank, c.start, c.`end`, c.kind, c.value, substr(text, greatest(c.start - {CONTEXT}, 0) + 1, least(c.start, {CONTEXT})) AS before)")
     return found.select(*docs.columns, F.expr(f"concat({base})").alias("base"), F.expr(f"concat({more})").alias("found")).withColumn(
-        "more", F.expr(f"transform(filter(found, c -> NOT exists(base, b -> b.start < c.`end` AND c.start < b.`end`)), {context})")).drop("found")
+        "more", F.expr(_apart())).drop("found")
 
 
 def labelled_lines(seed: int = 13, rounds: int = 60) -> list[tuple[str, str, int]]:
@@ -241,7 +273,10 @@ def find_pii(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     cut = "CASE s.kind " + " ".join(f"WHEN '{k}' THEN {v!r}D" for k, v in cuts.items()) + " END"
     rows = rows.withColumn("passed", F.expr(f"filter(scored, s -> s.score >= {cut})"))
     better = "(b.score > s.score OR (b.score = s.score AND (b.rank < s.rank OR (b.rank = s.rank AND b.start < s.start))))"
-    added = f"array_sort(filter(passed, s -> NOT exists(passed, b -> b.start < s.`end` AND s.start < b.`end` AND {better})))"
+    best = f"filter(mine, s -> NOT exists(near, b -> b.start < s.`end` AND s.start < b.`end` AND {better}))"
+    added = _with("passed", "z", f"flatten(transform(sequence(0, CAST(coalesce(array_max(transform(z, s -> s.`end`)), 0) DIV {WINDOW} AS INT)), v -> "
+                  + _with(f"filter(z, s -> s.start DIV {WINDOW} = v)", "mine", _with(_near("z"), "near", best)) + "))")
+    added = f"array_sort({added})"
     return rows.select(F.col("id").alias(key), "base", F.expr(added).alias("added"))
 
 

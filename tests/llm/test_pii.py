@@ -63,3 +63,16 @@ def test_trees_as_sql_and_added_spans(spark):
 
 def test_empty(documents):
     assert pii.find_pii(documents[0].limit(0)).collect() == []
+
+
+def test_long_texts_over_many_windows(spark):
+    """Spans of a text of many windows are those of its parts, moved; some lie across a window's border."""
+    part = "Call 555-123-4567 or +44 20 7946 0958, card 4111 1111 1111 1111, token=abc123def456ghi789, mail x@y.de é 10.1.2.3 😀 and write to a at b dot com.\n"
+    size, times = len(part), 2 * pii.STRETCH
+    assert size * times > 10 * pii.WINDOW and pii.WINDOW % size
+    docs = spark.createDataFrame([(1, part * 3), (2, part * times)], "doc_id bigint, text string")
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in [*r.base, *r.added]] for r in pii.find_pii(docs).collect()}
+    middle = [(k, a - size, b - size) for k, a, b in found[1] if size <= a < 2 * size]
+    assert {"email", "ip", "card", "phone"} <= {k for k, _, _ in middle}
+    inner = [(k, a, b) for k, a, b in found[2] if size <= a < size * (times - 1)]
+    assert sorted(inner) == sorted((k, a + size * i, b + size * i) for i in range(1, times - 1) for k, a, b in middle)
