@@ -26,8 +26,9 @@ MISSING = "count_if({c} IS NULL)"
 MISSING_SHARE = "avg(CASE WHEN {c} IS NULL THEN 1D ELSE 0D END)"
 WHOLE = "bool_and({c} % 1 = 0)"
 LOW, HIGH, MEAN, STD, KNOWN = "min({c})", "max({c})", "avg({c})", "stddev_pop({c})", "count({c})"
-# A value within a ten-thousandth of the median's rank: the majority value, if the column has one.
-MEDIAN_SKETCH = "percentile_approx(CAST({c} AS DOUBLE), 0.5D, 10000)"
+# The most frequent value, if it holds more than half of all rows by 0.002; else any value or null. Merged sketches stay as short
+# as one task's, where quantile sketches grow with every merge. Adding zero makes -0.0 and 0.0 one value.
+MAJORITY_VALUE = "try_element_at(approx_top_k(CAST({c} AS DOUBLE) + 0D, 1, 1000), 1).item"
 
 
 def per_column(df: DataFrame, features: Sequence[str], measures: Mapping[str, str],

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col, number, quoted, text
 from .columns import (
-    BATCH, HIGH, LOW, MEAN, MEDIAN_SKETCH, MISSING, MISSING_SHARE, STD, distinct_counts, per_column, value_counts,
+    BATCH, HIGH, LOW, MAJORITY_VALUE, MEAN, MISSING, MISSING_SHARE, STD, distinct_counts, per_column, value_counts,
 )
 from .quantiles import IN_TASK_VALUES, exact_quantiles
 
-# Above this share a most frequent value is certain to be what a median sketch returns.
+# Above this share a most frequent value is certain to be the one that the sketch returns.
 MAJORITY = 0.51
 
 MISSING_EDGES = (0.0, 0.05, 0.2, 0.5, 1.0)
@@ -73,11 +73,11 @@ def constant_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def top_value_shares(df: DataFrame, features: Sequence[str], threshold: float) -> DataFrame:
     """``feature, value, share`` of the features whose most frequent value reaches the threshold.
 
-    The share is of all rows, missing ones too. A value held by more than half of the rows is the median, so for such
-    thresholds two column scans (sketch the median, count the rows equal to it) replace the count of every value.
+    The share is of all rows, missing ones too. A value held by more than half of the rows is what a short sketch finds, so for
+    such thresholds two column scans (sketch, count the rows equal to its value) replace the count of every value.
     """
     if threshold > MAJORITY:
-        sketch = per_column(df, features, {"value": MEDIAN_SKETCH})
+        sketch = per_column(df, features, {"value": MAJORITY_VALUE})
         candidate = {r["feature"]: r["value"] for r in sketch.collect()}
         known = {f: v for f, v in candidate.items() if v is not None}
         if not known:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col, number, quoted
 from ..operators.balance import oversample
-from ..operators.columns import HIGH, KNOWN, LOW, MEAN, MEDIAN_SKETCH, ROWS, STD, per_column, value_counts
+from ..operators.columns import HIGH, KNOWN, LOW, MAJORITY_VALUE, MEAN, ROWS, STD, per_column, value_counts
 from ..operators.encode import (
     OneHotSpec, TargetSpec, collect_one_hot, fit_one_hot, fit_target_encoding, impute_counts, one_hot_columns,
     target_encoded,
@@ -158,7 +158,7 @@ def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset:
     if preset.low_variance is not None:
         flat = {f for f in features if facts[f]["known"] and facts[f]["low"] == facts[f]["high"]}
         if preset.low_variance > MAJORITY:
-            asked = [f for f in features if f not in flat and facts[f]["known"]
+            asked = [f for f in features if f not in flat and facts[f]["known"] and facts[f]["majority"] is not None
                      and facts[f]["known"] >= preset.low_variance * facts[f]["rows"]]
         else:
             flat |= set(low_variance_features(df, features, preset.low_variance))
@@ -166,7 +166,7 @@ def _flat_and_equal(df: DataFrame, features: Sequence[str], facts: dict, preset:
         groups = print_groups({f: facts[f]["print"] for f in features if f not in flat})
     if asked or groups:
         pairs = first_pairs(groups)
-        checks = ([f"count_if(CAST({quoted(f)} AS DOUBLE) = {number(facts[f]['middle'])}) AS a{i}" for i, f in enumerate(asked)]
+        checks = ([f"count_if(CAST({quoted(f)} AS DOUBLE) = {number(facts[f]['majority'])}) AS a{i}" for i, f in enumerate(asked)]
                   + [f"{unequal_rows(a, b)} AS p{i}" for i, (a, b) in enumerate(pairs)])
         found = list(df.selectExpr(*checks).first())
         flat |= {f for f, n in zip(asked, found) if n / facts[f]["rows"] >= preset.low_variance}
@@ -187,6 +187,16 @@ def held(train: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
         narrow.unpersist()
 
 
+@contextmanager
+def stored_counts(counts: DataFrame) -> Iterator[DataFrame]:
+    """Value counts, taken once for all their uses in a fit and given back at its end."""
+    kept = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[str], preset: Preset,
                label: str = "y", key: str = "id") -> PreparedState:
     """Drop, impute, scale and target-encode: learn every step from the training rows.
@@ -206,7 +216,7 @@ def _fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[
     if preset.low_variance is not None:
         extra.update({"low": LOW, "high": HIGH})
         if preset.low_variance > MAJORITY:
-            extra["middle"] = MEDIAN_SKETCH
+            extra["majority"] = MAJORITY_VALUE
     if preset.deduplicate:
         extra["print"] = column_print(key)
     facts = _facts(train, features, label, extra)
@@ -230,12 +240,13 @@ def _fit_preset(train: DataFrame, features: Sequence[str], continuous: Sequence[
             state.fill.update({f: facts[f]["mean"] if facts[f]["known"] else 0.0 for f in state.continuous})
         state.scale = {f: _filled_moments(facts[f], state.fill[f]) for f in state.continuous}
     if state.categorical:
-        counts = value_counts(train, state.categorical, label)
-        modes = counts.groupBy("feature").agg(F.coalesce(F.max_by("value", F.when(
-            F.col("value").isNotNull(), F.struct("n", -F.col("value")))), F.lit(0.0)).alias("fill"))
-        spec = fit_target_encoding(impute_counts(counts), state.global_mean, preset.min_count, preset.max_categories,
-                                   preset.smoothing)
-        for r in spec.join(modes, "feature").orderBy("feature", "place").collect():
+        with stored_counts(value_counts(train, state.categorical, label)) as counts:
+            modes = counts.groupBy("feature").agg(F.coalesce(F.max_by("value", F.when(
+                F.col("value").isNotNull(), F.struct("n", -F.col("value")))), F.lit(0.0)).alias("fill"))
+            spec = fit_target_encoding(impute_counts(counts), state.global_mean, preset.min_count, preset.max_categories,
+                                       preset.smoothing)
+            found = spec.join(modes, "feature").orderBy("feature", "place").collect()
+        for r in found:
             state.fill[r["feature"]] = r["fill"]
             t = state.target.setdefault(r["feature"], TargetSpec())
             if r["place"] == 0:

@@ -243,3 +243,41 @@ def test_level_round_trip(spark, orders, kind):
     assert again == state and a.count() == ready.count()
     x = held.select("id", F.round("totalprice", 6).alias("t")).orderBy("id").collect()
     assert [tuple(r) for r in b.select("id", "totalprice").orderBy("id").collect()] == [tuple(r) for r in x]
+
+
+def test_a_fit_counts_values_once(spark, orders, monkeypatch):
+    """The counts' rows pass a counter; every further use of them in the fit must read them, not count again."""
+    from tallyloom.catalog.base import FEATURES
+    from tallyloom.operators.columns import value_counts
+    seen = spark.sparkContext.accumulator(0)
+    made = []
+
+    def counted(df, features, label=None):
+        counts = value_counts(df, features, label)
+
+        def passing(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        made.append(counts)
+        return counts.mapInArrow(passing, counts.schema)
+
+    plain = levels.fit_preset(orders, FEATURES, ["totalprice"], levels.LEVELS["level2"])
+    monkeypatch.setattr(levels, "value_counts", counted)
+    state = levels.fit_preset(orders, FEATURES, ["totalprice"], levels.LEVELS["level2"])
+    assert seen.value == made[0].count() > 0
+    assert state.target == plain.target and state.fill == plain.fill
+
+
+def test_majority_of_many_tasks(spark):
+    """Found from sketches that do not grow as they are merged; zero of either sign is one value, and missing cells count."""
+    from tallyloom.operators.columns import MAJORITY_VALUE, per_column
+    df = spark.range(0, 60_000, 1, 300).selectExpr(
+        "CASE WHEN id % 100 < 53 THEN 7D ELSE CAST(id AS DOUBLE) END AS often", "CASE WHEN id % 2 = 0 THEN 0D WHEN id % 20 > 1 THEN -0D ELSE id / 3D END AS zero",
+        "CASE WHEN id < 40000 THEN CAST('NaN' AS DOUBLE) ELSE CAST(id AS DOUBLE) END AS nan", "CASE WHEN id % 10 = 0 THEN 1D END AS gaps")
+    found = {r["feature"]: r["value"] for r in per_column(df, df.columns, {"value": MAJORITY_VALUE}).collect()}
+    assert found["often"] == 7 and found["zero"] == 0 and found["nan"] != found["nan"] and found["gaps"] is None
+    assert per_column(df.where("false"), ["often"], {"value": MAJORITY_VALUE}).first()["value"] is None
+    sizes = df.groupBy(F.expr("spark_partition_id() % 2")).agg(F.expr("length(approx_top_k_accumulate(often, 1000).sketch)").alias("n")).collect()
+    assert all(r["n"] < 60_000 for r in sizes)
