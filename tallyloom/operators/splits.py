@@ -236,6 +236,15 @@ def advancer(width: int, draws: int, trees: int, feature: np.ndarray, at: np.nda
     return advance
 
 
+def chained(*steps):
+    """Several functions on batches as one, so that a task needs one Python worker for them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+    return run
+
+
 def chunker(width: int, draws: int, features: Sequence[Sequence[int]], sample_of: Sequence[int], part_of: np.ndarray):
     """The rows of the nodes that one task finishes, a chunk per block and node; ``part_of`` numbers such open nodes."""
     read = block_reader(width, draws, len(sample_of))

@@ -10,7 +10,8 @@ which grows the rest of it. Only node tables come back to the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -31,6 +32,8 @@ ROWS_PER_TASK = 65_536
 ROWS_PER_CELL = 4096
 #: (node, feature) pairs that are split together; more take further passes over the blocks.
 PAIRS_AT_ONCE = 20_000
+#: Bytes of blocks that a Python worker is handed at once (one block at least), however long its partition is.
+BYTES_AT_ONCE = 4 << 20
 #: Trees grown together: each one costs four bytes a held row.
 TREES_AT_ONCE = 1024
 
@@ -179,7 +182,7 @@ class _Grower:
     def grow(self) -> None:
         now = list(enumerate(self.totals()))
         parts: list[tuple[int, Node]] = []
-        held = self.blocks
+        held, steps = self.blocks, []
         while True:
             # The k-th open node of the level is the one whose rows have state k.
             large, left, right = [], np.full(len(now), -1), np.full(len(now), -1)
@@ -207,15 +210,17 @@ class _Grower:
                 left[k], right[k] = len(following), len(following) + 1
                 following += [(t, child) for child in pair]
             step = splits.advancer(self.width, self.draws, len(self.specs), feature, at, category, left, right)
-            before, self.blocks = self.blocks, self.blocks.mapInArrow(step, splits.BLOCK_SCHEMA)
             now = following
             if any(n.may_split(self.specs[t].options) and n.n > self.rows_per_task for t, n in now):
-                self.blocks = self.blocks.persist(StorageLevel.MEMORY_AND_DISK)
+                before, self.blocks = self.blocks, self.blocks.mapInArrow(step, splits.BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
                 self.blocks.count()
                 if before is not held:
                     before.unpersist()
+            else:
+                # The last step is taken by the tasks that hand out the rows.
+                steps = [step]
         if parts:
-            self._finish(parts, part_of)
+            self._finish(parts, part_of, steps)
 
     def _split(self, now, large: list[int]) -> dict[int, tuple]:
         """Best split of each large open node: feature, threshold, kind, gain, rows and positives on the left."""
@@ -325,9 +330,10 @@ class _Grower:
         rows = out.toArrow()
         return {n: rows.column(n).to_numpy() for n in names}
 
-    def _finish(self, parts: list[tuple[int, Node]], part_of: np.ndarray) -> None:
+    def _finish(self, parts: list[tuple[int, Node]], part_of: np.ndarray, steps: list) -> None:
         """The nodes that fit a task, each grown to its end where its rows are brought together."""
-        chunks = self.blocks.mapInArrow(splits.chunker(self.width, self.draws, self.features, self.sample_of, part_of), splits.CHUNK_SCHEMA)
+        chunker = splits.chunker(self.width, self.draws, self.features, self.sample_of, part_of)
+        chunks = self.blocks.mapInArrow(splits.chained(*steps, chunker), splits.CHUNK_SCHEMA)
         rules = [s.rules(self.categorical) for s in self.specs]
         grower = splits.node_grower(rules, np.array([t for t, _ in parts]), np.array([n.node for _, n in parts]), np.array([n.depth for _, n in parts]))
         rows = chunks.repartition("part").sortWithinPartitions("part").mapInArrow(grower, splits.GROWN_SCHEMA).toArrow().to_pylist()
@@ -346,6 +352,18 @@ def _gain(left_n: str, left_pos: str, criterion: str) -> str:
     return gain_text("(size - size_pos)", "size_pos", f"({left_n} - {left_pos})", left_pos, criterion)
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few blocks inside, the session's setting afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BYTES_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def grow_trees(df: DataFrame, features: Sequence[str], y01: str, specs: Sequence[TreeSpec], categorical: Sequence[str] = (),
                key: str = "id", fold: str | None = None, rows_per_bucket: int = ROWS_PER_TASK, rows_per_cell: int = ROWS_PER_CELL
                ) -> list[list[Node]]:
@@ -368,7 +386,8 @@ def grow_trees(df: DataFrame, features: Sequence[str], y01: str, specs: Sequence
         blocks = narrow.mapInArrow(pack, splits.BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
         grower = _Grower(blocks, len(features), some, samples, cat, rows_per_bucket, rows_per_cell)
         try:
-            grower.grow()
+            with short_batches(df.sparkSession):
+                grower.grow()
         finally:
             grower.blocks.unpersist()
             blocks.unpersist()

@@ -467,3 +467,30 @@ def test_every_fit_refuses_missing_cells(spark, width, gap):
 def test_seeds_of_trees_do_not_meet_the_next_seed():
     numbers = {tree.tree_seed(s, t) for s in range(5) for t in range(3000)}
     assert len(numbers) == 15_000
+
+
+def test_workers_are_handed_few_blocks_at_once(spark, monkeypatch):
+    """A long partition reaches a Python worker block by block, and the last step down needs no worker of its own."""
+    from tallyloom.operators import splits, tree
+    largest, chunker, rows = spark.sparkContext.accumulator(0), splits.chunker, 3 * splits.BLOCK_ROWS
+
+    def watched(*args):
+        inner = chunker(*args)
+
+        def run(batches):
+            def passing():
+                for batch in batches:
+                    largest.add(max(0, batch.num_rows - 1))
+                    yield batch
+            yield from inner(passing())
+        return run
+
+    names = [f"x{i}" for i in range(40)]
+    df = spark.range(0, rows, 1, 1).selectExpr("id", "CAST(pmod(xxhash64(id), 10) < 3 + id % 2 AS DOUBLE) AS y", *[f"CAST(pmod(xxhash64(id, {i}), 1000) AS DOUBLE) AS {n}" for i, n in enumerate(names)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    options = tree.TreeOptions(3, 20, 10)
+    plain = tree.fit_tree(df, names, "y", options, rows_per_bucket=1 << 20)
+    monkeypatch.setattr(splits, "chunker", watched)
+    model = tree.fit_tree(df, names, "y", options, rows_per_bucket=rows // 2)
+    assert largest.value == 0 and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    assert model.nodes == plain.nodes and len(model.nodes) > 3
