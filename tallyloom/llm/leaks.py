@@ -18,7 +18,7 @@ from .registry import query
 BLOCK = 8                   # words per block; windows are runs of blocks
 TERMS = 1 << 15             # most columns of the term matrix; a larger benchmark vocabulary shares columns
 RANK, SPARE, ROUNDS = 256, 8, 2
-SAMPLE_DOCS = 1000          # documents whose passages the decomposition is fitted on, besides all items
+COMMON = 192                # terms that a passage's row holds densely
 ITEM_WEIGHT = 10.0
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8   # shares of an item's and its answer's words found in order
 SPARE_WORDS = 0.15          # share of an item's words that is looked up beyond those that a leak may lack
@@ -174,38 +174,31 @@ class Space:
                 self.lookups.append((int(width), own, first, postings[:, 1], postings[:, 2], needed))
 
 
-def _document_terms(space: Space):
-    """Executor function: per task, in how many documents each vocabulary term stands; term -1 counts the documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _terms_and_passages(space: Space):
+    """Executor function: passages of 64 words over the vocabulary, as term numbers (``terms``); then, per task, in how many
+    documents each vocabulary term stands (``term, docs``), term -1 counting the documents."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, docs = np.zeros(space.columns, np.int64), 0
+        names = ["term", "docs", "terms"]
         for batch in batches:
             docs += batch.num_rows
             for _, _, data, offsets in text_slices(batch.column(0)):
                 words, firsts = words_of(data, offsets)
                 term = space.terms(words)
-                row = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+                counts = np.diff(firsts)
+                row = np.repeat(np.arange(len(counts)), counts)
                 pair = np.unique(row[term >= 0] * space.columns + term[term >= 0])
                 total += np.bincount(pair % space.columns, minlength=space.columns)
+                passages = -(-counts // 64)
+                passage = (np.cumsum(passages) - passages)[row] + (np.arange(len(words)) - firsts[:-1][row]) // 64
+                size = np.bincount(passage[term >= 0], minlength=int(passages.sum()))
+                kept = (term >= 0) & (size >= SHORT)[passage]
+                size = size[size >= SHORT]
+                terms = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(term[kept].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.int64()), terms], names=names)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], at]).astype(np.int32)), pa.array(np.concatenate([[docs], total[at]]))],
-                                         names=["term", "docs"])
-    return count
-
-
-def _passage_rows(space: Space):
-    """Executor function: texts to passages of 64 words over the vocabulary, as term numbers."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for _, _, data, offsets in text_slices(batch.column(0)):
-                words, firsts = words_of(data, offsets)
-                term = space.terms(words)
-                for a, b in zip(firsts[:-1], firsts[1:]):
-                    for k in range(a, b, 64):
-                        own = term[k:min(k + 64, b)]
-                        if (own >= 0).sum() >= SHORT:
-                            out.append(own[own >= 0].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], names=["terms"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], at]).astype(np.int32)), pa.array(np.concatenate([[docs], total[at]])),
+                                          pa.nulls(len(at) + 1, pa.list_(pa.int32()))], names=names)
     return cut
 
 
@@ -214,15 +207,28 @@ def _gram_step(space: Space, basis):
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = basis.value
         idf = space.idf.astype(np.float32)[:, None]
-        total = np.zeros_like(z)
+        weighted, total = z * idf, np.zeros_like(z)
+        # The commonest terms, most of a passage's words, are multiplied as a dense matrix; the others are added up by place.
+        common = np.argsort(space.idf, kind="stable")[:COMMON]
+        place = np.full(space.columns, -1)
+        place[common] = np.arange(len(common))
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.column(0).slice(start, 500)
-                terms = part.flatten().to_numpy()
+            for start in range(0, batch.num_rows, 100):
+                part = batch.column(0).slice(start, 100)
+                term = part.flatten().to_numpy()
                 row = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
-                a = np.bincount(row * space.columns + terms, minlength=len(part) * space.columns).reshape(len(part), -1).astype(np.float32)
-                a *= idf.T
-                total += a.T @ (a @ z)
+                at = place[term]
+                a = np.bincount(row[at >= 0] * len(common) + at[at >= 0], minlength=len(part) * len(common)).reshape(len(part), -1).astype(np.float32)
+                y = a @ weighted[common]
+                row, term = row[at < 0], term[at < 0]
+                if len(row):
+                    firsts = np.flatnonzero(np.diff(row, prepend=-1))
+                    y[row[firsts]] += np.add.reduceat(weighted[term], firsts, axis=0)
+                    order = np.argsort(term, kind="stable")
+                    firsts = np.flatnonzero(np.diff(term[order], prepend=-1))
+                    total[term[order][firsts]] += np.add.reduceat(y[row[order]], firsts, axis=0)
+                total[common] += a.T @ y
+        total *= idf
         at = np.flatnonzero(np.abs(total).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([total[i].tobytes() for i in at], pa.binary())], names=["term", "part"])
     return multiply
@@ -308,17 +314,16 @@ def search_rows(space: Space, words: np.ndarray, firsts: np.ndarray) -> list[dic
 
 
 def fit_space(docs: DataFrame, items: list[Item]) -> Space:
-    """Document frequencies over all of ``docs`` (``id, text``), then the randomised decomposition on a bounded sample."""
+    """Document frequencies over all of ``docs`` (``text``), then the randomised decomposition over all their passages."""
     spark = docs.sparkSession
     space = Space(items)
     if not items:
         return space
-    counts = {r.term: r.docs for r in docs.select("text").mapInArrow(_document_terms(space), "term int, docs bigint").groupBy("term").agg(
-        F.sum("docs").alias("docs")).collect()}
+    read = stored(docs.select("text").mapInArrow(_terms_and_passages(space), "term int, docs bigint, terms array<int>"))
+    counts = {r.term: r.docs for r in read.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("docs")).collect()}
     space.weigh({t: n for t, n in counts.items() if t >= 0}, counts.get(-1, 0))
     space.index()
-    ids = stored(docs.select("id").where("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS))
-    passages = stored(docs.join(F.broadcast(ids), "id").select("text").mapInArrow(_passage_rows(space), "terms array<int>"))
+    passages = read.where("terms IS NOT NULL").select("terms")
     rank = min(RANK + SPARE, space.columns)
     z = np.random.default_rng(11).standard_normal((space.columns, rank)).astype(np.float32)
     rows = space.item_rows() * np.float32(ITEM_WEIGHT)
@@ -348,8 +353,8 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
     Candidates are checked in the order of their latent cosine, which changes the work and not the result: TF-IDF vectors over
     the benchmark's words, with document frequencies of all of ``df``, projected on the right singular vectors of a randomised
-    decomposition (two rounds of A'A times a random basis, summed over Spark tasks; fitted on all items and the passages of
-    ``SAMPLE_DOCS`` documents).
+    decomposition (two rounds of A'A times a random basis, summed over Spark tasks; fitted on all items and all
+    passages of ``df``).
 
     The benchmark is the stated query set and is held in every task; its numbers, not texts, are the result. Null texts and
     texts without words leak nothing; null or wordless items match nothing; null keys and repeated rows are searched each;
@@ -360,8 +365,8 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     rows = benchmark.select(F.col(item_key).cast("bigint"), F.lower(F.col(item_text).cast("string")), F.lower(told)).collect()
     items = items_of(sorted({(r[0], r[1], r[2]) for r in rows if r[0] is not None and r[1] is not None}, key=lambda r: (r[0], r[1], r[2] or "")))
     row = F.struct(*[F.col(f"`{c}`") for c in keep or [key]])
-    docs = df.select(row.alias("row"), F.col(key).alias("id"), F.lower(F.col(text).cast("string")).alias("text"))
-    space = fit_space(docs.select("id", "text"), items)
+    docs = df.select(row.alias("row"), F.lower(F.col(text).cast("string")).alias("text"))
+    space = fit_space(docs.select("text"), items)
     shared = df.sparkSession.sparkContext.broadcast(space)
     kind = StructType([docs.schema["row"], *StructType.fromDDL("items array<bigint>, share double")])
     return docs.select("row", "text").mapInArrow(_searcher(shared), kind).select("row.*", "items", "share")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tallyloom.llm import leaks
@@ -93,3 +94,23 @@ def test_empty_tables(documents, spark):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     assert leaks.find_leaks(frame.limit(0), items).collect() == []
     assert {len(r["items"]) for r in leaks.find_leaks(frame, items.limit(0)).collect()} == {0}
+
+
+def test_the_decomposition_reads_every_passage(spark, monkeypatch):
+    """All passages of more than a thousand documents enter both rounds, with the product that a dense matrix gives."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([4, 12, 70, 150]))) for _ in range(1500)]
+    items = leaks.items_of([(k, " ".join(rng.sample(vocabulary, 30)), None) for k in range(5)])
+    docs = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(3)
+    monkeypatch.setattr(leaks, "COMMON", 20)
+    space = leaks.fit_space(docs, items)
+    passages = [p for words in leaks.hashed_texts(texts) for k in range(0, len(words), 64)
+                if sum((p := space.terms(np.array(words[k:k + 64], np.uint64))) >= 0) >= leaks.SHORT]
+    a = np.stack([np.bincount(p[p >= 0], minlength=space.columns) for p in passages]) * space.idf
+    rows = space.item_rows() * leaks.ITEM_WEIGHT
+    z = np.random.default_rng(11).standard_normal((space.columns, space.columns)).astype(np.float32)[:, :min(leaks.RANK + leaks.SPARE, space.columns)]
+    for _ in range(leaks.ROUNDS):
+        z = np.linalg.qr(a.T @ (a @ z) + rows.T @ (rows @ z))[0]
+    # The basis is that of the whole table up to signs and rounding: the leading directions agree.
+    assert np.allclose(np.abs((z[:, :5] * space.vectors[:, :5]).sum(0)), 1, atol=1e-3)
