@@ -19,12 +19,15 @@ BLOCK = 8                   # words per block; windows are runs of blocks
 TERMS = 1 << 15             # most columns of the term matrix; a larger benchmark vocabulary shares columns
 RANK, SPARE, ROUNDS = 256, 8, 2
 COMMON = 192                # terms that a passage's row holds densely
+PAIRS = 1 << 22             # pairs of the other terms that are counted at once
 ITEM_WEIGHT = 10.0
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8   # shares of an item's and its answer's words found in order
 SPARE_WORDS = 0.15          # share of an item's words that is looked up beyond those that a leak may lack
 ITEMS_AT_ONCE = 256
 SHORT = 8                   # items of fewer words must stand in a text word for word
 
+GRAM = "term int, columns binary, sums binary"
+
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
@@ -202,39 +205,112 @@ def _terms_and_passages(space: Space):
     return cut
 
 
-def _gram_step(space: Space, basis):
-    """Executor function: the share of a task's passages in A'A times the basis, one row per term."""
+def _packed(left: np.ndarray, right: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """One row per value of ``left``, which is sorted: its columns (int32) and their sums (int64) as bytes."""
+    firsts = np.flatnonzero(np.diff(left, prepend=-1))
+    cuts = np.append(firsts, len(left)).tolist()
+    columns, values = right.astype(np.int32).tobytes(), sums.astype(np.int64).tobytes()
+    return pa.RecordBatch.from_arrays([pa.array(left[firsts].astype(np.int32)),
+                                       pa.array([columns[4 * x:4 * y] for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                                       pa.array([values[8 * x:8 * y] for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["term", "columns", "sums"])
+
+
+def _gram_parts(space: Space):
+    """Executor function: a task's share of N'N, N being its passages' term counts; every unordered pair of terms stands once.
+
+    The commonest terms, most of a passage's words, are multiplied as a dense matrix; pairs of the others are counted as
+    codes, ``PAIRS`` at once, so that a task's memory depends on the number of columns and not on its square.
+    """
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = basis.value
-        idf = space.idf.astype(np.float32)[:, None]
-        weighted, total = z * idf, np.zeros_like(z)
-        # The commonest terms, most of a passage's words, are multiplied as a dense matrix; the others are added up by place.
+        columns = space.columns
         common = np.argsort(space.idf, kind="stable")[:COMMON]
-        place = np.full(space.columns, -1)
+        place = np.full(columns, -1)
         place[common] = np.arange(len(common))
+        total = np.zeros((columns, len(common)))
+        # Pairs of a term with itself count twice, and once for each of its words.
+        own = np.zeros(columns, np.int64)
+        codes, held = [], 0
+
+        def counted():
+            code, n = np.unique(np.concatenate(codes), return_counts=True)
+            low, high = code // columns, code % columns
+            return _packed(low, high, np.where(low == high, 2 * n, n))
+
+        for batch in batches:
+            part = batch.column(0)
+            term = part.flatten().to_numpy()
+            row = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
+            at = place[term]
+            a = np.bincount(row[at >= 0] * len(common) + at[at >= 0], minlength=len(part) * len(common)).reshape(len(part), -1).astype(np.float32)
+            total[common] += a.T @ a
+            row, term = row[at < 0], term[at < 0].astype(np.int64)
+            if not len(row):
+                continue
+            order = np.argsort(term, kind="stable")
+            firsts = np.flatnonzero(np.diff(term[order], prepend=-1))
+            total[term[order][firsts]] += np.add.reduceat(a[row[order]], firsts, axis=0)
+            own += np.bincount(term, minlength=columns)
+            after = np.searchsorted(row, row, side="right") - np.arange(len(row)) - 1
+            left = np.repeat(np.arange(len(row)), after)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+            codes.append(np.minimum(term[left], term[right]) * columns + np.maximum(term[left], term[right]))
+            held += len(left)
+            if held >= PAIRS:
+                yield counted()
+                codes, held = [], 0
+        if held:
+            yield counted()
+        at = np.flatnonzero(own)
+        yield _packed(at, at, own[at])
+        total[common] = np.tril(total[common])
+        for start in range(0, columns, 4096):
+            left, right = np.nonzero(total[start:start + 4096])
+            yield _packed(left + start, common[right], total[start + left, right])
+    return multiply
+
+
+def _sum_parts(columns: int):
+    """Executor function: the sums of the rows of each term, which arrive together."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        term, total = None, np.zeros(columns, np.int64)
+
+        def row():
+            at = np.flatnonzero(total)
+            return _packed(np.full(len(at), term), at, total[at])
+
+        for batch in batches:
+            for now, places, values in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if now != term:
+                    if term is not None:
+                        yield row()
+                    term, total = now, np.zeros(columns, np.int64)
+                total[np.frombuffer(places.as_buffer(), np.int32)] += np.frombuffer(values.as_buffer(), np.int64)
+        if term is not None:
+            yield row()
+    return add
+
+
+def _gram_step(space: Space, basis):
+    """Executor function: the share of a task's rows of N'N in A'A times the basis, one row per term; A is N times the idf."""
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = space.idf.astype(np.float32)[:, None]
+        weighted = basis.value * idf
+        total = np.zeros_like(weighted)
         for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                part = batch.column(0).slice(start, 100)
-                term = part.flatten().to_numpy()
-                row = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
-                at = place[term]
-                a = np.bincount(row[at >= 0] * len(common) + at[at >= 0], minlength=len(part) * len(common)).reshape(len(part), -1).astype(np.float32)
-                y = a @ weighted[common]
-                row, term = row[at < 0], term[at < 0]
-                if len(row):
-                    firsts = np.flatnonzero(np.diff(row, prepend=-1))
-                    y[row[firsts]] += np.add.reduceat(weighted[term], firsts, axis=0)
-                    order = np.argsort(term, kind="stable")
-                    firsts = np.flatnonzero(np.diff(term[order], prepend=-1))
-                    total[term[order][firsts]] += np.add.reduceat(y[row[order]], firsts, axis=0)
-                total[common] += a.T @ y
+            term = batch.column(0).to_numpy()
+            part = np.zeros((len(term), space.columns), np.float32)
+            for k, (places, values) in enumerate(zip(batch.column(1), batch.column(2))):
+                part[k, np.frombuffer(places.as_buffer(), np.int32)] = np.frombuffer(values.as_buffer(), np.int64)
+            total[term] += part @ weighted
+            part[np.arange(len(term)), term] = 0
+            total += part.T @ weighted[term]
         total *= idf
         at = np.flatnonzero(np.abs(total).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([total[i].tobytes() for i in at], pa.binary())], names=["term", "part"])
     return multiply
 
 
-def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sum_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for term, part in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -323,13 +399,15 @@ def fit_space(docs: DataFrame, items: list[Item]) -> Space:
     counts = {r.term: r.docs for r in read.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("docs")).collect()}
     space.weigh({t: n for t, n in counts.items() if t >= 0}, counts.get(-1, 0))
     space.index()
-    passages = read.where("terms IS NOT NULL").select("terms")
+    # The passages are read once; both rounds multiply their sums, which no longer grow with the documents.
+    parts = read.where("terms IS NOT NULL").select("terms").mapInArrow(_gram_parts(space), GRAM)
+    gram = stored(parts.repartition("term").sortWithinPartitions("term").mapInArrow(_sum_parts(space.columns), GRAM))
     rank = min(RANK + SPARE, space.columns)
     z = np.random.default_rng(11).standard_normal((space.columns, rank)).astype(np.float32)
     rows = space.item_rows() * np.float32(ITEM_WEIGHT)
     for _ in range(ROUNDS):
         basis = spark.sparkContext.broadcast(z)
-        parts = passages.mapInArrow(_gram_step(space, basis), "term int, part binary").repartition(4, "term").mapInArrow(_sum_parts, "term int, part binary")
+        parts = gram.mapInArrow(_gram_step(space, basis), "term int, part binary").repartition(4, "term").mapInArrow(_sum_products, "term int, part binary")
         total = rows.T @ (rows @ z)
         for r in parts.collect():
             total[r.term] += np.frombuffer(r.part, np.float32)
@@ -353,8 +431,8 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
     Candidates are checked in the order of their latent cosine, which changes the work and not the result: TF-IDF vectors over
     the benchmark's words, with document frequencies of all of ``df``, projected on the right singular vectors of a randomised
-    decomposition (two rounds of A'A times a random basis, summed over Spark tasks; fitted on all items and all
-    passages of ``df``).
+    decomposition (two rounds of A'A times a random basis, A'A being summed once over Spark tasks; fitted on all items and
+    all passages of ``df``).
 
     The benchmark is the stated query set and is held in every task; its numbers, not texts, are the result. Null texts and
     texts without words leak nothing; null or wordless items match nothing; null keys and repeated rows are searched each;

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import leaks
@@ -114,3 +115,26 @@ def test_the_decomposition_reads_every_passage(spark, monkeypatch):
         z = np.linalg.qr(a.T @ (a @ z) + rows.T @ (rows @ z))[0]
     # The basis is that of the whole table up to signs and rounding: the leading directions agree.
     assert np.allclose(np.abs((z[:, :5] * space.vectors[:, :5]).sum(0)), 1, atol=1e-3)
+
+
+def test_the_passages_are_multiplied_once(spark, monkeypatch):
+    """Term pairs of all passages are counted exactly, over several lots of pairs and tasks; a round reads one row per term."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rng.choices(vocabulary, range(1, 51), k=rng.choice([9, 64, 140]))) for _ in range(400)]
+    space = leaks.Space(leaks.items_of([(k, " ".join(rng.sample(vocabulary, 30)), None) for k in range(4)]))
+    monkeypatch.setattr(leaks, "COMMON", 7)
+    monkeypatch.setattr(leaks, "PAIRS", 5000)
+    passages = [p[p >= 0] for words in leaks.hashed_texts(texts) for k in range(0, len(words), 64)
+                if sum((p := space.terms(np.array(words[k:k + 64], np.uint64))) >= 0) >= leaks.SHORT]
+    counts = np.stack([np.bincount(p, minlength=space.columns) for p in passages])
+    batches = [pa.RecordBatch.from_arrays([pa.array([p.tolist() for p in passages[k:k + 90]], pa.list_(pa.int32()))], names=["terms"])
+               for k in range(0, len(passages), 90)]
+    parts = pa.Table.from_batches([*leaks._gram_parts(space)(batches[:3]), *leaks._gram_parts(space)(batches[3:])]).sort_by("term")
+    rows = pa.Table.from_batches(leaks._sum_parts(space.columns)(parts.to_batches()))
+    assert rows.column("term").to_pylist() == sorted(set(rows.column("term").to_pylist())), "one row per term"
+    gram = np.zeros((space.columns, space.columns), np.int64)
+    for term, places, values in zip(*(c.to_pylist() for c in rows.columns)):
+        gram[term, np.frombuffer(places, np.int32)] += np.frombuffer(values, np.int64)
+    assert not (np.tril(gram, -1) * np.triu(gram, 1).T).any()
+    assert (gram + gram.T - np.diag(np.diag(gram)) == counts.T @ counts).all()
