@@ -115,13 +115,20 @@ class Space:
         self.items = items
         self.vocabulary = np.unique(np.array([w for i in items for w in i.words], np.uint64))
         self.columns = min(len(self.vocabulary), TERMS)
+        # Hashes are even: by their leading bits a word's place is found to a few steps.
+        self.shift = np.uint64(64 - max(1, (8 * len(self.vocabulary)).bit_length()))
+        lead = self.vocabulary >> self.shift
+        self.places = np.searchsorted(lead, np.arange((1 << 64 - int(self.shift)) + 1, dtype=np.uint64)).astype(np.int32)
+        self.steps = int(np.diff(self.places).max(initial=0))
         self.idf = np.ones(self.columns)
         self.vectors = np.zeros((self.columns, 0), np.float32)
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
         """Number of every word in the vocabulary, -1 outside."""
-        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == words, at, -1)
+        at = np.minimum(self.places[words >> self.shift], len(self.vocabulary) - 1)
+        for _ in range(self.steps - 1):
+            at = np.minimum(at + (self.vocabulary[at] < words), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == words, at, -1).astype(np.int64)
 
     def terms(self, words: np.ndarray) -> np.ndarray:
         """Column of every word, -1 outside the vocabulary."""
@@ -360,13 +367,15 @@ def search_rows(space: Space, words: np.ndarray, firsts: np.ndarray) -> list[dic
         # A word counts once a cell.
         seen = np.unique(posting * cells + np.repeat(cell, size))
         posting, cell = seen // cells, seen % cells
-        reach = np.bincount(item[posting] * (cells + 1) + cell + 1, times[posting], minlength=len(own) * (cells + 1)).reshape(len(own), -1).cumsum(1, dtype=np.int32)
-        starts = np.arange(cells)
+        before, after = width // 2 // step, (width + width // 2) // step
+        reach = np.bincount(item[posting] * (before + cells + after) + before + cell + 1, times[posting],
+                            minlength=len(own) * (before + cells + after)).reshape(len(own), -1)
+        np.cumsum(reach, axis=1, out=reach)
         # Words of other rows at a row's edge only add to the bound.
-        most = reach[:, np.minimum(starts + (width + width // 2) // step, cells)] - reach[:, np.maximum(starts - width // 2 // step, 0)]
+        enough = reach[:, before + after:] - reach[:, :cells] >= needed[:, None]
         near: dict[int, list[int]] = {}
-        for k, c in zip(*(x.tolist() for x in np.nonzero(most >= needed[:, None]))):
-            near.setdefault(c, []).append(int(own[k]))
+        for at in np.flatnonzero(enough).tolist():
+            near.setdefault(at % cells, []).append(int(own[at // cells]))
         pairs = []
         for c, chosen in near.items():
             r = int(np.searchsorted(first_cell, c, side="right")) - 1

@@ -138,3 +138,13 @@ def test_the_passages_are_multiplied_once(spark, monkeypatch):
         gram[term, np.frombuffer(places, np.int32)] += np.frombuffer(values, np.int64)
     assert not (np.tril(gram, -1) * np.triu(gram, 1).T).any()
     assert (gram + gram.T - np.diag(np.diag(gram)) == counts.T @ counts).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 50, 5000])
+def test_words_are_found_by_their_leading_bits(size):
+    rng = np.random.default_rng(size)
+    space = leaks.Space([leaks.Item(0, (words := rng.integers(0, 1 << 64, size, np.uint64)).tolist(), {}, [], {})])
+    asked = np.concatenate([words, words + np.uint64(1), words - np.uint64(1), rng.integers(0, 1 << 64, 99, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    place = {w: k for k, w in enumerate(sorted(set(words.tolist())))}
+    assert space.numbers(asked).tolist() == [place.get(w, -1) for w in asked.tolist()]
+    assert len(space.numbers(asked[:0])) == 0
