@@ -250,7 +250,7 @@ def _gram_parts(space: Space):
             at = place[term]
             a = np.bincount(row[at >= 0] * len(common) + at[at >= 0], minlength=len(part) * len(common)).reshape(len(part), -1).astype(np.float32)
             total[common] += a.T @ a
-            row, term = row[at < 0], term[at < 0].astype(np.int64)
+            row, term = row[at < 0], term[at < 0]
             if not len(row):
                 continue
             order = np.argsort(term, kind="stable")
@@ -260,7 +260,8 @@ def _gram_parts(space: Space):
             after = np.searchsorted(row, row, side="right") - np.arange(len(row)) - 1
             left = np.repeat(np.arange(len(row)), after)
             right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
-            codes.append(np.minimum(term[left], term[right]) * columns + np.maximum(term[left], term[right]))
+            # Below TERMS squared, so 32 bits hold a pair.
+            codes.append(np.minimum(term[left], term[right]) * np.int32(columns) + np.maximum(term[left], term[right]))
             held += len(left)
             if held >= PAIRS:
                 yield counted()
@@ -367,12 +368,16 @@ def search_rows(space: Space, words: np.ndarray, firsts: np.ndarray) -> list[dic
         # A word counts once a cell.
         seen = np.unique(posting * cells + np.repeat(cell, size))
         posting, cell = seen // cells, seen % cells
-        before, after = width // 2 // step, (width + width // 2) // step
-        reach = np.bincount(item[posting] * (before + cells + after) + before + cell + 1, times[posting],
-                            minlength=len(own) * (before + cells + after)).reshape(len(own), -1)
-        np.cumsum(reach, axis=1, out=reach)
+        # A region is half a width, the width and half a width: a power of two of cells, whose sums are doubled up.
+        before, region = width // 2 // step, 2 * width // step
+        reach = np.bincount(item[posting] * (cells + region - 1) + before + cell, times[posting],
+                            minlength=len(own) * (cells + region - 1)).astype(np.int32).reshape(len(own), -1)
+        span = 1
+        while span < region:
+            reach = reach[:, :-span] + reach[:, span:]
+            span *= 2
         # Words of other rows at a row's edge only add to the bound.
-        enough = reach[:, before + after:] - reach[:, :cells] >= needed[:, None]
+        enough = reach >= needed.astype(np.int32)[:, None]
         near: dict[int, list[int]] = {}
         for at in np.flatnonzero(enough).tolist():
             near.setdefault(at % cells, []).append(int(own[at // cells]))
